@@ -86,6 +86,10 @@ def symbol_slice(spark, sf_dir):
     return layers.symbol_slice(bars_from_lineitem(spark, sf_dir), NEW_SYMBOL)
 
 
+def history(spark, sf_dir):
+    return layers.history(bars_from_lineitem(spark, sf_dir), NEW_SYMBOL, FEED_START, AS_OF)
+
+
 def distinct_symbols(spark, sf_dir):
     return layers.distinct_symbols(bars_from_lineitem(spark, sf_dir))
 
@@ -378,6 +382,7 @@ QUERIES: dict[str, Query] = {
     "upsert_by_key": upsert_by_key,
     "bronze": bronze,
     "symbol_slice": symbol_slice,
+    "history": history,
     "distinct_symbols": distinct_symbols,
     "silver_not_null_keys": silver_not_null_keys,
     "prev_close": prev_close,

@@ -12,30 +12,40 @@ from marketbars.functions.expressions import local_date
 ARRIVAL = "arrival"
 
 
-def arrival() -> Column:
-    """Arrival order of a file row: file time, file name, then `seq` inside it."""
-    return F.struct(
+# A file that does not match the stated schema must fail, not load shifted or
+# emptied columns.
+_STRICT = {
+    "csv": {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"},
+    "json": {"mode": "FAILFAST"},
+}
+
+
+def _with_arrival(rows: DataFrame) -> DataFrame:
+    """Add the arrival order: file time, file, then `seq` where the feed has it."""
+    order = [
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_path").alias("file"),
-        F.col("seq"),
-    )
+    ]
+    if "seq" in rows.columns:
+        order.append(F.col("seq"))
+    return rows.withColumn(ARRIVAL, F.struct(*order)).drop("seq")
 
 
 def read_feed(
     spark: SparkSession,
-    path: str | None = None,
+    path: str,
     fmt: str = "csv",
     schema: T.StructType = S.FEED,
     **options: str,
 ) -> DataFrame:
-    """Landing rows of every symbol, with their arrival order.
+    """Landing rows of every symbol from csv, json, orc or parquet files.
 
-    The schema is always stated: inferring it would read the feed twice.
+    The schema is always stated: inferring it would read the feed twice. Files
+    with further columns need it stated with them. Feeds from other sources go
+    straight to `normalize_feed`.
     """
-    if fmt == "csv":
-        options = {"header": "true", **options}
-    rows = spark.read.format(fmt).schema(schema).options(**options).load(path)
-    return rows.withColumn(ARRIVAL, arrival()).drop("seq")
+    reader = spark.read.format(fmt).schema(schema).options(**{**_STRICT.get(fmt, {}), **options})
+    return _with_arrival(reader.load(path))
 
 
 def read_feed_stream(
@@ -46,10 +56,8 @@ def read_feed_stream(
     **options: str,
 ) -> DataFrame:
     """The landing folder as a stream: each file is delivered once."""
-    if fmt == "csv":
-        options = {"header": "true", **options}
-    rows = spark.readStream.format(fmt).schema(schema).options(**options).load(path)
-    return rows.withColumn(ARRIVAL, arrival()).drop("seq")
+    reader = spark.readStream.format(fmt).schema(schema)
+    return _with_arrival(reader.options(**{**_STRICT.get(fmt, {}), **options}).load(path))
 
 
 def normalize_feed(feed: DataFrame, symbol: Column | str | None = None) -> DataFrame:

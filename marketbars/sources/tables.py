@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,14 @@ def symbol_slice(df: DataFrame, symbol: str) -> DataFrame:
     return df.where(F.col("symbol") == symbol)
 
 
+def history(
+    df: DataFrame, symbol: str, start: dt.date | str, end: dt.date | str
+) -> DataFrame:
+    """One symbol's bars with start <= date < end."""
+    day = [F.lit(str(d)).cast("date") for d in (start, end)]
+    return symbol_slice(df, symbol).where((F.col("date") >= day[0]) & (F.col("date") < day[1]))
+
+
 def symbol_universe(
     spark: SparkSession, symbols: Iterable[str] = S.DEFAULT_SYMBOLS
 ) -> DataFrame:

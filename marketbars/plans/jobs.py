@@ -65,24 +65,22 @@ def build_layers(
         raise ValueError(f"mode must be 'full' or 'tail', not {mode!r}")
     landing = bar_columns(spark.table(tables.landing))
     reject_duplicates(landing)
+    sinks.ensure_bronze_table(spark, tables.bronze)
+    sinks.ensure_silver_table(spark, tables.silver)
     if rebuild:
-        sinks.write_rebuild(landing, tables.bronze, by_month=True)
-        bronze = read_layer(spark, tables.bronze)
-        sinks.write_rebuild(enrich(bronze), tables.silver, by_month=True)
+        sinks.write_reload(landing, tables.bronze)
+        sinks.write_reload(enrich(read_layer(spark, tables.bronze)), tables.silver)
+    elif mode == "full":
+        sinks.write_upsert(landing, tables.bronze)
+        sinks.write_upsert(enrich(read_layer(spark, tables.bronze)), tables.silver)
     else:
-        sinks.ensure_bronze_table(spark, tables.bronze)
-        sinks.ensure_silver_table(spark, tables.silver)
-        if mode == "full":
-            sinks.write_upsert(landing, tables.bronze)
-            sinks.write_upsert(enrich(read_layer(spark, tables.bronze)), tables.silver)
-        else:
-            # Silver goes first: if the run fails in between, the next one still
-            # finds the same changes in bronze.
-            bronze = read_layer(spark, tables.bronze)
-            changed = stage(changed_rows(bronze, landing))
-            tail = refresh_tail(upsert_by_key(bronze, changed), changed)
-            sinks.write_upsert(tail, tables.silver)
-            sinks.write_upsert(changed, tables.bronze)
+        # Silver goes first: if the run fails in between, the next one still
+        # finds the same changes in bronze.
+        bronze = read_layer(spark, tables.bronze)
+        changed = stage(changed_rows(bronze, landing))
+        tail = refresh_tail(upsert_by_key(bronze, changed), changed)
+        sinks.write_upsert(tail, tables.silver)
+        sinks.write_upsert(changed, tables.bronze)
     sinks.write_rebuild(summarize(read_layer(spark, tables.silver)), tables.gold)
 
 

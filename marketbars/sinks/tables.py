@@ -56,16 +56,25 @@ def _by_month(df: DataFrame, table: str) -> DataFrame:
     return df.select(*df.sparkSession.table(table).columns).hint("rebalance", S.MONTH)
 
 
+def _months_between(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The part of ``target`` in the batch's span of months, pruned in the scan.
+
+    The limits are subqueries of the plan, known when the scan lists its files.
+    """
+    first = batch.agg(F.min(S.MONTH)).scalar()
+    last = batch.agg(F.max(S.MONTH)).scalar()
+    return target.where((F.col(S.MONTH) >= first) & (F.col(S.MONTH) <= last))
+
+
 @contextmanager
-def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions that receive rows.
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Overwrite all partitions ('static') or those that get rows ('dynamic').
 
-    The writer option of the same name does not apply to `insertInto`: with it
-    alone the whole table would be replaced.
+    The writer option of the same name does not apply to `insertInto`.
     """
     name = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(name)
-    spark.conf.set(name, "dynamic")
+    spark.conf.set(name, mode)
     try:
         yield
     finally:
@@ -100,7 +109,7 @@ def append_absent(
     if ARRIVAL in batch.columns:
         batch = first_per_key(batch)
     batch = stage(_with_month(batch))
-    new = absent_rows(spark.table(table), batch, _MONTH_KEY)
+    new = absent_rows(_months_between(spark.table(table), batch), batch, _MONTH_KEY)
     _by_month(new, table).write.insertInto(table)
 
 
@@ -118,27 +127,37 @@ def write_upsert(batch: DataFrame, table: str, key: Sequence[str] = S.KEY) -> No
         return
     batch = stage(batch)
     months = batch.select(S.MONTH).distinct()
-    kept = target.join(months, S.MONTH, "left_semi").join(
-        batch.select(*key), list(key), "left_anti"
+    kept = (
+        _months_between(target, batch)
+        .join(months, S.MONTH, "left_semi")
+        .join(batch.select(*key), list(key), "left_anti")
     )
     rows = kept.unionByName(batch.select(*target.columns))
-    with _replacing_partitions(spark):
+    with _overwriting(spark, "dynamic"):
+        _by_month(rows, table).write.mode("overwrite").insertInto(table)
+
+
+def write_reload(df: DataFrame, table: str) -> None:
+    """Load a bar table anew from ``df``; rows and months not in it go.
+
+    The rows are stored before the table is emptied, so a failing computation
+    costs no data.
+    """
+    rows = stage(_with_month(require_not_null(df)))
+    with _overwriting(df.sparkSession, "static"):
         _by_month(rows, table).write.mode("overwrite").insertInto(table)
 
 
-def write_rebuild(df: DataFrame, table: str, by_month: bool = False) -> None:
-    """Build the table anew beside the old one, then put it in its place.
+def write_rebuild(df: DataFrame, table: str) -> None:
+    """Build an unpartitioned table beside the old one, then put it in its place.
 
-    A build that fails leaves the old table as it was.
+    The columns are those of ``df``. A build that fails leaves the old table
+    as it was.
     """
     spark = df.sparkSession
     fresh, old = f"{table}__new", f"{table}__old"
     spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    if by_month:
-        writer = _with_month(df).hint("rebalance", S.MONTH).write.partitionBy(S.MONTH)
-    else:
-        writer = df.write
-    writer.format("parquet").saveAsTable(fresh)
+    df.write.format("parquet").saveAsTable(fresh)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")

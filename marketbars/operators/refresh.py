@@ -9,7 +9,7 @@ from marketbars import schemas as S
 from marketbars.functions.expressions import month_bucket
 from marketbars.operators.enrich import enrich
 from marketbars.operators.series import BLOCK, BLOCK_YEARS, calendar_block, keyed_rows
-from marketbars.storage import stage
+from marketbars.storage import Stage, stage
 
 _FROM = "_from"
 
@@ -22,7 +22,11 @@ def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def refresh_tail(
-    bronze: DataFrame, changed: DataFrame, on_zero: str = "error", years: int = BLOCK_YEARS
+    bronze: DataFrame,
+    changed: DataFrame,
+    on_zero: str = "error",
+    years: int = BLOCK_YEARS,
+    stage: Stage = stage,
 ) -> DataFrame:
     """Silver rows that changes at the keys in ``changed`` can affect.
 
@@ -36,28 +40,26 @@ def refresh_tail(
         .groupBy("symbol")
         .agg(month_bucket(F.min("date")).alias(_FROM))
     )
-    bars = (
-        keyed_rows(bronze)
-        .select(*S.BAR_COLUMNS)
-        .join(starts, "symbol")
-        .withColumn(BLOCK, calendar_block("date", years))
-    )
+    bars = keyed_rows(bronze).select(*S.BAR_COLUMNS).join(starts, "symbol")
     after = bars.where(F.col("date") >= F.col(_FROM)).select(*S.BAR_COLUMNS)
 
     # The rows before: first the newest per block, then the newest of those.
+    # Only their closes are looked at.
     reach = S.MONTHLY_ROWS - 1
     newest = F.col("date").desc()
     per_block = Window.partitionBy("symbol", BLOCK).orderBy(newest)
     per_symbol = Window.partitionBy("symbol").orderBy(newest)
     before = (
         bars.where(F.col("date") < F.col(_FROM))
+        .select("date", "symbol", "close", calendar_block("date", years).alias(BLOCK))
         .withColumn("_rank", F.row_number().over(per_block))
         .where(F.col("_rank") <= reach)
         .withColumn("_rank", F.row_number().over(per_symbol))
         .where(F.col("_rank") <= reach)
-        .select(*S.BAR_COLUMNS)
+        .select("date", "symbol", "close")
     )
-    silver = enrich(stage(after.unionByName(before)), on_zero, years)
+    rows = after.unionByName(before, allowMissingColumns=True)
+    silver = enrich(stage(rows), on_zero, years)
     return (
         silver.join(starts, "symbol")
         .where(F.col("date") >= F.col(_FROM))

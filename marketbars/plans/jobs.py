@@ -16,8 +16,8 @@ from marketbars.operators.summary import summarize
 from marketbars.operators.trend import forecast
 from marketbars.operators.watermark import ingest_window, watermarks
 from marketbars.sinks import tables as sinks
-from marketbars.sources.tables import bar_columns, read_layer, symbol_universe
-from marketbars.storage import stage
+from marketbars.sources.tables import read_layer, symbol_universe
+from marketbars.storage import staging
 
 
 @dataclass(frozen=True)
@@ -46,44 +46,60 @@ def ingest(
     """
     sinks.ensure_landing_table(spark, table)
     symbols = symbol_universe(spark) if symbols is None else symbols
-    marks = stage(watermarks(symbols, read_layer(spark, table), default_start))
-    batch = ingest_window(feed, marks, as_of)
-    sinks.append_absent(batch, table, on_bad, quarantine_table)
+    with staging(spark) as stage:
+        marks = stage(watermarks(symbols, read_layer(spark, table), default_start))
+        batch = ingest_window(feed, marks, as_of)
+        sinks.append_absent(batch, table, on_bad, quarantine_table)
 
 
 def build_layers(
-    spark: SparkSession, tables: Tables = Tables(), mode: str = "full", rebuild: bool = False
+    spark: SparkSession,
+    tables: Tables = Tables(),
+    mode: str = "full",
+    since: dt.date | str | None = None,
+    rebuild: bool = False,
 ) -> None:
     """Bronze and silver by upsert, gold anew, from the landing table.
 
     ``mode='full'`` computes all of bronze and silver again. ``'tail'`` finds
     the landing rows that bronze lacks or holds differently and recomputes only
-    what they reach. ``rebuild`` replaces every layer, which also removes rows
-    whose source row is gone; otherwise those stay.
+    what they reach; with ``since`` it looks for them from that date on only.
+    ``rebuild`` replaces every layer, which also removes rows whose source row
+    is gone; otherwise those stay.
     """
     if mode not in ("full", "tail"):
         raise ValueError(f"mode must be 'full' or 'tail', not {mode!r}")
-    landing = bar_columns(spark.table(tables.landing))
-    reject_duplicates(landing)
+    if since is not None and (rebuild or mode != "tail"):
+        raise ValueError("since limits a tail build only")
     sinks.ensure_bronze_table(spark, tables.bronze)
     sinks.ensure_silver_table(spark, tables.silver)
+    landing = read_layer(spark, tables.landing, S.BAR_COLUMNS, since)
+    reject_duplicates(landing)
     if rebuild:
         sinks.write_reload(landing, tables.bronze)
         sinks.write_reload(enrich(read_layer(spark, tables.bronze)), tables.silver)
     elif mode == "full":
-        sinks.write_upsert(landing, tables.bronze)
-        sinks.write_upsert(enrich(read_layer(spark, tables.bronze)), tables.silver)
+        sinks.write_upsert(landing, tables.bronze, check_unique=False)
+        silver = enrich(read_layer(spark, tables.bronze))
+        sinks.write_upsert(silver, tables.silver, check_unique=False)
     else:
-        # Silver goes first: if the run fails in between, the next one still
-        # finds the same changes in bronze.
-        bronze = read_layer(spark, tables.bronze)
-        changed = stage(changed_rows(bronze, landing))
-        tail = refresh_tail(upsert_by_key(bronze, changed), changed)
-        sinks.write_upsert(tail, tables.silver)
-        sinks.write_upsert(changed, tables.bronze)
+        _build_tail(spark, tables, landing, since)
     sinks.write_rebuild(summarize(read_layer(spark, tables.silver)), tables.gold)
 
 
+def _build_tail(
+    spark: SparkSession, tables: Tables, landing: DataFrame, since: dt.date | str | None
+) -> None:
+    """Silver goes first: after a failure in between, the next run still finds
+    the same changes in bronze."""
+    with staging(spark) as stage:
+        changed = stage(changed_rows(read_layer(spark, tables.bronze, since=since), landing))
+        bronze = upsert_by_key(read_layer(spark, tables.bronze), changed)
+        tail = refresh_tail(bronze, changed, stage=stage)
+        sinks.write_upsert(tail, tables.silver, check_unique=False)
+        sinks.write_upsert(changed, tables.bronze, check_unique=False)
+
+
 def forecast_close(
     spark: SparkSession, tables: Tables = Tables(), horizon: int = S.HORIZON_DAYS
 ) -> None:

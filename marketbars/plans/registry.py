@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +18,12 @@ from marketbars.operators.enrich import (
     with_moving_average,
 )
 from marketbars.operators.refresh import refresh_tail
+from marketbars.plans import jobs
 from marketbars.sinks import tables as sinks
 from marketbars.sources import tables as layers
 from marketbars.sources.feed import ARRIVAL, normalize_feed, read_feed
 from marketbars.sources.tape import bars_from_events, bars_from_lineitem
-from marketbars.storage import shared_dir, stage
+from marketbars.storage import new_folder, stage
 from marketbars.streaming.landing import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def _bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(bars_from_lineitem(spark, sf_dir))
 
 
+def _closes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored closes: for operators that look at no other column."""
+    return stage(bars_from_lineitem(spark, sf_dir).select("date", "symbol", "close"))
+
+
 def _target(bars: DataFrame) -> DataFrame:
     return bars.where((F.col("date") < F.lit(SPLIT).cast("date")) & (F.col("symbol") != NEW_SYMBOL))
 
@@ -154,22 +159,73 @@ def ingest_increment(spark, sf_dir):
     return merge.insert_if_absent(target, stage(wm.ingest_window(feed, marks, AS_OF)))
 
 
+def _database(spark: SparkSession) -> tuple[str, str]:
+    """A new database whose tables lie in the shared folder."""
+    folder = new_folder(spark)
+    name = f"marketbars_{folder.rsplit('/', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    return name, folder
+
+
 def ingest_stream_query(spark, sf_dir):
     """Bars written as landing files, loaded by the stream, read from the table."""
-    run = uuid.uuid4().hex
-    root = f"{shared_dir(spark).rstrip('/')}/marketbars/{run}"
-    _as_feed(bars_from_lineitem(spark, sf_dir)).write.option("header", "true").csv(f"{root}/feed")
-    table = f"landing_{run}"
-    spark.sql(
-        f"CREATE TABLE {table} {S.BAR_TABLE_DDL} LOCATION '{root}/table'"
-    )
-    ingest_stream(spark, f"{root}/feed", table, f"{root}/checkpoint")
+    database, folder = _database(spark)
+    feed = f"{folder}/feed"
+    _as_feed(bars_from_lineitem(spark, sf_dir)).write.option("header", "true").csv(feed)
+    ingest_stream(spark, feed, f"{database}.stock_data", f"{folder}/checkpoint")
+    return layers.read_layer(spark, f"{database}.stock_data")
+
+
+def _table_with(spark: SparkSession, rows: DataFrame) -> str:
+    table = f"{_database(spark)[0]}.stock_data"
+    sinks.ensure_landing_table(spark, table)
+    sinks.append_absent(rows, table)
+    return table
+
+
+def table_insert(spark, sf_dir):
+    """`insert_if_absent` on a stored table."""
+    bars = _bars(spark, sf_dir)
+    table = _table_with(spark, bars.where(F.col("date") < F.lit(SPLIT).cast("date")))
+    sinks.append_absent(_batch(bars), table)
+    return layers.read_layer(spark, table)
+
+
+def table_upsert(spark, sf_dir):
+    """`upsert_by_key` on a stored table."""
+    bars = _bars(spark, sf_dir)
+    table = _table_with(spark, bars.where(F.col("date") < F.lit(SPLIT).cast("date")))
+    sinks.write_upsert(_batch(bars), table)
     return layers.read_layer(spark, table)
 
 
+def _warehouse(spark: SparkSession, sf_dir: str) -> jobs.Tables:
+    """All bars ingested and built into layers, through the stored tables."""
+    database = _database(spark)[0]
+    tables = jobs.Tables(**{k: f"{database}.{v}" for k, v in vars(jobs.Tables()).items()})
+    feed = normalize_feed(_as_feed(bars_from_lineitem(spark, sf_dir)))
+    symbols = _symbols(spark, sf_dir)
+    jobs.ingest(spark, feed, "2100-01-01", symbols, tables.landing, default_start="1900-01-01")
+    jobs.build_layers(spark, tables)
+    return tables
+
+
+def build_layers(spark, sf_dir):
+    """The stored gold layer after ingest and build."""
+    gold = layers.read_layer(spark, _warehouse(spark, sf_dir).gold)
+    return _rounded(gold, 6, "avg_monthly_volatility")
+
+
+def build_forecast(spark, sf_dir):
+    """The stored forecast from gold after ingest, build and forecast."""
+    tables = _warehouse(spark, sf_dir)
+    jobs.forecast_avg_close(spark, tables)
+    return _rounded(spark.table(tables.forecast_avg_close), 3, "predicted_close")
+
+
 def read_feed_query(spark, sf_dir):
     """Bars written as CSV landing files and read back through the feed schema."""
-    path = f"{shared_dir(spark).rstrip('/')}/marketbars/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     _as_feed(bars_from_events(spark, sf_dir)).write.option("header", "true").csv(path)
     return normalize_feed(read_feed(spark, path)).drop(ARRIVAL)
 
@@ -187,24 +243,24 @@ def silver_not_null_keys(spark, sf_dir):
 
 
 def prev_close(spark, sf_dir):
-    return with_changes(_bars(spark, sf_dir)).select("date", "symbol", "close", "prev_close")
+    return with_changes(_closes(spark, sf_dir)).select("date", "symbol", "close", "prev_close")
 
 
 def daily_change(spark, sf_dir):
-    return with_changes(_bars(spark, sf_dir)).select("date", "symbol", "daily_change")
+    return with_changes(_closes(spark, sf_dir)).select("date", "symbol", "daily_change")
 
 
 def daily_change_percent(spark, sf_dir):
-    return with_changes(_bars(spark, sf_dir)).select("date", "symbol", "daily_change_percent")
+    return with_changes(_closes(spark, sf_dir)).select("date", "symbol", "daily_change_percent")
 
 
 def weekly_ma(spark, sf_dir):
-    bars = _bars(spark, sf_dir)
+    bars = _closes(spark, sf_dir)
     return with_moving_average(bars, "weekly_ma", S.WEEKLY_ROWS).select("date", "symbol", "weekly_ma")
 
 
 def monthly_ma(spark, sf_dir):
-    bars = _bars(spark, sf_dir)
+    bars = _closes(spark, sf_dir)
     return with_moving_average(bars, "monthly_ma", S.MONTHLY_ROWS).select(
         "date", "symbol", "monthly_ma"
     )
@@ -216,7 +272,7 @@ def month_bucket_query(spark, sf_dir):
 
 
 def monthly_volatility(spark, sf_dir):
-    rows = with_month_volatility(with_changes(_bars(spark, sf_dir)))
+    rows = with_month_volatility(with_changes(_closes(spark, sf_dir)))
     return _rounded(rows, 6, "monthly_volatility").select("date", "symbol", "monthly_volatility")
 
 
@@ -263,7 +319,7 @@ def daily_summary(spark, sf_dir):
 
 
 def classify_anomaly(spark, sf_dir):
-    changes = with_changes(_bars(spark, sf_dir)).select(
+    changes = with_changes(_closes(spark, sf_dir)).select(
         "date", "symbol", F.col("daily_change_percent").alias("avg_daily_change_percent")
     )
     return summary.classify_anomaly(changes)
@@ -274,7 +330,7 @@ def gold(spark, sf_dir):
 
 
 def day_index(spark, sf_dir):
-    return trend.day_index(_bars(spark, sf_dir), "close")
+    return trend.day_index(_closes(spark, sf_dir), "close")
 
 
 def fit_trend(spark, sf_dir):
@@ -341,7 +397,7 @@ def edge_nan(spark, sf_dir):
 def edge_thresholds(spark, sf_dir):
     """Whole percents, so that the limits themselves occur; zero becomes NULL."""
     whole = F.nullif(F.floor("daily_change_percent").cast("double"), F.lit(0.0))
-    changes = with_changes(_bars(spark, sf_dir)).select(
+    changes = with_changes(_closes(spark, sf_dir)).select(
         "date", "symbol", whole.alias("avg_daily_change_percent")
     )
     return summary.classify_anomaly(changes)
@@ -380,6 +436,8 @@ QUERIES: dict[str, Query] = {
     "first_per_key": first_per_key,
     "insert_if_absent": insert_if_absent,
     "upsert_by_key": upsert_by_key,
+    "table_insert": table_insert,
+    "table_upsert": table_upsert,
     "bronze": bronze,
     "symbol_slice": symbol_slice,
     "history": history,
@@ -398,6 +456,8 @@ QUERIES: dict[str, Query] = {
     "daily_summary": daily_summary,
     "classify_anomaly": classify_anomaly,
     "gold": gold,
+    "build_layers": build_layers,
+    "build_forecast": build_forecast,
     "day_index": day_index,
     "fit_trend": fit_trend,
     "forecast_close": forecast_close,

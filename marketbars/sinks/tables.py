@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from marketbars import schemas as S
 from marketbars.functions.expressions import month_bucket
-from marketbars.operators.audit import bad_key, require_not_null
+from marketbars.operators.audit import bad_key, reject_duplicates, require_not_null
 from marketbars.operators.merge import absent_rows, first_per_key
 from marketbars.sources.feed import ARRIVAL
-from marketbars.storage import stage
+from marketbars.storage import staging
 
 _MONTH_KEY = (S.MONTH, *S.KEY)
 
@@ -95,46 +95,56 @@ def append_absent(
     first: only then is its size known, and the table is pruned to its months.
     """
     spark = batch.sparkSession
-    if on_bad == "quarantine":
-        if not quarantine_table:
-            raise ValueError("on_bad='quarantine' needs a quarantine_table")
-        batch = stage(batch)
-        bad = F.coalesce(bad_key(), F.lit(True))
-        batch.where(bad).select(*S.BAR_COLUMNS).write.mode("append").saveAsTable(quarantine_table)
-        batch = batch.where(~bad)
-    elif on_bad == "error":
-        batch = require_not_null(batch)
-    else:
+    if on_bad not in ("error", "quarantine"):
         raise ValueError(f"on_bad must be 'error' or 'quarantine', not {on_bad!r}")
-    if ARRIVAL in batch.columns:
-        batch = first_per_key(batch)
-    batch = stage(_with_month(batch))
-    new = absent_rows(_months_between(spark.table(table), batch), batch, _MONTH_KEY)
-    _by_month(new, table).write.insertInto(table)
+    if on_bad == "quarantine" and not quarantine_table:
+        raise ValueError("on_bad='quarantine' needs a quarantine_table")
+    with staging(spark) as stage:
+        if on_bad == "quarantine":
+            batch = _set_aside(stage(batch), quarantine_table)
+        batch = require_not_null(batch)
+        if ARRIVAL in batch.columns:
+            batch = first_per_key(batch)
+        batch = stage(_with_month(batch))
+        new = absent_rows(_months_between(spark.table(table), batch), batch, _MONTH_KEY)
+        _by_month(new, table).write.insertInto(table)
+
+
+def _set_aside(batch: DataFrame, quarantine_table: str) -> DataFrame:
+    """Append the rows a bar table refuses to another table, return the others."""
+    bad = F.coalesce(bad_key(), F.lit(True))
+    batch.where(bad).select(*S.BAR_COLUMNS).write.mode("append").saveAsTable(quarantine_table)
+    return batch.where(~bad)
 
 
-def write_upsert(batch: DataFrame, table: str, key: Sequence[str] = S.KEY) -> None:
+def write_upsert(
+    batch: DataFrame, table: str, key: Sequence[str] = S.KEY, check_unique: bool = True
+) -> None:
     """Replace the table's rows of the batch's keys, keep all others.
 
-    Only months the batch touches are read and rewritten. Batch keys must be
-    unique; see `reject_duplicates`.
+    Only months the batch touches are read and rewritten. A batch that repeats
+    a key is refused; ``check_unique=False`` is for batches known not to.
     """
     spark = batch.sparkSession
     batch = _with_month(require_not_null(batch, key))
-    target = spark.table(table)
-    if target.isEmpty():
-        _by_month(batch, table).write.insertInto(table)
-        return
-    batch = stage(batch)
-    months = batch.select(S.MONTH).distinct()
-    kept = (
-        _months_between(target, batch)
-        .join(months, S.MONTH, "left_semi")
-        .join(batch.select(*key), list(key), "left_anti")
-    )
-    rows = kept.unionByName(batch.select(*target.columns))
-    with _overwriting(spark, "dynamic"):
-        _by_month(rows, table).write.mode("overwrite").insertInto(table)
+    with staging(spark) as stage:
+        target = spark.table(table)
+        fresh = target.isEmpty()
+        if check_unique or not fresh:
+            batch = stage(batch)
+        if check_unique:
+            reject_duplicates(batch, key)
+        if fresh:
+            _by_month(batch, table).write.insertInto(table)
+            return
+        kept = (
+            _months_between(target, batch)
+            .join(batch.select(S.MONTH).distinct(), S.MONTH, "left_semi")
+            .join(batch.select(*key), list(key), "left_anti")
+        )
+        rows = kept.unionByName(batch.select(*target.columns))
+        with _overwriting(spark, "dynamic"):
+            _by_month(rows, table).write.mode("overwrite").insertInto(table)
 
 
 def write_reload(df: DataFrame, table: str) -> None:
@@ -143,8 +153,9 @@ def write_reload(df: DataFrame, table: str) -> None:
     The rows are stored before the table is emptied, so a failing computation
     costs no data.
     """
-    rows = stage(_with_month(require_not_null(df)))
-    with _overwriting(df.sparkSession, "static"):
+    spark = df.sparkSession
+    with staging(spark) as stage, _overwriting(spark, "static"):
+        rows = stage(_with_month(require_not_null(df)))
         _by_month(rows, table).write.mode("overwrite").insertInto(table)
 
 
@@ -171,6 +182,8 @@ def write_replace(df: DataFrame, table: str) -> None:
     The rows are stored before the table is emptied, so a failing computation
     costs no data.
     """
-    columns = df.sparkSession.table(table).columns
-    rows = stage(require_not_null(df, columns))
-    rows.select(*columns).write.mode("overwrite").insertInto(table)
+    spark = df.sparkSession
+    columns = spark.table(table).columns
+    with staging(spark) as stage:
+        rows = stage(require_not_null(df, columns))
+        rows.select(*columns).write.mode("overwrite").insertInto(table)

@@ -17,10 +17,19 @@ def bar_columns(df: DataFrame) -> DataFrame:
 
 
 def read_layer(
-    spark: SparkSession, table: str, columns: Iterable[str] | None = None
+    spark: SparkSession,
+    table: str,
+    columns: Iterable[str] | None = None,
+    since: dt.date | str | None = None,
 ) -> DataFrame:
-    """A stored layer without its storage partition column."""
+    """A stored layer without its storage partition column.
+
+    ``since`` leaves out earlier dates; their months are not read.
+    """
     layer = spark.table(table)
+    if since is not None:
+        day = F.lit(str(since)).cast("date")
+        layer = layer.where((F.col(S.MONTH) >= F.trunc(day, "MM")) & (F.col("date") >= day))
     return layer.select(*columns) if columns else layer.drop(S.MONTH)
 
 

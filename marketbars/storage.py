@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+Stage = Callable[[DataFrame], DataFrame]
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -24,14 +28,33 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def new_folder(spark: SparkSession) -> str:
+    """The path of a folder in the shared one that nothing else uses."""
+    return f"{shared_dir(spark).rstrip('/')}/marketbars/{uuid.uuid4().hex}"
+
+
+def _store(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once and go on from the stored copy.
 
     For frames used by more than one branch of a plan: the upstream work runs
     once, each branch reads only its columns, a lost executor costs a re-read,
-    and Spark sees the stored size when it decides whether to broadcast.
+    and Spark sees the stored size when it decides whether to broadcast. The
+    copy stays as long as the shared folder keeps it, like a checkpoint.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/marketbars/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _store(df, new_folder(df.sparkSession))
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Stage]:
+    """`stage` for the length of a job: its copies are removed at the end."""
+    folder = new_folder(spark)
+    try:
+        yield lambda df: _store(df, f"{folder}/{uuid.uuid4().hex}")
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

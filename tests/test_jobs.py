@@ -73,7 +73,7 @@ def test_stream_equals_one_batch_load(spark, tables, tmp_path):
 
 
 def test_layers_and_forecasts(spark, tables):
-    rows = [r for r in random_bars(21, symbols=6) if r[1] < "2018"]
+    rows = random_bars(21, symbols=6, first=2008, last=2013)
     sinks.ensure_landing_table(spark, tables.landing)
     sinks.append_absent(bars(spark, rows), tables.landing)
     jobs.build_layers(spark, tables)
@@ -96,7 +96,7 @@ def test_layers_and_forecasts(spark, tables):
 
 
 def test_tail_build_equals_full_build(spark, tables):
-    rows = random_bars(22, symbols=5)
+    rows = random_bars(22, symbols=5, first=2008, last=2016)
     sinks.ensure_landing_table(spark, tables.landing)
     sinks.append_absent(bars(spark, [r for r in rows if r[1] < "2015"]), tables.landing)
     jobs.build_layers(spark, tables)
@@ -108,7 +108,7 @@ def test_tail_build_equals_full_build(spark, tables):
     assert same(read_layer(spark, tables.silver).select(*exact), expected.select(*exact))
     assert same(read_layer(spark, tables.bronze), read_layer(spark, tables.landing))
     # Nothing changed: nothing to do.
-    jobs.build_layers(spark, tables, mode="tail")
+    jobs.build_layers(spark, tables, mode="tail", since="2015-01-01")
     assert same(read_layer(spark, tables.silver).select(*exact), expected.select(*exact))
 
 
@@ -136,3 +136,5 @@ def test_duplicate_keys_stop_the_build(spark, tables):
         jobs.build_layers(spark, tables)
     with pytest.raises(ValueError):
         jobs.build_layers(spark, tables, mode="some")
+    with pytest.raises(ValueError, match="since"):
+        jobs.build_layers(spark, tables, since="2020-01-01")

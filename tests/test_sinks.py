@@ -1,4 +1,5 @@
 import uuid
+from pathlib import Path
 
 import pytest
 from frames import bars, closes, day
@@ -10,6 +11,7 @@ from marketbars.operators.merge import first_per_key
 from marketbars.sinks import tables as sinks
 from marketbars.sources.feed import ARRIVAL
 from marketbars.sources.tables import read_layer
+from marketbars.storage import shared_dir
 
 JAN, FEB = day("01-02"), day("02-03")
 
@@ -102,6 +104,21 @@ def test_upsert_rewrites_touched_months_only(spark, table):
     assert before[day("02-01")] != after[day("02-01")]
 
 
+def test_upsert_refuses_repeated_keys(spark, table):
+    with pytest.raises(ValueError, match="duplicate key"):
+        sinks.write_upsert(bars(spark, [("A", "01-02", 1.0), ("A", "01-02", 2.0)]), table)
+    assert stored(spark, table) == []
+
+
+def test_staged_copies_are_removed(spark, table):
+    root = Path(shared_dir(spark)) / "marketbars"
+    before = set(root.glob("*"))
+    sinks.append_absent(bars(spark, [("A", "01-02", 10.0)]), table)
+    sinks.write_upsert(bars(spark, [("A", "01-02", 11.0)]), table)
+    assert set(root.glob("*")) == before
+    assert stored(spark, table) == [("A", JAN, 11.0)]
+
+
 def test_upsert_refuses_null_keys(spark, table):
     sinks.write_upsert(bars(spark, [("A", "01-02", 10.0)]), table)
     with pytest.raises(PySparkException):

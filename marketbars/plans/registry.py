@@ -297,14 +297,15 @@ def silver_sparse(spark, sf_dir):
 
 
 def silver_tail(spark, sf_dir):
-    """Silver after restated bars, recomputed only from their months on."""
-    bars = _bars(spark, sf_dir)
-    changed = bars.where(F.col("date") >= F.lit("2000-11-15").cast("date")).withColumn(
-        "close", F.col("close") + 1
+    """Silver kept up to date after restated bars: only their reach is computed."""
+    before = _bars(spark, sf_dir)
+    changed = stage(
+        before.where(F.col("date") >= F.lit("2000-11-15").cast("date")).withColumn(
+            "close", F.col("close") + 1
+        )
     )
-    changed = stage(changed)
-    after = merge.upsert_by_key(bars, changed)
-    return _rounded(refresh_tail(after, changed), 6, "monthly_volatility")
+    tail = stage(refresh_tail(merge.upsert_by_key(before, changed), changed))
+    return _rounded(merge.upsert_by_key(enrich(before), tail), 6, "monthly_volatility")
 
 
 def _gold(spark, sf_dir):

@@ -101,6 +101,21 @@ def test_first_per_key_decides_equal_arrivals(spark):
     assert closes(first_per_key(batch), "close") == [("A", day("01-03"), 3.0)]
 
 
+def test_copies_of_one_key_are_reduced_before_the_shuffle(spark):
+    """One key holds a third of a large batch: each task sends one row of it."""
+    hot = spark.range(100_000, numPartitions=4).selectExpr("date'2020-01-02' AS date", "'HOT' AS symbol", "id")
+    rest = spark.range(200_000, numPartitions=4).selectExpr(
+        "date_add(date'1990-01-01', cast(id % 10000 as int)) AS date", "concat('S', id div 10000) AS symbol", "id"
+    )
+    batch = hot.unionByName(rest).select("date", "symbol", F.col("id").alias(ARRIVAL), "id")
+    first = first_per_key(batch)
+    assert first.where("symbol = 'HOT'").first().id == 0
+    assert first.count() == 200_001
+    first.write.format("noop").mode("overwrite").save()
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_min") == 1 and "Window" not in plan
+
+
 def test_upsert(spark):
     target = bars(spark, [("A", "01-02", 10.0), ("A", "02-03", 20.0)])
     batch = bars(spark, [("A", "02-03", 21.0), ("A", "02-04", 22.0)])

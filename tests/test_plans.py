@@ -12,6 +12,7 @@ from marketbars.operators.series import BLOCK
 from marketbars.operators.summary import summarize
 from marketbars.operators.trend import day_index, fit_trend, forecast
 from marketbars.plans.registry import QUERIES
+from marketbars.session import shuffle_partitions
 from marketbars.sinks import tables as sinks
 from marketbars.sources.tables import symbol_slice
 from marketbars.storage import shared_dir, stage
@@ -107,3 +108,10 @@ def test_scratch_comes_from_the_session(spark):
     assert root == spark.conf.get("spark.checkpoint.dir")
     (file,) = stage(spark.range(1).coalesce(1)).inputFiles()
     assert root in file
+
+
+@pytest.mark.parametrize(
+    ("size", "partitions"), [(0, 8), (2**20, 8), (10 * 2**40, 40_960), (100 * 2**40, 50_000)]
+)
+def test_shuffle_partitions_follow_the_size(size, partitions):
+    assert shuffle_partitions(size) == partitions

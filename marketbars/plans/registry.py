@@ -22,7 +22,11 @@ from marketbars.plans import jobs
 from marketbars.sinks import tables as sinks
 from marketbars.sources import tables as layers
 from marketbars.sources.feed import ARRIVAL, normalize_feed, read_feed
-from marketbars.sources.tape import bars_from_events, bars_from_lineitem
+from marketbars.sources.tape import (
+    bars_from_events,
+    bars_from_lineitem,
+    trades_from_lineitem,
+)
 from marketbars.storage import new_folder, stage
 from marketbars.streaming.landing import ingest_stream
 
@@ -138,14 +142,9 @@ def upsert_by_key(spark, sf_dir):
 
 def first_per_key(spark, sf_dir):
     """The first order line of each (date, brand): repeated keys in one batch."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    batch = lineitem.join(part, lineitem.l_partkey == part.p_partkey).select(
-        F.col("l_shipdate").cast("date").alias("date"),
-        F.col("p_brand").alias("symbol"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(ARRIVAL),
-        "l_quantity",
-        "l_extendedprice",
+    arrival = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(ARRIVAL)
+    batch = trades_from_lineitem(spark, sf_dir).select(
+        "date", "symbol", arrival, "l_quantity", "l_extendedprice"
     )
     return merge.first_per_key(batch)
 

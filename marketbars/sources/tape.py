@@ -29,26 +29,52 @@ def bars_from_prices(prices: DataFrame, order: Column, volume: Column) -> DataFr
     )
 
 
-def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as a trade tape: symbol is the part's brand, price whole cents.
+def _on_all_cores(scan: DataFrame, *by: str) -> DataFrame:
+    """A scan of fewer splits than cores, dealt out to all of them.
+
+    Spark cuts files into that few splits only while a table has less than
+    `spark.sql.files.openCostInBytes` (4 MB) per core. So only small tables
+    move; larger ones are read in parallel anyway and stay where they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *by)
+
+
+# Order and line number repeat in the data; the further fields decide ties.
+TRADE_ORDER = (
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+)
+
+
+def trades_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as trades of (date, symbol): symbol is the part's brand.
 
     Neither side of the join has a size bound, so none is hinted; Spark
     broadcasts ``part`` while it is below the configured limit.
     """
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    prices = lineitem.join(part, lineitem.l_partkey == part.p_partkey).withColumns(
-        {
-            "symbol": F.col("p_brand"),
-            "date": F.col("l_shipdate").cast("date"),
-            "price": F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("double"),
-        }
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_shipdate").cast("date").alias("date"), *TRADE_ORDER
+    )
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        "p_partkey", F.col("p_brand").alias("symbol")
     )
-    # Order and line number repeat in the data; the further fields decide ties.
-    order = F.struct(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+    return _on_all_cores(lineitem, "date").join(
+        part, F.col("l_partkey") == F.col("p_partkey")
     )
-    return bars_from_prices(prices, order, F.sum("l_quantity"))
+
+
+def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of the line item trades, prices in whole cents per unit."""
+    price = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("double")
+    prices = trades_from_lineitem(spark, sf_dir).withColumn("price", price)
+    return bars_from_prices(prices, F.struct(*TRADE_ORDER), F.sum("l_quantity"))
 
 
 def bars_from_events(

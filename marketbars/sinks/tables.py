@@ -1,8 +1,11 @@
 """Table creation and the write modes of the layers.
 
-Bar tables are Parquet, partitioned by month. One writer at a time: a file
-table has no transactions, but every mode here can be run again after a
-failure and gives the same table.
+Bar tables are Parquet, partitioned by month, with one writer at a time. A
+write that fails, or loses executors, leaves the table as it was and can be run
+again. Files have no transactions, though: a driver lost during the final move
+of files may leave a month half done. The landing table is only ever appended
+to, a build refuses repeated keys in it, and `build_layers(rebuild=True)` makes
+all other layers from it.
 """
 
 from __future__ import annotations
@@ -93,8 +96,9 @@ def append_absent(
 
     Stored rows win; inside the batch the first to arrive wins. Rows with a
     NULL key or too long a symbol fail the write, or with
-    ``on_bad='quarantine'`` go to ``quarantine_table``. The batch is stored
-    first: only then is its size known, and the table is pruned to its months.
+    ``on_bad='quarantine'`` go to ``quarantine_table``, again if the batch is
+    sent again. The batch is stored first: only then is its size known, and the
+    table is pruned to its months.
     """
     spark = batch.sparkSession
     if on_bad not in ("error", "quarantine"):

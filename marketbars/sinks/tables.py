@@ -1,9 +1,9 @@
 """Table creation and the write modes of the layers.
 
 Bar tables are Parquet, partitioned by month, with one writer at a time. A
-write that fails, or loses executors, leaves the table as it was and can be run
-again. Files have no transactions, though: a driver lost during the final move
-of files may leave a month half done. The landing table is only ever appended
+write whose computation fails leaves the table as it was and can be run again;
+lost executors only cost time. Files have no transactions, though: a driver
+lost during the final move of files may leave a month half done. The landing table is only ever appended
 to, a build refuses repeated keys in it, and `build_layers(rebuild=True)` makes
 all other layers from it.
 """
@@ -172,26 +172,32 @@ def write_rebuild(df: DataFrame, table: str) -> None:
     as it was.
     """
     spark = df.sparkSession
-    fresh, old = f"{table}__new", f"{table}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    # Registered before it is filled: what a crash leaves behind can be dropped.
-    spark.createDataFrame([], df.schema).write.format("parquet").saveAsTable(fresh)
-    df.write.insertInto(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    with _successor(spark, table) as fresh:
+        # Registered before it is filled: what a crash leaves can be dropped.
+        spark.createDataFrame([], df.schema).write.format("parquet").saveAsTable(fresh)
+        df.write.insertInto(fresh)
 
 
 def write_replace(df: DataFrame, table: str) -> None:
-    """Empty the table and load it from ``df``, keeping its definition.
+    """Load an unpartitioned table anew from ``df``, keeping its definition.
 
-    The rows are stored before the table is emptied, so a failing computation
-    costs no data.
+    No column may be NULL. A load that fails leaves the old rows.
     """
     spark = df.sparkSession
     columns = spark.table(table).columns
-    with staging(spark) as stage:
-        rows = stage(require_not_null(df, columns))
-        rows.select(*columns).write.mode("overwrite").insertInto(table)
+    with _successor(spark, table) as fresh:
+        spark.sql(f"CREATE TABLE {fresh} LIKE {table}")
+        require_not_null(df, columns).select(*columns).write.insertInto(fresh)
+
+
+@contextmanager
+def _successor(spark: SparkSession, table: str) -> Iterator[str]:
+    """The name of a new table, which replaces ``table`` when all went well."""
+    fresh, old = f"{table}__new", f"{table}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    yield fresh
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")

@@ -17,6 +17,7 @@ from marketbars.operators.enrich import (
 )
 from marketbars.operators.merge import upsert_by_key
 from marketbars.operators.refresh import changed_rows, refresh_tail
+from marketbars.operators.series import calendar_block
 from marketbars.storage import stage
 
 
@@ -158,6 +159,14 @@ def test_cut_series_equal_uncut_ones(spark, years):
     assert expected.exceptAll(actual).isEmpty()
 
 
+def test_block_size_is_bounded_by_the_calendar(spark):
+    days = spark.sql(
+        "SELECT explode(sequence(date'1970-01-01', date'2029-12-31')) AS date, 'HOT' AS symbol"
+    )
+    sizes = [r["count"] for r in days.groupBy(calendar_block()).count().collect()]
+    assert max(sizes) == 5 * 365 + 2 and len(sizes) == 12
+
+
 def test_block_must_be_a_year_or_more(spark):
     with pytest.raises(ValueError):
         enrich(bars(spark, [("A", "01-02", 10.0)]), years=0)

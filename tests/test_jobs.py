@@ -5,6 +5,7 @@ from frames import bars, closes, day
 from test_enrich import random_bars, uncut
 
 from marketbars import schemas as S
+from marketbars.cli import main
 from marketbars.operators.summary import summarize
 from marketbars.operators.trend import forecast
 from marketbars.plans import jobs
@@ -138,3 +139,34 @@ def test_duplicate_keys_stop_the_build(spark, tables):
         jobs.build_layers(spark, tables, mode="some")
     with pytest.raises(ValueError, match="since"):
         jobs.build_layers(spark, tables, since="2020-01-01")
+
+
+def test_command_line(spark, tmp_path):
+    database = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    feed, more = tmp_path / "feed", tmp_path / "more"
+    days = [f"2024-01-{d:02d}" for d in range(2, 13)]
+    land(spark, feed, [("AAPL", d, float(i + 10)) for i, d in enumerate(days)])
+    land(spark, more, [("MSFT", "2024-01-02", 5.0)])
+
+    def run(*arguments):
+        main(["--database", database, *arguments], spark)
+
+    run("ingest", str(feed), "--as-of", "2024-01-10")
+    run("stream", str(more), "--checkpoint", str(tmp_path / "state"))
+    run("build")
+    run("ingest", str(feed), "--as-of", "2024-01-14")
+    run("build", "--mode", "tail", "--since", "2024-01-09")
+    run("forecast", "--horizon", "3")
+    gold = closes(spark.table(f"{database}.{S.GOLD_TABLE}"), "avg_close", "anomaly_type")
+    assert [r[:3] for r in gold] == [
+        *[("AAPL", day(d), float(i + 10)) for i, d in enumerate(days)],
+        ("MSFT", day("2024-01-02"), 5.0),
+    ]
+    assert gold[1][3] == "High Positive Change"
+    for name in (S.FORECAST_CLOSE_TABLE, S.FORECAST_AVG_CLOSE_TABLE):
+        got = closes(spark.table(f"{database}.{name}"), "predicted_close")
+        assert [r[2] for r in got] == pytest.approx([21, 22, 23, 5, 5, 5])
+    with pytest.raises(SystemExit):
+        run("build", "--mode", "some")
+    spark.sql(f"DROP DATABASE {database} CASCADE")

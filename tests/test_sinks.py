@@ -160,4 +160,8 @@ def test_replace_empties_and_loads(spark):
     with pytest.raises(PySparkException, match="predicted_close must not be NULL"):
         sinks.write_replace(spark.createDataFrame([("A", None, JAN)], schema), name)
     assert [tuple(r) for r in spark.table(name).collect()] == [(JAN, "A", 2.0)]
+    # The definition is still the table's own.
+    with pytest.raises(PySparkException, match="length limitation"):
+        sinks.write_replace(spark.createDataFrame([("ABCDEFGHIJK", 1.0, JAN)], schema), name)
     spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP TABLE {name}__new")

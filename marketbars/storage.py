@@ -13,19 +13,20 @@ Stage = Callable[[DataFrame], DataFrame]
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or set as checkpoint folder.
 
-    Only a local session that names none gets a temporary folder; on a cluster
+    Only a local session that has neither gets a temporary folder; on a cluster
     such a folder would be lost together with its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="marketbars-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="marketbars-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession) -> str:

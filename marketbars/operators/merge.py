@@ -21,10 +21,11 @@ def first_per_key(
     the same moment are decided by their values.
     """
     rest = [name for name in batch.columns if name not in (*key, order)]
+    kept = [name for name in batch.columns if name != order]
     return (
         batch.groupBy(*key)
         .agg(F.min(F.struct(order, *rest)).alias("_first"))
-        .select(*[name if name in key else f"_first.{name}" for name in batch.columns if name != order])
+        .select(*[name if name in key else f"_first.{name}" for name in kept])
     )
 
 

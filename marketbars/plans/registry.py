@@ -55,7 +55,8 @@ def _target(bars: DataFrame) -> DataFrame:
 
 
 def _symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_brand").alias("symbol")).distinct()
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return layers.distinct_symbols(part.select(F.col("p_brand").alias("symbol")))
 
 
 def _as_feed(bars: DataFrame) -> DataFrame:
@@ -255,7 +256,9 @@ def daily_change_percent(spark, sf_dir):
 
 def weekly_ma(spark, sf_dir):
     bars = _closes(spark, sf_dir)
-    return with_moving_average(bars, "weekly_ma", S.WEEKLY_ROWS).select("date", "symbol", "weekly_ma")
+    return with_moving_average(bars, "weekly_ma", S.WEEKLY_ROWS).select(
+        "date", "symbol", "weekly_ma"
+    )
 
 
 def monthly_ma(spark, sf_dir):
@@ -385,7 +388,8 @@ def edge_nan(spark, sf_dir):
     """Flat days have a NaN close: it reaches changes, averages and labels."""
     bars = bars_from_lineitem(spark, sf_dir)
     flat = F.col("high") == F.col("low")
-    nans = stage(bars.withColumn("close", F.when(flat, F.lit(float("nan"))).otherwise(F.col("close"))))
+    close = F.when(flat, F.lit(float("nan"))).otherwise(F.col("close"))
+    nans = stage(bars.withColumn("close", close))
     labelled = summary.classify_anomaly(enrich(nans), percent="daily_change_percent")
     # NaN reads as NULL in some clients, so it is counted instead of shown.
     shown = ("prev_close", "daily_change", "daily_change_percent", "weekly_ma", "monthly_ma")

@@ -3,9 +3,9 @@
 Bar tables are Parquet, partitioned by month, with one writer at a time. A
 write whose computation fails leaves the table as it was and can be run again;
 lost executors only cost time. Files have no transactions, though: a driver
-lost during the final move of files may leave a month half done. The landing table is only ever appended
-to, a build refuses repeated keys in it, and `build_layers(rebuild=True)` makes
-all other layers from it.
+lost during the final move of files may leave a month half done. The landing
+table is only ever appended to, a build refuses repeated keys in it, and
+`build_layers(rebuild=True)` makes all other layers from it.
 """
 
 from __future__ import annotations

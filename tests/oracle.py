@@ -18,11 +18,18 @@ def connect(sf_dir):
     return con
 
 
+def _date_text(value):
+    """Dates come as date, timestamp or NaT, depending on the engine."""
+    if value is None or value is pd.NaT:
+        return None
+    return str(value)[:10] if hasattr(value, "year") else value
+
+
 def canonical(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)].copy()
     for column in frame.columns:
         if frame[column].dtype.kind in "OM":
-            frame[column] = frame[column].map(lambda v: None if v is None or v is pd.NaT else str(v)[:10] if hasattr(v, "year") else v)
+            frame[column] = frame[column].map(_date_text)
     return frame.sort_values(list(frame.columns), na_position="first").reset_index(drop=True)
 
 

@@ -208,7 +208,8 @@ def test_tail_refresh_equals_full_recompute(spark, seed):
 
 
 def test_tail_refresh_leaves_earlier_months_alone(spark):
-    data = stage(bars(spark, [("A", f"{m:02d}-{d:02d}", float(m * d)) for m in (1, 2, 3) for d in range(1, 29)]))
+    days = [(m, d) for m in (1, 2, 3) for d in range(1, 29)]
+    data = stage(bars(spark, [("A", f"{m:02d}-{d:02d}", float(m * d)) for m, d in days]))
     changed = bars(spark, [("A", "02-20", 1.0)])
     dates = [r.date for r in refresh_tail(data, changed).collect()]
     assert min(dates) == day("02-01") and max(dates) == day("03-28") and len(dates) == 56

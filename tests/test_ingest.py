@@ -103,9 +103,13 @@ def test_first_per_key_decides_equal_arrivals(spark):
 
 def test_copies_of_one_key_are_reduced_before_the_shuffle(spark):
     """One key holds a third of a large batch: each task sends one row of it."""
-    hot = spark.range(100_000, numPartitions=4).selectExpr("date'2020-01-02' AS date", "'HOT' AS symbol", "id")
+    hot = spark.range(100_000, numPartitions=4).selectExpr(
+        "date'2020-01-02' AS date", "'HOT' AS symbol", "id"
+    )
     rest = spark.range(200_000, numPartitions=4).selectExpr(
-        "date_add(date'1990-01-01', cast(id % 10000 as int)) AS date", "concat('S', id div 10000) AS symbol", "id"
+        "date_add(date'1990-01-01', cast(id % 10000 as int)) AS date",
+        "concat('S', id div 10000) AS symbol",
+        "id",
     )
     batch = hot.unionByName(rest).select("date", "symbol", F.col("id").alias(ARRIVAL), "id")
     first = first_per_key(batch)
@@ -128,7 +132,12 @@ def test_upsert(spark):
 def test_audits(spark):
     data = bars(
         spark,
-        [("A", "01-02", 1.0), ("A", "01-02", 2.0), (None, "01-03", None), ("ABCDEFGHIJK", None, 1.0)],
+        [
+            ("A", "01-02", 1.0),
+            ("A", "01-02", 2.0),
+            (None, "01-03", None),
+            ("ABCDEFGHIJK", None, 1.0),
+        ],
     )
     nulls = audit.audit_nulls(data, ("date", "symbol", "close")).first()
     assert nulls.asDict() == {"date_nulls": 1, "symbol_nulls": 1, "close_nulls": 1}

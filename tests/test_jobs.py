@@ -25,7 +25,9 @@ def tables(spark):
 
 
 def land(spark, path, rows, mode="append"):
-    data = [(f"{d} 00:00:00-05:00", s, c, c, c, c, 1, 0.0, 0.0, q) for q, (s, d, c) in enumerate(rows)]
+    data = [
+        (f"{d} 00:00:00-05:00", s, c, c, c, c, 1, 0.0, 0.0, q) for q, (s, d, c) in enumerate(rows)
+    ]
     frame = spark.createDataFrame(data, S.FEED).coalesce(1)
     frame.write.mode(mode).option("header", "true").csv(str(path))
 

@@ -93,7 +93,8 @@ def test_slice_reaches_the_scan(spark, stored):
 
 def test_merges_prune_the_target(spark):
     sinks.ensure_landing_table(spark, "pruned")
-    sinks.append_absent(bars(spark, [("A", f"{m:02d}-02", 1.0) for m in range(1, 13)]), "pruned")
+    year = bars(spark, [("A", f"{m:02d}-02", 1.0) for m in range(1, 13)])
+    sinks.append_absent(year, "pruned")
     target = spark.table("pruned")
     batch = stage(target.where("month >= date'2020-11-01'"))
     new = absent_rows(sinks._months_between(target, batch), batch, ("month", "date", "symbol"))

@@ -55,7 +55,9 @@ def test_first_arrival_wins_within_a_batch(spark, table):
     assert stored(spark, table) == [("A", JAN, 13.0)]
 
 
-@pytest.mark.parametrize("row", [("A", None, 1.0), (None, "01-02", 1.0), ("ABCDEFGHIJK", "01-02", 1.0)])
+@pytest.mark.parametrize(
+    "row", [("A", None, 1.0), (None, "01-02", 1.0), ("ABCDEFGHIJK", "01-02", 1.0)]
+)
 def test_bad_rows_fail_the_insert(spark, table, row):
     with pytest.raises(PySparkException):
         sinks.append_absent(bars(spark, [("A", "02-03", 1.0), row]), table)
@@ -63,7 +65,12 @@ def test_bad_rows_fail_the_insert(spark, table, row):
 
 
 def test_bad_rows_can_be_set_aside(spark, table):
-    rows = [("A", "01-02", 1.0), ("A", None, 2.0), (None, "01-02", 3.0), ("ABCDEFGHIJK", "01-02", 4.0)]
+    rows = [
+        ("A", "01-02", 1.0),
+        ("A", None, 2.0),
+        (None, "01-02", 3.0),
+        ("ABCDEFGHIJK", "01-02", 4.0),
+    ]
     aside = f"{table}__old"
     sinks.append_absent(bars(spark, rows), table, "quarantine", aside)
     assert stored(spark, table) == [("A", JAN, 1.0)]

@@ -42,7 +42,12 @@ def test_symbol_without_values_has_no_forecast(spark):
 
 
 def test_nulls_and_nans_take_no_day_number(spark):
-    rows = [("A", "01-02", 1.0), ("A", "01-03", None), ("A", "01-04", math.nan), ("A", "01-05", 3.0)]
+    rows = [
+        ("A", "01-02", 1.0),
+        ("A", "01-03", None),
+        ("A", "01-04", math.nan),
+        ("A", "01-05", 3.0),
+    ]
     data = bars(spark, rows)
     assert closes(day_index(data), "day") == [("A", day("01-02"), 0), ("A", day("01-05"), 1)]
     row = fit_trend(data).first()

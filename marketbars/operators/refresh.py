@@ -21,6 +21,37 @@ def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     return after.select(*S.BAR_COLUMNS).join(old, same, "left_anti")
 
 
+def _rows_to_refresh(bronze: DataFrame, starts: DataFrame, years: int) -> DataFrame:
+    """Per symbol the bars from its start on, and the closes looked back to."""
+    first = starts.agg(F.min(_FROM)).scalar()
+    # Starts are firsts of months, so a table's partitions can be skipped too.
+    reached = F.col(S.MONTH if S.MONTH in bronze.columns else "date") >= first
+    after = (
+        keyed_rows(bronze)
+        .where(reached)
+        .join(starts, "symbol")
+        .where(F.col("date") >= F.col(_FROM))
+        .select(*S.BAR_COLUMNS)
+    )
+    # The rows before: first the newest per block, then the newest of those.
+    reach = S.MONTHLY_ROWS - 1
+    newest = F.col("date").desc()
+    per_block = Window.partitionBy("symbol", BLOCK).orderBy(newest)
+    per_symbol = Window.partitionBy("symbol").orderBy(newest)
+    before = (
+        keyed_rows(bronze)
+        .join(starts, "symbol")
+        .where(F.col("date") < F.col(_FROM))
+        .select("date", "symbol", "close", calendar_block("date", years).alias(BLOCK))
+        .withColumn("_rank", F.row_number().over(per_block))
+        .where(F.col("_rank") <= reach)
+        .withColumn("_rank", F.row_number().over(per_symbol))
+        .where(F.col("_rank") <= reach)
+        .select("date", "symbol", "close")
+    )
+    return after.unionByName(before, allowMissingColumns=True)
+
+
 def refresh_tail(
     bronze: DataFrame,
     changed: DataFrame,
@@ -33,33 +64,14 @@ def refresh_tail(
     A changed bar reaches the next row's change, the next averages and the
     volatility of its whole month. So per symbol everything from the first day
     of the earliest changed month on is computed again, with the rows before
-    it that its averages look back to.
+    it that its averages look back to. ``bronze`` may keep its month column.
     """
     starts = stage(
         keyed_rows(changed)
         .groupBy("symbol")
         .agg(month_bucket(F.min("date")).alias(_FROM))
     )
-    bars = keyed_rows(bronze).select(*S.BAR_COLUMNS).join(starts, "symbol")
-    after = bars.where(F.col("date") >= F.col(_FROM)).select(*S.BAR_COLUMNS)
-
-    # The rows before: first the newest per block, then the newest of those.
-    # Only their closes are looked at.
-    reach = S.MONTHLY_ROWS - 1
-    newest = F.col("date").desc()
-    per_block = Window.partitionBy("symbol", BLOCK).orderBy(newest)
-    per_symbol = Window.partitionBy("symbol").orderBy(newest)
-    before = (
-        bars.where(F.col("date") < F.col(_FROM))
-        .select("date", "symbol", "close", calendar_block("date", years).alias(BLOCK))
-        .withColumn("_rank", F.row_number().over(per_block))
-        .where(F.col("_rank") <= reach)
-        .withColumn("_rank", F.row_number().over(per_symbol))
-        .where(F.col("_rank") <= reach)
-        .select("date", "symbol", "close")
-    )
-    rows = after.unionByName(before, allowMissingColumns=True)
-    silver = enrich(stage(rows), on_zero, years)
+    silver = enrich(stage(_rows_to_refresh(bronze, starts, years)), on_zero, years)
     return (
         silver.join(starts, "symbol")
         .where(F.col("date") >= F.col(_FROM))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from marketbars import schemas as S
+from marketbars.functions.expressions import month_bucket
 from marketbars.operators.audit import reject_duplicates
 from marketbars.operators.enrich import enrich
 from marketbars.operators.merge import upsert_by_key
@@ -94,7 +95,8 @@ def _build_tail(
     the same changes in bronze."""
     with staging(spark) as stage:
         changed = stage(changed_rows(read_layer(spark, tables.bronze, since=since), landing))
-        bronze = upsert_by_key(read_layer(spark, tables.bronze), changed)
+        dated = changed.withColumn(S.MONTH, month_bucket("date"))
+        bronze = upsert_by_key(spark.table(tables.bronze), dated)
         tail = refresh_tail(bronze, changed, stage=stage)
         sinks.write_upsert(tail, tables.silver, check_unique=False)
         sinks.write_upsert(changed, tables.bronze, check_unique=False)

@@ -8,6 +8,7 @@ from frames import bars
 
 from marketbars.operators.enrich import enrich
 from marketbars.operators.merge import absent_rows
+from marketbars.operators.refresh import _rows_to_refresh
 from marketbars.operators.series import BLOCK
 from marketbars.operators.summary import summarize
 from marketbars.operators.trend import day_index, fit_trend, forecast
@@ -104,6 +105,20 @@ def test_merges_prune_the_target(spark):
     spark.sql("DROP TABLE pruned")
 
 
+def test_tail_refresh_prunes_the_months_before(spark):
+    sinks.ensure_landing_table(spark, "tail")
+    year = bars(spark, [("A", f"{m:02d}-02", 1.0) for m in range(1, 13)])
+    sinks.append_absent(year, "tail")
+    starts = stage(spark.sql("SELECT 'A' AS symbol, date'2020-11-01' AS _from"))
+    rows = _rows_to_refresh(spark.table("tail"), starts, 5)
+    text = plan(rows)
+    assert re.search(r"PartitionFilters: \[[^\]]*month >= .*Subquery", text)
+    assert "ReadSchema: struct<date:date,symbol:string,close:double>" in text
+    got = {r.date.month: r.open for r in rows.collect()}
+    assert got == {m: 1.0 if m >= 11 else None for m in range(1, 13)}
+    spark.sql("DROP TABLE tail")
+
+
 @pytest.mark.parametrize(
     ("size", "partitions"), [(0, 8), (2**20, 8), (10 * 2**40, 40_960), (100 * 2**40, 50_000)]
 )

@@ -94,11 +94,11 @@ def append_absent(
 ) -> None:
     """Insert the batch rows whose key the table does not hold.
 
-    Stored rows win; inside the batch the first to arrive wins. Rows with a
-    NULL key or too long a symbol fail the write, or with
-    ``on_bad='quarantine'`` go to ``quarantine_table``, again if the batch is
-    sent again. The batch is stored first: only then is its size known, and the
-    table is pruned to its months.
+    Stored rows win; inside the batch the first to arrive wins, or where no
+    arrival is known the smallest row. Rows with a NULL key or too long a
+    symbol fail the write, or with ``on_bad='quarantine'`` go to
+    ``quarantine_table``, again if the batch is sent again. The batch is stored
+    first: only then is its size known, and the table is pruned to its months.
     """
     spark = batch.sparkSession
     if on_bad not in ("error", "quarantine"):
@@ -109,9 +109,9 @@ def append_absent(
         if on_bad == "quarantine":
             batch = _set_aside(stage(batch), quarantine_table)
         batch = require_not_null(batch)
-        if ARRIVAL in batch.columns:
-            batch = first_per_key(batch)
-        batch = stage(_with_month(batch))
+        if ARRIVAL not in batch.columns:
+            batch = batch.withColumn(ARRIVAL, F.lit(0))
+        batch = stage(_with_month(first_per_key(batch)))
         new = absent_rows(_months_between(spark.table(table), batch), batch, _MONTH_KEY)
         _by_month(new, table).write.insertInto(table)
 

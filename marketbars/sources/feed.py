@@ -41,8 +41,9 @@ def read_feed(
     """Landing rows of every symbol from csv, json, orc or parquet files.
 
     The schema is always stated: inferring it would read the feed twice. Files
-    with further columns need it stated with them. Feeds from other sources go
-    straight to `normalize_feed`.
+    with further columns need it stated with them. ``options`` are the reader's;
+    `modifiedAfter` spares a growing folder from being read whole. Feeds from
+    other sources go straight to `normalize_feed`.
     """
     reader = spark.read.format(fmt).schema(schema).options(**{**_STRICT.get(fmt, {}), **options})
     return _with_arrival(reader.load(path))

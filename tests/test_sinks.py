@@ -55,6 +55,11 @@ def test_first_arrival_wins_within_a_batch(spark, table):
     assert stored(spark, table) == [("A", JAN, 13.0)]
 
 
+def test_keys_stay_unique_without_arrival(spark, table):
+    sinks.append_absent(bars(spark, [("A", "01-02", 12.0), ("A", "01-02", 11.0)]), table)
+    assert stored(spark, table) == [("A", JAN, 11.0)]
+
+
 @pytest.mark.parametrize(
     "row", [("A", None, 1.0), (None, "01-02", 1.0), ("ABCDEFGHIJK", "01-02", 1.0)]
 )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketbars.llm import sequence_files, url_filters
+from marketbars.llm import language_id, packing, sequence_files, url_filters
 from marketbars.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def vocabulary_path() -> str:
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_of_documents(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -36,6 +48,8 @@ def op10_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_language_id": op4_language_id,
+    "op6_packing": op6_packing,
     "op7_url_filters": op7_url_filters,
     "op10_sequence_files": op10_sequence_files,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,12 +17,22 @@ LOWER = UPPER.lower()
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where it lies.
+
+    On a cluster the package is shipped with `--py-files`.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """`df` written once to the folder that all executors share, and read back."""
     return stage(df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

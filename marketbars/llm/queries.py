@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketbars.llm import language_id, packing, sequence_files, url_filters
+from marketbars.llm import (
+    language_id,
+    line_dedup,
+    packing,
+    quality_rules,
+    sequence_files,
+    url_filters,
+)
 from marketbars.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +41,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_of_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_units(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -43,13 +54,19 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_files.binary_output(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
+    "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_url_filters": op7_url_filters,
+    "op8_quality_rules": op8_quality_rules,
     "op10_sequence_files": op10_sequence_files,
 }

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marketbars.llm import (
+    jaccard_join,
     language_id,
     line_dedup,
     packing,
@@ -37,6 +38,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_of_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -63,6 +68,7 @@ def op10_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,

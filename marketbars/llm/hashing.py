@@ -12,7 +12,7 @@ _POWERS = np.ones(1, np.uint64)
 _INVERSES = np.ones(1, np.uint64)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse modulo 2^64."""
     global _POWERS, _INVERSES
     if len(_POWERS) < n:
@@ -45,7 +45,7 @@ def word_hashes(text: str | None) -> np.ndarray:
     """A hash of each word of a text, with A-Z lowered."""
     code = np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)
     starts, ends = word_spans(code)
-    powers, inverses = _powers(len(code) + 1)
+    powers, inverses = powers(len(code) + 1)
     total = np.zeros(len(code) + 1, np.uint64)
     np.cumsum((code.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=total[1:])
     return mix((total[ends] - total[starts]) * inverses[starts])

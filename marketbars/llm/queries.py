@@ -14,6 +14,7 @@ from marketbars.llm import (
     packing,
     quality_rules,
     sequence_files,
+    suffix_dedup,
     url_filters,
 )
 from marketbars.llm.shared import table
@@ -42,6 +43,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_of_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -69,6 +75,7 @@ def op10_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,

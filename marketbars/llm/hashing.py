@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
@@ -43,11 +45,16 @@ def word_spans(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(text: str | None) -> np.ndarray:
     """A hash of each word of a text, with A-Z lowered."""
-    code = np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)
+    return byte_word_hashes((text or "").encode("utf-8", "replace").lower())
+
+
+def byte_word_hashes(data: bytes) -> np.ndarray:
+    """A hash of each word of some bytes."""
+    code = np.frombuffer(data, np.uint8)
     starts, ends = word_spans(code)
-    powers, inverses = powers(len(code) + 1)
+    forward, inverses = powers(len(code) + 1)
     total = np.zeros(len(code) + 1, np.uint64)
-    np.cumsum((code.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=total[1:])
+    np.cumsum((code.astype(np.uint64) + np.uint64(1)) * forward[:-1], out=total[1:])
     return mix((total[ends] - total[starts]) * inverses[starts])
 
 
@@ -60,3 +67,9 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         out = out * np.uint64(_BASE) + words[k : len(words) - n + 1 + k]
     return mix(out)
+
+
+def text_id(text: str | None) -> int:
+    """A 64-bit hash of a whole text; a missing text is an empty one."""
+    data = (text or "").encode("utf-8", "replace")
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marketbars.llm import (
+    decontaminate,
     jaccard_join,
     language_id,
     line_dedup,
@@ -69,6 +70,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(documents, benchmark)
+
+
 def op10_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_files.binary_output(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -81,5 +87,6 @@ QUERIES: dict[str, Query] = {
     "op6_packing": op6_packing,
     "op7_url_filters": op7_url_filters,
     "op8_quality_rules": op8_quality_rules,
+    "op9_decontaminate": op9_decontaminate,
     "op10_sequence_files": op10_sequence_files,
 }

@@ -19,7 +19,9 @@ from marketbars.llm.shared import batches
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START = "▁"
 _MOST_LANGUAGES = 500
-_CACHED = 300_000
+_CACHED = 400_000
+_ROOT = 1
+_TABLE_LETTERS = 95
 # Added to each piece's count, as a share of the mean count.
 _SMOOTHING = 0.02
 _TINY, _HUGE = 1e-120, 1e120
@@ -97,77 +99,123 @@ class Scorer:
     def __init__(self, vocabulary: str, model: dict[str, np.ndarray]) -> None:
         processor = _processor(vocabulary)
         self.languages = list(model)
-        # A trie over the pieces: children by character, and a node's probabilities.
-        self._children: list[dict[str, int]] = [{}]
-        self._weights: list[tuple[float, ...] | None] = [None]
-        table = np.array([model[lang] for lang in self.languages]).T
+        # A trie over the pieces: children by character. Node 0 is a dead end.
+        self._children: list[dict[str, int]] = [{}, {}]
+        nodes: dict[int, int] = {}
         for i in range(processor.get_piece_size()):
             if processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i):
                 continue
-            node = 0
+            node = _ROOT
             for c in processor.id_to_piece(i):
                 if c not in self._children[node]:
                     self._children[node][c] = len(self._children)
                     self._children.append({})
-                    self._weights.append(None)
                 node = self._children[node][c]
-            self._weights[node] = tuple(table[i].tolist())
-        byte_ids = [processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self._byte_weights = [tuple(table[i].tolist()) for i in byte_ids]
-        self._known: dict[str, tuple[float, ...]] = {}
-
-    def _spelled(self, c: str) -> tuple[float, ...]:
+            nodes[node] = i
+        table = np.array([model[lang] for lang in self.languages]).T
+        self._weights = np.zeros((len(self._children), len(self.languages)))
+        self._weights[list(nodes)] = table[list(nodes.values())]
+        self._is_piece = np.zeros(len(self._children), bool)
+        self._is_piece[list(nodes)] = True
+        bytes_at = [processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self._byte_weights = table[bytes_at]
+
+        # The same trie as a table, for the letters that most pieces have.
+        letters = Counter(c for children in self._children for c in children)
+        single = {c for c, node in self._children[_ROOT].items() if self._is_piece[node]}
+        common = [c for c, _ in letters.most_common() if c in single and c.isalpha() and c.islower()]
+        self._code = {c: k for k, c in enumerate([_START, *common[:_TABLE_LETTERS]])}
+        self._next = np.zeros((len(self._children), len(self._code)), np.int32)
+        for node, children in enumerate(self._children):
+            for c, child in children.items():
+                if c in self._code:
+                    self._next[node, self._code[c]] = child
+        self._common = re.compile("[" + "".join(map(re.escape, common[:_TABLE_LETTERS])) + "]{1,24}")
+        self._row: dict[str, int] = {}
+        self._logs = np.zeros((0, len(self.languages)))
+
+    def _spelled(self, c: str) -> np.ndarray:
         """A character as its bytes: the vocabulary's way out."""
-        product = [1.0] * len(self.languages)
-        for b in c.encode("utf-8", "replace"):
-            product = [max(x * y, 1e-60) for x, y in zip(product, self._byte_weights[b], strict=True)]
-        return tuple(product)
+        return np.maximum(self._byte_weights[list(c.encode("utf-8", "replace"))].prod(axis=0), 1e-60)
 
-    def word(self, word: str) -> tuple[float, ...]:
+    def word(self, word: str) -> np.ndarray:
         """The forward algorithm over the word with the vocabulary's start mark."""
-        found = self._known.get(word)
-        if found is not None:
-            return found
-        text, out = _START + word, []
-        steps: list[list[tuple[int, tuple[float, ...]]]] = []
+        text = _START + word
+        forward = np.zeros((len(text) + 1, len(self.languages)))
+        forward[0] = 1
+        log_scale = np.zeros(len(self.languages))
         for i in range(len(text)):
-            node, ends = 0, []
+            tiny = (forward[i] > 0) & (forward[i] < _TINY)
+            if tiny.any():
+                # Later places hold sums of the same scale.
+                forward[i:, tiny] *= _HUGE
+                log_scale[tiny] -= math.log(_HUGE)
+            node, alone = _ROOT, False
             for j in range(i, len(text)):
-                node = self._children[node].get(text[j], -1)
-                if node < 0:
+                node = self._children[node].get(text[j], 0)
+                if not node:
                     break
-                if self._weights[node] is not None:
-                    ends.append((j + 1, self._weights[node]))
-            if not ends or ends[0][0] != i + 1:
-                ends.append((i + 1, self._spelled(text[i])))
-            steps.append(ends)
-        for k in range(len(self.languages)):
-            forward, log_scale = [1.0] + [0.0] * len(text), 0.0
-            for i, ends in enumerate(steps):
-                here = forward[i]
-                if 0 < here < _TINY:
-                    # Later places hold sums of the same scale.
-                    forward[i:] = [x * _HUGE for x in forward[i:]]
-                    log_scale -= math.log(_HUGE)
-                    here = forward[i]
-                for end, weights in ends:
-                    forward[end] += here * weights[k]
-            out.append(math.log(max(forward[-1], 1e-300)) + log_scale)
-        if len(self._known) >= _CACHED:
-            self._known.clear()
-        self._known[word] = tuple(out)
-        return self._known[word]
-
-    def score(self, text: str | None) -> tuple[str, float]:
-        """The most probable language, and its probability among all."""
-        counts = Counter(words_in(text))
-        if not counts or not self.languages:
-            return UNKNOWN, 0.0
-        total = np.zeros(len(self.languages))
-        for word, n in counts.items():
-            total += n * np.array(self.word(word))
-        best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+                if self._is_piece[node]:
+                    alone |= j == i
+                    forward[j + 1] += forward[i] * self._weights[node]
+            if not alone:
+                forward[i + 1] += forward[i] * self._spelled(text[i])
+        return np.log(np.maximum(forward[-1], 1e-300)) + log_scale
+
+    def _same_length(self, words: list[str], length: int) -> np.ndarray:
+        """`word` for words of one length whose letters the table has, all at once."""
+        code = np.zeros((len(words), length + 1), np.int32)
+        of = self._code
+        code[:, 1:] = np.array([[of[c] for c in w] for w in words], np.int32).reshape(-1, length)
+        forward = np.zeros((length + 2, len(words), len(self.languages)))
+        forward[0] = 1
+        for i in range(length + 1):
+            at = np.arange(len(words))
+            node = np.full(len(words), _ROOT, np.int32)
+            for j in range(i, length + 1):
+                node = self._next[node, code[at, j]]
+                alive = node > 0
+                if not alive.any():
+                    break
+                if not alive.all():
+                    at, node = at[alive], node[alive]
+                forward[j + 1, at] += forward[i, at] * self._weights[node]
+        return np.log(forward[-1])
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self._row) + len(words) > _CACHED:
+            self._row, self._logs = {}, self._logs[:0]
+        groups: dict[int, list[str]] = {}
+        for w in words:
+            groups.setdefault(len(w) if self._common.fullmatch(w) else 0, []).append(w)
+        parts = [self._logs]
+        for length, group in groups.items():
+            self._row.update(zip(group, range(len(self._row), len(self._row) + len(group)), strict=True))
+            parts.append(
+                self._same_length(group, length) if length else np.array([self.word(w) for w in group])
+            )
+        self._logs = np.concatenate(parts)
+
+    def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Each text's most probable language, and its probability among all."""
+        split = [words_in(t) for t in texts] if self.languages else [[] for _ in texts]
+        seen = dict.fromkeys(w for words in split for w in words)
+        new = [w for w in seen if w not in self._row]
+        if len(self._row) + len(new) > _CACHED:
+            new = list(seen)
+        if new:
+            self._learn(new)
+        langs, scores, row = [], [], self._row
+        for words in split:
+            if not words:
+                langs.append(UNKNOWN)
+                scores.append(0.0)
+                continue
+            total = self._logs[[row[w] for w in words]].sum(axis=0)
+            best = int(total.argmax())
+            langs.append(self.languages[best])
+            scores.append(float(1 / np.exp(total - total[best]).sum()))
+        return langs, scores
 
 
 def identify(documents: DataFrame, model: dict[str, np.ndarray], vocabulary: str) -> DataFrame:
@@ -184,12 +232,8 @@ def identify(documents: DataFrame, model: dict[str, np.ndarray], vocabulary: str
         scorer = Scorer(vocabulary, model)
         for batch in batches(rows, 2048):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            found = [scorer.score(t) for t in texts]
-            columns = [
-                *batch.columns,
-                pa.array([lang for lang, _ in found], pa.string()),
-                pa.array([score for _, score in found], pa.float64()),
-            ]
+            langs, scores = scorer.score(texts)
+            columns = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.record_batch(columns, names=schema.names)
 
     return documents.mapInArrow(predict, schema)

@@ -12,6 +12,7 @@ from marketbars.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    lm_scoring,
     packing,
     quality_rules,
     sequence_files,
@@ -40,6 +41,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
 
@@ -80,6 +85,7 @@ def op10_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language_id": op4_language_id,

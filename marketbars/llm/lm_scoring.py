@@ -15,8 +15,10 @@ from marketbars.llm.shared import saved
 # Bytes that UTF-8 never has: before the first byte of a text, and its end.
 _BEGIN, _END = 0xFE, 0xFF
 _ALPHABET = 255
-_BLOCK_BYTES = 24 << 20
+_BLOCK_BYTES = 64 << 20
 _SEGMENT = 2 << 20
+# Entries that are held before they are merged.
+_UNMERGED = 3_000_000
 _SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
@@ -159,37 +161,91 @@ def _events(parts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return joint >> bits, joint & ((np.uint64(1) << bits) - np.uint64(1))
 
 
-def _lowered(table: pa.Table) -> list[bytes]:
-    return [(t.as_py() or "").encode("utf-8", "replace").lower() for t in table.column("text")]
+def _deal(documents: DataFrame, blocks: int) -> DataFrame:
+    """Documents as compressed parcels, each of one block's in an Arrow batch."""
+
+    def pack(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            block = batch.column(3).to_numpy()
+            order = np.argsort(block, kind="stable")
+            number, first = np.unique(block[order], return_index=True)
+            parcels = []
+            for some in np.split(order, first[1:]) if len(order) else []:
+                part = batch.select([0, 1, 2]).take(pa.array(some))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_batch(part)
+                parcels.append(sink.getvalue().to_pybytes())
+            yield pa.record_batch(
+                [pa.array(number, pa.int64()), pa.array(parcels, pa.binary())], names=["block", "parcel"]
+            )
+
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")
+    return documents.select("doc_id", "text", "held_out", block).mapInArrow(pack, "block long, parcel binary")
+
+
+def _opened(table: pa.Table) -> Iterator[tuple[list, list[bytes], np.ndarray]]:
+    """Ids, bytes with A-Z lowered, and whether to learn from them; some at a time."""
+    for parcel in table.column("parcel"):
+        for batch in pa.ipc.open_stream(parcel.as_buffer()):
+            for at in range(0, batch.num_rows, 1024):
+                ids, texts, held_out = (c.to_pylist() for c in batch.slice(at, 1024).columns)
+                datas = [(t or "").encode("utf-8", "replace").lower() for t in texts]
+                yield ids, datas, ~np.array(held_out, bool)
+
 
+class _Counts:
+    """Sums by key, merged from time to time."""
 
-def _grouped(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, weights = keys[order], weights[order]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
-    return keys[first], np.add.reduceat(weights, first) if len(first) else weights
+    def __init__(self) -> None:
+        self._parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self._held = 0
 
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self._parts.append((keys, counts))
+        self._held += len(keys)
+        if self._held > _UNMERGED:
+            self._parts = [self.merged()]
+            self._held = 0
 
-def _block_events(datas: list[bytes], train: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each pair of context and symbol of a block, and how often the training texts have it."""
-    keys, counts = [], []
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self._parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        keys = np.concatenate([k for k, _ in self._parts])
+        counts = np.concatenate([c for _, c in self._parts])
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = _firsts(keys)
+        return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal sorted keys begins."""
+    return np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
+
+
+def _count_events(counts: _Counts, datas: list[bytes], train: np.ndarray, order: int) -> None:
     for who, parts in _segments(datas, order):
         key, part = _events(parts, order)
         learned = train[np.array(who)][part.astype(np.int64)].astype(np.int64)
-        first = np.flatnonzero(np.diff(key, prepend=key[:1] + np.uint64(1)))
-        keys.append(key[first])
-        counts.append(np.add.reduceat(learned, first))
-    return _grouped(np.concatenate(keys), np.concatenate(counts))
+        first = _firsts(key)
+        if len(first):
+            counts.add(key[first], np.add.reduceat(learned, first))
 
 
-def _block_words(datas: list[bytes], train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All words of a block, the document of each, and whether it is learned from."""
+def _words(datas: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All words of some documents, and the document of each."""
     words = [byte_word_hashes(d) for d in datas]
-    who = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    return np.concatenate(words), who, train[who].astype(np.int64)
+    return np.concatenate(words), np.repeat(np.arange(len(words)), [len(w) for w in words])
+
 
+def _count_words(counts: _Counts, datas: list[bytes], train: np.ndarray) -> None:
+    words, who = _words(datas)
+    kind, at = np.unique(words, return_inverse=True)
+    counts.add(kind, np.bincount(at, train[who], len(kind)).astype(np.int64))
 
-def score_documents(documents: DataFrame, order: int = 4) -> DataFrame:
+
+def score_documents(documents: DataFrame, order: int = 5) -> DataFrame:
     """Score all whole texts, learning from those that are not held out.
 
     The model is a trie of the contexts of up to `order` bytes, with the counts
@@ -205,7 +261,7 @@ def score_documents(documents: DataFrame, order: int = 4) -> DataFrame:
     table gives no row. Other columns are not looked at.
 
     Neither trie nor word counts are ever in one place. Texts are dealt into
-    blocks of about 24 MB; a block asks once for each pair of context and
+    blocks of 64 MB at most; a block asks once for each pair of context and
     symbol, and each word, that it has; counts are added up by pair, code
     lengths are worked out where all pairs with the same two last bytes are
     together, and go back to the blocks that asked. Only the trie's first two
@@ -213,28 +269,32 @@ def score_documents(documents: DataFrame, order: int = 4) -> DataFrame:
     known by 64-bit hashes.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // _BLOCK_BYTES))
     docs = docs.withColumn("held_out", is_held_out(F.col("doc_id")))
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    size, texts = docs.agg(
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.when(~F.col("held_out"), 1))
+    ).first()
+    # At least a block for each core, where there is something to share out.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-size // _BLOCK_BYTES), min(cores, size >> 20))
 
     def ask(table: pa.Table) -> pa.Table:
-        datas = _lowered(table)
-        train = ~np.array(table.column("held_out").to_pylist(), bool)
-        keys, counts = _block_events(datas, train, order)
-        words, _, learned = _block_words(datas, train)
-        words, often = _grouped(words, learned)
-        both = np.concatenate([keys, words]).view(np.int64)
+        events, words = _Counts(), _Counts()
+        for _, datas, train in _opened(table):
+            _count_events(events, datas, train, order)
+            _count_words(words, datas, train)
+        keys, counts = zip(events.merged(), words.merged(), strict=True)
+        both = np.concatenate(keys).view(np.int64)
         return pa.table(
             {
                 "block": np.full(len(both), table.column("block")[0].as_py(), np.int64),
-                "word": np.repeat([False, True], [len(keys), len(words)]),
+                "word": np.repeat([False, True], [len(k) for k in keys]),
                 "key": both,
-                "n": np.concatenate([counts, often]).astype(np.int64),
+                "n": np.concatenate(counts),
             }
         )
 
-    asked = saved(docs.groupBy("block").applyInArrow(ask, "block long, word boolean, key long, n long"))
+    schema = "block long, word boolean, key long, n long"
+    asked = saved(_deal(docs, blocks).groupBy("block").applyInArrow(ask, schema))
     events = asked.where(~F.col("word")).select("block", "key", "n")
     words = asked.where("word").select("block", "key", "n")
 
@@ -244,7 +304,6 @@ def score_documents(documents: DataFrame, order: int = 4) -> DataFrame:
         F.coalesce(F.sum("count"), F.lit(0)).alias("n"),
         F.count(F.when(F.col("count") > 0, 1)).alias("kinds"),
     ).first()
-    texts = docs.where(~F.col("held_out")).count()
     train_tokens, kinds = seen.n + texts, seen.kinds + (texts > 0)
 
     pairs = saved(events.groupBy("key").agg(F.sum("n").alias("n")))
@@ -273,51 +332,49 @@ def score_documents(documents: DataFrame, order: int = 4) -> DataFrame:
     shared = word_counts.where(F.col("blocks") > 1)
     answers = (
         events.join(lengths, "key")
-        .select("block", F.lit(False).alias("word"), "key", "value")
-        .unionByName(
-            words.join(shared, "key").select(
-                "block", F.lit(True).alias("word"), "key", F.col("count").cast("double").alias("value")
-            )
-        )
+        .select("block", "key", "value")
+        .unionByName(words.join(shared, "key").select("block", "key", (F.col("count") + 1.0).alias("value")))
     )
 
     def score(table: pa.Table, replies: pa.Table) -> pa.Table:
-        datas = _lowered(table)
-        held_out = np.array(table.column("held_out").to_pylist(), bool)
-        key = replies.column("key").to_numpy().view(np.uint64)
-        value, of_word = replies.column("value").to_numpy(), replies.column("word").to_numpy()
-
-        known, lengths = key[~of_word], value[~of_word]
-        order_by = np.argsort(known)
-        known, lengths = known[order_by], lengths[order_by]
-        total = np.zeros(len(datas))
-        for who, parts in _segments(datas, order):
-            event, part = _events(parts, order)
-            first = np.flatnonzero(np.diff(event, prepend=event[:1] + np.uint64(1)))
-            often = np.diff(np.append(first, len(event)))
-            each = np.repeat(lengths[np.searchsorted(known, event[first])], often)
-            np.add.at(total, np.array(who), np.bincount(part.astype(np.int64), each, len(parts)))
-
-        words, who, learned = _block_words(datas, ~held_out)
-        kind, at = np.unique(words, return_inverse=True)
-        count = np.bincount(at, learned, len(kind))
-        shared, counts = key[of_word], value[of_word]
-        if len(shared):
-            count[np.searchsorted(kind, shared)] = counts
+        # Code lengths come as negative numbers, counts of words plus one.
+        key, value = replies.column("key").to_numpy().view(np.uint64), replies.column("value").to_numpy()
+        order_by = np.argsort(key)
+        key, value = key[order_by], value[order_by]
+        known, lengths = key[value < 0], value[value < 0]
+        counts = _Counts()
+        for _, datas, train in _opened(table):
+            _count_words(counts, datas, train)
+        kind, count = counts.merged()
+        count[np.searchsorted(kind, key[value > 0])] = value[value > 0].astype(np.int64) - 1
         below = train_tokens + kinds + 1
-        n = np.bincount(who, minlength=len(datas))
-        base = np.bincount(who, np.log10((count + 1) / below)[at], len(datas))
-        n_known = np.bincount(who, (count > 0)[at], len(datas)).astype(np.int64)
-        return pa.table(
-            {
-                "doc_id": table.column("doc_id"),
-                "held_out": held_out,
-                "n_tokens": (n + 1).astype(np.int64),
-                "n_known": n_known + int(texts > 0),
-                "train_tokens": np.full(len(datas), train_tokens, np.int64),
-                "base_score": base + np.log10((texts + 1) / below),
-                "score": total,
-            }
-        )
+        out = []
+        for ids, datas, train in _opened(table):
+            total = np.zeros(len(datas))
+            for who, parts in _segments(datas, order):
+                event, part = _events(parts, order)
+                first = _firsts(event)
+                often = np.diff(np.append(first, len(event)))
+                each = np.repeat(lengths[np.searchsorted(known, event[first])], often)
+                np.add.at(total, np.array(who), np.bincount(part.astype(np.int64), each, len(parts)))
+            words, who = _words(datas)
+            often = count[np.searchsorted(kind, words)]
+            base = np.bincount(who, np.log10((often + 1) / below), len(datas))
+            n_known = np.bincount(who, often > 0, len(datas)).astype(np.int64)
+            out.append(
+                pa.table(
+                    {
+                        "doc_id": pa.array(ids, pa.int64()),
+                        "held_out": ~train,
+                        "n_tokens": np.bincount(who, minlength=len(datas)) + 1,
+                        "n_known": n_known + int(texts > 0),
+                        "train_tokens": np.full(len(datas), train_tokens, np.int64),
+                        "base_score": base + np.log10((texts + 1) / below),
+                        "score": total,
+                    }
+                )
+            )
+        return pa.concat_tables(out)
 
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, _SCORES)
+    parcels = _deal(docs, blocks).groupBy("block")
+    return parcels.cogroup(answers.groupBy("block")).applyInArrow(score, _SCORES)

@@ -71,5 +71,9 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 def text_id(text: str | None) -> int:
     """A 64-bit hash of a whole text; a missing text is an empty one."""
-    data = (text or "").encode("utf-8", "replace")
+    return data_id((text or "").encode("utf-8", "replace"))
+
+
+def data_id(data: bytes) -> int:
+    """A 64-bit hash of some bytes."""
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)

@@ -218,14 +218,15 @@ class Scorer:
         return langs, scores
 
 
-def identify(documents: DataFrame, model: dict[str, np.ndarray], vocabulary: str) -> DataFrame:
-    """Adds `lang_pred` and `score` to every row, from its text alone.
-
-    All columns of `documents` stay; columns of those two names are replaced.
-    """
-    keep = [c for c in documents.columns if c not in ("lang_pred", "score")]
-    documents = documents.select(*keep)
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+def identify(
+    documents: DataFrame,
+    model: dict[str, np.ndarray],
+    vocabulary: str,
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """All columns, and every text's language and score under two new names."""
+    kinds = (T.StringType(), T.DoubleType())
+    added = [T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]
     schema = T.StructType([*documents.schema.fields, *added])
 
     def predict(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

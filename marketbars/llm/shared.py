@@ -8,7 +8,9 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from marketbars.llm.hashing import text_id
 from marketbars.storage import stage
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -45,6 +47,27 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """`name`, or the like, that is no column of the frame."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_text_id(documents: DataFrame, name: str) -> DataFrame:
+    """All columns, and a 64-bit hash of `text` under a new name."""
+    schema = T.StructType([*documents.schema.fields, T.StructField(name, T.LongType())])
+    at = documents.columns.index("text")
+
+    def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            ids = pa.array([text_id(t) for t in batch.column(at).to_pylist()], pa.int64())
+            yield pa.record_batch([*batch.columns, ids], names=[*batch.schema.names, name])
+
+    return documents.mapInArrow(add, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,7 +17,6 @@ SETTINGS = {
 }
 
 _PARTITION_BYTES = 256 * 2**20
-_MOST_PARTITIONS = 50_000
 
 
 def shuffle_partitions(shuffled_bytes: int, least: int = 8) -> int:
@@ -25,10 +24,9 @@ def shuffle_partitions(shuffled_bytes: int, least: int = 8) -> int:
 
     Adaptive execution merges partitions but, outside of skewed joins and
     rebalanced writes, never splits them: the starting number must fit the
-    largest shuffle. Past some ten terabytes partitions grow instead, and
-    spill, since every map task keeps one block per partition.
+    largest shuffle.
     """
-    return max(least, min(_MOST_PARTITIONS, -(-shuffled_bytes // _PARTITION_BYTES)))
+    return max(least, -(-shuffled_bytes // _PARTITION_BYTES))
 
 
 def builder(app: str = "marketbars", shuffled_bytes: int | None = None) -> SparkSession.Builder:

@@ -29,19 +29,6 @@ def bars_from_prices(prices: DataFrame, order: Column, volume: Column) -> DataFr
     )
 
 
-def _on_all_cores(scan: DataFrame, *by: str) -> DataFrame:
-    """A scan of fewer splits than cores, dealt out to all of them.
-
-    Spark cuts files into that few splits only while a table has less than
-    `spark.sql.files.openCostInBytes` (4 MB) per core. So only small tables
-    move; larger ones are read in parallel anyway and stay where they are.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, *by)
-
-
 # Order and line number repeat in the data; the further fields decide ties.
 TRADE_ORDER = (
     "l_orderkey",
@@ -65,9 +52,7 @@ def trades_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         "p_partkey", F.col("p_brand").alias("symbol")
     )
-    return _on_all_cores(lineitem, "date").join(
-        part, F.col("l_partkey") == F.col("p_partkey")
-    )
+    return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
 
 
 def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,12 +8,9 @@ from pyspark.sql import functions as F
 from marketbars import schemas as S
 from marketbars.functions.expressions import month_bucket
 from marketbars.operators.enrich import enrich
-from marketbars.operators.series import BLOCK, BLOCK_YEARS, calendar_block, keyed_rows
+from marketbars.operators.series import BLOCK_YEARS, keyed_rows
 from marketbars.storage import Stage, stage
 
-_FROM = "_from"
-
-
 def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows of ``after`` that ``before`` lacks or holds with other values."""
     old = before.select(*[F.col(c).alias(f"_old_{c}") for c in S.BAR_COLUMNS])
@@ -21,35 +18,62 @@ def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     return after.select(*S.BAR_COLUMNS).join(old, same, "left_anti")
 
 
-def _rows_to_refresh(bronze: DataFrame, starts: DataFrame, years: int) -> DataFrame:
-    """Per symbol the bars from its start on, and the closes looked back to."""
-    first = starts.agg(F.min(_FROM)).scalar()
-    # Starts are firsts of months, so a table's partitions can be skipped too.
-    reached = F.col(S.MONTH if S.MONTH in bronze.columns else "date") >= first
-    after = (
-        keyed_rows(bronze)
-        .where(reached)
-        .join(starts, "symbol")
-        .where(F.col("date") >= F.col(_FROM))
-        .select(*S.BAR_COLUMNS)
-    )
-    # The rows before: first the newest per block, then the newest of those.
+def months_to_refresh(bronze: DataFrame, changed: DataFrame) -> DataFrame:
+    """(symbol, month, affected) of what changes reach and of what they look back to.
+
+    A change reaches the 29 rows after it, through the averages, and with each
+    row the volatility of its month. So a month is affected if it holds a change
+    or one of the 29 rows after one. The months with the 29 rows before a run of
+    affected months come with ``affected`` false. Only one row per symbol and
+    month meets in a window.
+    """
     reach = S.MONTHLY_ROWS - 1
-    newest = F.col("date").desc()
-    per_block = Window.partitionBy("symbol", BLOCK).orderBy(newest)
-    per_symbol = Window.partitionBy("symbol").orderBy(newest)
-    before = (
+    last = (
+        keyed_rows(changed)
+        .groupBy("symbol", month_bucket("date").alias(S.MONTH))
+        .agg(F.max("date").alias("_last"))
+    )
+    months = (
         keyed_rows(bronze)
-        .join(starts, "symbol")
-        .where(F.col("date") < F.col(_FROM))
-        .select("date", "symbol", "close", calendar_block("date", years).alias(BLOCK))
-        .withColumn("_rank", F.row_number().over(per_block))
-        .where(F.col("_rank") <= reach)
-        .withColumn("_rank", F.row_number().over(per_symbol))
-        .where(F.col("_rank") <= reach)
-        .select("date", "symbol", "close")
+        .join(last.select("symbol").distinct(), "symbol", "left_semi")
+        .select("symbol", "date", month_bucket("date").alias(S.MONTH))
+        .join(last, ["symbol", S.MONTH], "left")
+        .groupBy("symbol", S.MONTH)
+        .agg(
+            F.count("*").alias("_rows"),
+            F.count_if(F.col("date") > F.col("_last")).alias("_after"),
+            F.max("_last").alias("_last"),
+        )
     )
-    return after.unionByName(before, allowMissingColumns=True)
+    in_order = Window.partitionBy("symbol").orderBy(S.MONTH)
+    upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    later = in_order.rowsBetween(1, Window.unboundedFollowing)
+    through = F.col("_through")
+    first = through - F.col("_rows")
+    reached = F.when(
+        F.col("_last").isNotNull(), through + F.greatest(F.lit(0), reach - F.col("_after"))
+    )
+    affected = F.coalesce(F.col("_reached") > first, F.lit(False))
+    next_run = F.min(F.when(F.col("affected"), first)).over(later)
+    return (
+        months.withColumn("_through", F.sum("_rows").over(upto))
+        .withColumn("_reached", F.max(reached).over(upto))
+        .withColumn("affected", affected)
+        .withColumn("_next", next_run)
+        .where(F.col("affected") | (F.col("_next") - through < reach))
+        .select("symbol", S.MONTH, "affected")
+    )
+
+
+def _bars_of(bronze: DataFrame, months: DataFrame) -> DataFrame:
+    """The bars of the months."""
+    dated = keyed_rows(bronze)
+    if S.MONTH not in bronze.columns:
+        dated = dated.withColumn(S.MONTH, month_bucket("date"))
+    # Limits known when the scan lists its files: other partitions are skipped.
+    first, last = (months.agg(f(S.MONTH)).scalar() for f in (F.min, F.max))
+    near = dated.where((F.col(S.MONTH) >= first) & (F.col(S.MONTH) <= last))
+    return near.join(months, ["symbol", S.MONTH]).select(*S.BAR_COLUMNS)
 
 
 def refresh_tail(
@@ -61,19 +85,15 @@ def refresh_tail(
 ) -> DataFrame:
     """Silver rows that changes at the keys in ``changed`` can affect.
 
-    A changed bar reaches the next row's change, the next averages and the
-    volatility of its whole month. So per symbol everything from the first day
-    of the earliest changed month on is computed again, with the rows before
-    it that its averages look back to. ``bronze`` may keep its month column.
+    Per symbol the months that `months_to_refresh` finds, early and late changes
+    apart, are computed again with the rows before them that averages look back
+    to. ``bronze`` may keep its month column.
     """
-    starts = stage(
-        keyed_rows(changed)
-        .groupBy("symbol")
-        .agg(month_bucket(F.min("date")).alias(_FROM))
-    )
-    silver = enrich(stage(_rows_to_refresh(bronze, starts, years)), on_zero, years)
+    months = stage(months_to_refresh(bronze, changed))
+    silver = enrich(stage(_bars_of(bronze, months)), on_zero, years)
+    affected = months.where("affected").select("symbol", F.col(S.MONTH).alias("_month"))
     return (
-        silver.join(starts, "symbol")
-        .where(F.col("date") >= F.col(_FROM))
+        silver.withColumn("_month", month_bucket("date"))
+        .join(affected, ["symbol", "_month"], "left_semi")
         .select(*S.SILVER_COLUMNS)
     )

@@ -8,7 +8,7 @@ from frames import bars
 
 from marketbars.operators.enrich import enrich
 from marketbars.operators.merge import absent_rows
-from marketbars.operators.refresh import _rows_to_refresh
+from marketbars.operators.refresh import _bars_of
 from marketbars.operators.series import BLOCK
 from marketbars.operators.summary import summarize
 from marketbars.operators.trend import day_index, fit_trend, forecast
@@ -82,6 +82,14 @@ def test_day_index(spark, stored, no_broadcast):
     assert count(text, "Exchange") == 4 and count(text, "SortMergeJoin") == 1
 
 
+def test_bars_are_reduced_before_their_one_shuffle(spark):
+    text = plan(QUERIES["bars_lineitem"](spark, str(TESTDATA / "sf0.001")))
+    assert count(text, "Exchange") == 1 and "REPARTITION" not in text
+    assert "hashpartitioning(date, symbol" in text
+    below = text.split("Exchange hashpartitioning")[1]
+    assert "partial_min_by" in below and "BroadcastHashJoin" in below
+
+
 def test_no_python_in_plans(spark):
     for name in ("silver", "gold", "forecast_close", "ingest_increment", "upsert_by_key"):
         text = plan(QUERIES[name](spark, str(TESTDATA / "sf0.001")))
@@ -105,22 +113,21 @@ def test_merges_prune_the_target(spark):
     spark.sql("DROP TABLE pruned")
 
 
-def test_tail_refresh_prunes_the_months_before(spark):
+def test_tail_refresh_prunes_the_months_before_and_after(spark):
     sinks.ensure_landing_table(spark, "tail")
     year = bars(spark, [("A", f"{m:02d}-02", 1.0) for m in range(1, 13)])
     sinks.append_absent(year, "tail")
-    starts = stage(spark.sql("SELECT 'A' AS symbol, date'2020-11-01' AS _from"))
-    rows = _rows_to_refresh(spark.table("tail"), starts, 5)
+    months = stage(spark.sql("SELECT 'A' AS symbol, date'2020-05-01' AS month, true AS affected"))
+    rows = _bars_of(spark.table("tail"), months)
     text = plan(rows)
     assert re.search(r"PartitionFilters: \[[^\]]*month >= .*Subquery", text)
-    assert "ReadSchema: struct<date:date,symbol:string,close:double>" in text
-    got = {r.date.month: r.open for r in rows.collect()}
-    assert got == {m: 1.0 if m >= 11 else None for m in range(1, 13)}
+    assert re.search(r"month <= \w*[Ss]ubquery", text)
+    assert [r.date.month for r in rows.collect()] == [5]
     spark.sql("DROP TABLE tail")
 
 
 @pytest.mark.parametrize(
-    ("size", "partitions"), [(0, 8), (2**20, 8), (10 * 2**40, 40_960), (100 * 2**40, 50_000)]
+    ("size", "partitions"), [(0, 8), (2**20, 8), (10 * 2**40, 40_960), (100 * 2**40, 409_600)]
 )
 def test_shuffle_partitions_follow_the_size(size, partitions):
     assert shuffle_partitions(size) == partitions

@@ -38,6 +38,8 @@ SPLIT = "2000-01-01"
 NEW_SYMBOL = "Brand#11"
 FEED_START = "1999-12-01"
 AS_OF = "2001-01-02"
+NAN = -1e30
+NAN_COLUMNS = ("prev_close", "daily_change", "daily_change_percent", "weekly_ma", "monthly_ma")
 
 
 def _bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,6 +225,19 @@ def build_forecast(spark, sf_dir):
     return _rounded(spark.table(tables.forecast_avg_close), 3, "predicted_close")
 
 
+def ingest_plain_feed(spark, sf_dir):
+    """Files as a market data client writes them: symbol last, a further column, no `seq`."""
+    database, folder = _database(spark)
+    plain = _as_feed(bars_from_lineitem(spark, sf_dir)).withColumn("Capital Gains", F.lit(0.0))
+    order = ("Date", "Open", "High", "Low", "Close", "Volume", "Dividends", "Stock Splits")
+    files = plain.select(*order, "Capital Gains", "Symbol")
+    files.write.option("header", "true").csv(f"{folder}/feed")
+    feed = normalize_feed(read_feed(spark, f"{folder}/feed"))
+    table = f"{database}.stock_data"
+    jobs.ingest(spark, feed, "2100-01-01", _symbols(spark, sf_dir), table, "1900-01-01")
+    return layers.read_layer(spark, table)
+
+
 def read_feed_query(spark, sf_dir):
     """Bars written as CSV landing files and read back through the feed schema."""
     path = new_folder(spark)
@@ -298,6 +313,17 @@ def silver_sparse(spark, sf_dir):
     )
 
 
+def silver_early(spark, sf_dir):
+    """Silver kept up to date after a few early bars were restated."""
+    before = _bars(spark, sf_dir)
+    early = before.groupBy("symbol").agg(F.min("date").alias("date"))
+    changed = stage(
+        before.join(early, ["symbol", "date"]).withColumn("close", F.col("close") + 1)
+    ).select(*S.BAR_COLUMNS)
+    tail = stage(refresh_tail(merge.upsert_by_key(before, changed), changed))
+    return _rounded(merge.upsert_by_key(enrich(before), tail), 6, "monthly_volatility")
+
+
 def silver_tail(spark, sf_dir):
     """Silver kept up to date after restated bars: only their reach is computed."""
     before = _bars(spark, sf_dir)
@@ -391,11 +417,9 @@ def edge_nan(spark, sf_dir):
     close = F.when(flat, F.lit(float("nan"))).otherwise(F.col("close"))
     nans = stage(bars.withColumn("close", close))
     labelled = summary.classify_anomaly(enrich(nans), percent="daily_change_percent")
-    # NaN reads as NULL in some clients, so it is counted instead of shown.
-    shown = ("prev_close", "daily_change", "daily_change_percent", "weekly_ma", "monthly_ma")
-    return labelled.groupBy("symbol", "anomaly_type").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.isnan(c)).alias(f"{c}_nan") for c in shown]
-    )
+    # NaN reads as NULL in some clients, so another number stands for it.
+    marked = {c: F.nanvl(F.round(c, 6), F.lit(float(NAN))) for c in NAN_COLUMNS}
+    return labelled.withColumns(marked).select("date", "symbol", "anomaly_type", *NAN_COLUMNS)
 
 
 def edge_thresholds(spark, sf_dir):
@@ -437,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "ingest_window": ingest_window,
     "ingest_increment": ingest_increment,
     "ingest_stream": ingest_stream_query,
+    "ingest_plain_feed": ingest_plain_feed,
     "first_per_key": first_per_key,
     "insert_if_absent": insert_if_absent,
     "upsert_by_key": upsert_by_key,
@@ -457,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "silver": silver,
     "silver_sparse": silver_sparse,
     "silver_tail": silver_tail,
+    "silver_early": silver_early,
     "daily_summary": daily_summary,
     "classify_anomaly": classify_anomaly,
     "gold": gold,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketbars import schemas as S
 from marketbars.sinks.tables import append_absent, ensure_landing_table
-from marketbars.sources.feed import normalize_feed, read_feed_stream
+from marketbars.sources.feed import in_file_order, normalize_feed, read_feed_stream
 
 
 def ingest_stream(
@@ -27,7 +27,7 @@ def ingest_stream(
     ensure_landing_table(spark, table)
 
     def load(batch: DataFrame, _: int) -> None:
-        append_absent(batch, table, on_bad, quarantine_table)
+        append_absent(in_file_order(batch), table, on_bad, quarantine_table)
 
     query = (
         normalize_feed(read_feed_stream(spark, path, fmt, S.FEED, **options))

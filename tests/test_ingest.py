@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from frames import bars, closes, day
@@ -53,7 +54,7 @@ def test_feed_file_of_another_shape_fails(spark, tmp_path):
     path = str(tmp_path / "feed")
     shifted = feed(spark, [("A", "2020-01-02", 1.5, 1)]).select("Symbol", "Date", "Open", "Low")
     shifted.write.option("header", "true").csv(path)
-    with pytest.raises(Exception, match="CSV header"):
+    with pytest.raises(Exception, match="no column High"):
         normalize_feed(read_feed(spark, path)).collect()
 
 
@@ -149,3 +150,58 @@ def test_audits(spark):
         audit.reject_duplicates(data)
     with pytest.raises(PySparkException, match="symbol must not be NULL"):
         audit.require_not_null(data, ("symbol",)).collect()
+
+
+PLAIN = "Date,Open,High,Low,Close,Volume,Dividends,Stock Splits,Symbol,Capital Gains"
+
+
+def _plain(folder, *lines, header=PLAIN):
+    folder.mkdir()
+    (folder / "part.csv").write_text("\n".join([header, *lines]) + "\n")
+    return str(folder)
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = _plain(tmp_path / "feed", "2020-01-02 00:00:00-05:00,1,4,0.5,2,100,0,0,A,0")
+    (row,) = normalize_feed(read_feed(spark, path)).collect()
+    assert (row.symbol, row.open, row.high, row.low, row.close, row.volume) == ("A", 1, 4, 0.5, 2, 100)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_without_seq_the_first_row_of_a_file_wins(spark, tmp_path, fmt):
+    from marketbars.operators.merge import first_per_key
+
+    folder = tmp_path / "feed"
+    if fmt == "csv":
+        day = "2020-01-02 00:00:00-05:00,1,4,0.5,{},100,0,0,A,0"
+        _plain(folder, *(day.format(c) for c in (13, 12, 14)))
+    else:
+        folder.mkdir()
+        rows = [{"Date": "2020-01-02 00:00:00-05:00", "Symbol": "A", "Close": c} for c in (13.0, 12.0, 14.0)]
+        (folder / "part.json").write_text("\n".join(map(json.dumps, rows)))
+    (row,) = first_per_key(normalize_feed(read_feed(spark, str(folder), fmt))).collect()
+    assert row.close == 13
+
+
+def test_a_missing_column_fails(spark, tmp_path):
+    path = _plain(tmp_path / "feed", "2020-01-02,1,A", header="Date,Open,Symbol")
+    with pytest.raises(ValueError, match="High"):
+        read_feed(spark, path)
+
+
+def test_text_that_is_no_number_fails(spark, tmp_path):
+    path = _plain(tmp_path / "feed", "2020-01-02 00:00:00-05:00,x,4,0.5,2,100,0,0,A,0")
+    with pytest.raises(Exception, match="Open is no double"):
+        normalize_feed(read_feed(spark, path)).collect()
+
+
+def test_the_symbol_from_the_file_name(spark, tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    header = PLAIN.replace(",Symbol", "")
+    for symbol in ("A", "B"):
+        line = "2020-01-02 00:00:00-05:00,1,4,0.5,2,100,0,0,0"
+        (folder / f"{symbol}.csv").write_text(f"{header}\n{line}\n")
+    name = F.regexp_extract("arrival.file", r"([^/]+)[.]csv$", 1)
+    got = normalize_feed(read_feed(spark, str(folder)), symbol=name)
+    assert sorted(r.symbol for r in got.collect()) == ["A", "B"]

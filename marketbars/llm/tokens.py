@@ -13,8 +13,8 @@ from tokenizers import Tokenizer
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PRINTABLE = (*range(33, 127), *range(161, 173), *range(174, 256))
 
-# Entries of each of the two tables that a process keeps.
-_CACHED = 600_000
+# Words, and parts of other words, that a process keeps.
+_CACHED, _PIECES = 900_000, 200_000
 
 
 class ByteLevelEncoder:
@@ -34,33 +34,41 @@ class ByteLevelEncoder:
         self._code, self.dtype = ("I", np.dtype("<u4")) if wide else ("H", np.dtype("<u2"))
         others = [b for b in range(256) if b not in _PRINTABLE]
         self._alphabet = {b: 256 + i for i, b in enumerate(others)}
+        self._space = chr(self._alphabet[32])
         self._pieces_of = regex.compile(_SPLIT).findall
         # A space between two characters of white space is no safe place to cut.
         self._uncut = regex.compile(r"\s (?:\s|\Z)").search
         self._words: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
 
+    def _bpe(self, piece: str) -> bytes:
+        if not piece.isascii() or not piece.isprintable():
+            piece = piece.encode("utf-8", "replace").decode("latin-1")
+        ids = [token.id for token in self._tokenize(piece.translate(self._alphabet))]
+        return array(self._code, ids).tobytes()
+
     def _piece(self, piece: str) -> bytes:
         found = self._pieces.get(piece)
         if found is None:
-            if len(self._pieces) >= _CACHED:
+            if len(self._pieces) >= _PIECES:
                 self._pieces.clear()
-            shown = piece.encode("utf-8", "replace").decode("latin-1").translate(self._alphabet)
-            ids = [token.id for token in self._tokenize(shown)]
-            found = self._pieces[piece] = array(self._code, ids).tobytes()
+            found = self._pieces[piece] = self._bpe(piece)
         return found
 
     def _plain(self, text: str) -> bytes:
         return b"".join([self._piece(piece) for piece in self._pieces_of(text)])
 
     def _word(self, word: str) -> bytes:
-        """Ids of a word with the space before it."""
+        """Ids of a word that is not known, with the space before it."""
         if len(self._words) >= _CACHED:
             self._words.clear()
+        stem, mark = word[:-1], word[-1:]
         if word.isalpha():
-            found = self._piece(" " + word)
-        elif word[-1:] in (",", ".") and word[:-1].isalpha():
-            found = self._piece(" " + word[:-1]) + self._piece(word[-1])
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._alphabet)
+            ids = [token.id for token in self._tokenize(self._space + shown)]
+            found = array(self._code, ids).tobytes()
+        elif mark in (",", ".") and stem.isalpha():
+            found = (self._words.get(stem) or self._word(stem)) + self._piece(mark)
         else:
             found = self._plain(" " + word)
         self._words[word] = found
@@ -73,10 +81,13 @@ class ByteLevelEncoder:
         if self._uncut(text):
             return self._plain(text)
         words = text.split(" ")
-        known = self._words.get
-        rest = [known(w) or self._word(w) for w in words[1:]]
+        known, learn = self._words.get, self._word
+        rest = [known(w) or learn(w) for w in words[1:]]
         return self._plain(words[0]) + b"".join(rest)
 
+    def ids(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(self.encode(text), self.dtype)
+
 
 _ENCODERS: dict[str, ByteLevelEncoder] = {}
 

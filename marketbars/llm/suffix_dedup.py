@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.hashing import mix, powers
+from marketbars.llm.hashing import data_id, mix, powers
 from marketbars.llm.shared import batches, partitions, saved
 
 # Bytes whose hash picks anchors.
@@ -19,12 +19,8 @@ _GRAM = 16
 _CHUNK = 3 << 20
 _SEGMENT = 1 << 23
 # Anchors of a group that are compared in one task.
-_MOST = 4096
-_ANCHOR = "id long, at long, low long, high long, code long, place long"
-
-
-def _int64(data: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+_MOST = 16_384
+_ANCHOR = "id long, at long, low long, high long, code long, place long, twice boolean"
 
 
 class Prefixes:
@@ -85,6 +81,32 @@ def anchors(code: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
 
 
+def _surroundings(
+    code: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A text's anchors, and for each the first one with the same strings around it.
+
+    The last array has the hashes of what follows each anchor in all its strings.
+    """
+    at, low, high = anchors(code, length)
+    prefixes = Prefixes(code)
+    around = mix(prefixes.hash(low, high + length) ^ mix((at - low << 32 | high - low).astype(np.uint64)))
+    _, first, which = np.unique(around, return_index=True, return_inverse=True)
+    follows = length - length * 3 // 4 + 1
+    return at, low, high, first[which], mix(prefixes.hash(at, at + follows)).view(np.int64)
+
+
+def _own_repeats(data: bytes, length: int) -> list[tuple[int, int]]:
+    """Parts of a text whose strings come again around another of its anchors."""
+    _, low, high, first, _ = _surroundings(np.frombuffer(data, np.uint8), length)
+    out = []
+    for i in np.flatnonzero(first != np.arange(len(first))).tolist():
+        j = int(first[i])
+        if data[low[i] : high[i] + length] == data[low[j] : high[j] + length]:
+            out += [(int(low[k]), int(high[k]) + length) for k in (i, j)]
+    return out
+
+
 def _sorted_within(
     prefixes: Prefixes, at: np.ndarray, room: np.ndarray, group: np.ndarray, step: int
 ) -> np.ndarray:
@@ -199,9 +221,10 @@ def repeated_parts(
     return index, np.minimum.reduceat(offset, first), np.maximum.reduceat(offset, first)
 
 
-def _spans(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
+def _spans(parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts, joined where they touch or overlap."""
     out: list[tuple[int, int]] = []
-    for start, end in sorted(zip(starts, ends, strict=True)):
+    for start, end in sorted(parts):
         if out and start <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], end))
         else:
@@ -218,7 +241,7 @@ def _keyed(documents: DataFrame) -> DataFrame:
             yield pa.record_batch(
                 [
                     batch.column(0),
-                    pa.array([_int64(d) for d in data], pa.int64()),
+                    pa.array([data_id(d) for d in data], pa.int64()),
                     pa.array([len(d) for d in data], pa.int64()),
                     pa.array([hashlib.sha256(d).hexdigest() for d in data], pa.string()),
                 ],
@@ -229,30 +252,33 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 
 def _anchors(documents: DataFrame, length: int) -> DataFrame:
-    """The anchors of all texts, with the hash of what follows each in all its strings."""
-    follows = length - length * 3 // 4 + 1
+    """The anchors of all texts, with the hash of what follows each in all its strings.
 
+    Of a text's anchors with the same strings around them, as in a run of one
+    word, the first stands for all and is marked as `twice`.
+    """
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches(rows, 1024):
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-            seen = set()
+            out: list[list[np.ndarray]] = [[], [], [], [], [], []]
             for text in batch.column(0).to_pylist():
                 data = (text or "").encode("utf-8", "replace")
-                own = _int64(data)
+                own = data_id(data)
                 if len(data) < length or own in seen:
                     continue
                 seen.add(own)
-                code = np.frombuffer(data, np.uint8)
-                at, low, high = anchors(code, length)
-                hashed = mix(Prefixes(code).hash(at, at + follows)).view(np.int64)
-                ids = np.full(len(at), own, np.int64)
-                for column, values in zip(out, (ids, at, low, high, hashed), strict=True):
+                at, low, high, first, hashed = _surroundings(np.frombuffer(data, np.uint8), length)
+                one, count = np.unique(first, return_counts=True)
+                ids = np.full(len(one), own, np.int64)
+                columns = (ids, at[one], low[one], high[one], hashed[one], count > 1)
+                for column, values in zip(out, columns, strict=True):
                     column.append(values)
             if out[0]:
-                columns = [np.concatenate(c) for c in out]
+                *columns, twice = (np.concatenate(c) for c in out)
                 place = mix(mix(columns[0].view(np.uint64)) + columns[1].view(np.uint64)).view(np.int64)
                 yield pa.record_batch(
-                    [*columns, place], names=["id", "at", "low", "high", "code", "place"]
+                    [pa.array(c) for c in (*columns, place, twice)],
+                    names=["id", "at", "low", "high", "code", "place", "twice"],
                 )
 
     return documents.select("text").mapInArrow(read, _ANCHOR)
@@ -268,7 +294,7 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
             out: list[tuple] = []
             for own, text, chosen in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode("utf-8", "replace")
-                for x in (x for x in chosen if not x["frequent"]):
+                for x in (x for x in chosen if x["frequent"] is False):
                     around = data[x["low"] : x["high"] + length]
                     out.append((x["code"], own, x["low"], x["at"] - x["low"], around))
             columns = list(zip(*out, strict=True)) or [()] * 5
@@ -300,6 +326,7 @@ def _frequent(texts: DataFrame, length: int) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["digest", "id", "start"]
             )
 
+    texts = texts.where(F.exists("chosen", lambda x: x["frequent"]))
     strings = texts.mapInArrow(read, "digest binary, id long, start long")
     place = F.struct("id", "start")
     twice = (
@@ -384,16 +411,23 @@ def remove_repeats(
         .where(F.col("least") < F.col("most"))
         .select("code", (F.col("n") > most).alias("frequent"))
     )
+    # Strings that come again in their own text need no other text.
     chosen = (
-        found.join(shared, "code")
+        found.join(shared, "code", "left")
+        .where(F.col("frequent").isNotNull() | F.col("twice"))
         .groupBy("id")
-        .agg(F.collect_set(F.struct("at", "low", "high", "code", "frequent")).alias("chosen"))
+        .agg(
+            F.collect_set(F.struct("at", "low", "high", "code", "frequent")).alias("chosen"),
+            F.max("twice").alias("twice"),
+        )
     )
     texts = _with_ids(docs).groupBy("id").agg(F.first("text").alias("text"))
-    texts = saved(texts.join(chosen, "id").select("id", "text", "chosen"))
-    contexts = _contexts(texts, length)
+    texts = saved(texts.join(chosen, "id").select("id", "text", "chosen", "twice"))
+    contexts = _contexts(texts.select("id", "text", "chosen"), length)
     dealt = contexts.repartition(partitions(spark), "code").sortWithinPartitions("code")
-    repeated = _compare(dealt, length).unionByName(_frequent(texts, length))
+    repeated = _compare(dealt, length).unionByName(
+        _frequent(texts.select("id", "text", "chosen"), length)
+    )
     parts = repeated.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("parts"))
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,9 +435,12 @@ def remove_repeats(
         names = ["id", "n_removed", "n_spans", "kept_sha256", "kept"]
         for batch in batches(rows, 512):
             out: list[tuple] = []
-            for own, text, found_parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for own, text, twice, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data, keep, at = text.encode("utf-8", "replace"), [], 0
-                spans = _spans([p["start"] for p in found_parts], [p["end"] for p in found_parts])
+                spans = _spans(
+                    [(p["start"], p["end"]) for p in found or ()]
+                    + (_own_repeats(data, length) if twice else [])
+                )
                 for start, end in spans:
                     keep.append(data[at:start])
                     at = end
@@ -414,7 +451,8 @@ def remove_repeats(
             columns = list(zip(*out, strict=True)) or [()] * 5
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    cuts = texts.select("id", "text").join(parts, "id").select("id", "text", "parts")
+    cuts = texts.join(parts, "id", "left").where(F.col("parts").isNotNull() | F.col("twice"))
+    cuts = cuts.select("id", "text", "twice", "parts")
     cuts = cuts.mapInArrow(cut, "id long, n_removed long, n_spans long, kept_sha256 string, kept string")
     copies = known.groupBy("id").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
     whole = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
@@ -439,7 +477,7 @@ def _with_ids(docs: DataFrame) -> DataFrame:
 
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            ids = [_int64(t.encode("utf-8", "replace")) for t in batch.column(0).to_pylist()]
+            ids = [data_id(t.encode("utf-8", "replace")) for t in batch.column(0).to_pylist()]
             yield pa.record_batch([pa.array(ids, pa.int64()), batch.column(0)], names=["id", "text"])
 
     return docs.select("text").where(F.col("text").isNotNull()).mapInArrow(read, "id long, text string")

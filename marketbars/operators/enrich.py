@@ -22,23 +22,35 @@ def _change_columns(value: str, on_zero: str) -> dict[str, Column]:
 
 
 def with_changes(
-    df: DataFrame, value: str = "close", on_zero: str = "error", years: int = BLOCK_YEARS
+    df: DataFrame,
+    value: str = "close",
+    on_zero: str = "error",
+    years: int = BLOCK_YEARS,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Previous value, change and change in percent of each symbol's rows.
 
     The previous row counts even when its value is NULL: change is then 0.
+    ``keep_block`` leaves the block columns in, by which `with_month_volatility`
+    goes on without another shuffle.
     """
     rows = over_series(
         df, 1, lambda series: {_PREVIOUS: F.lag(value).over(series)}, value=value, years=years
     )
-    return rows.withColumns(_change_columns(value, on_zero)).drop(_PREVIOUS, BLOCK, BLOCK_MONTH)
+    changed = rows.withColumns(_change_columns(value, on_zero)).drop(_PREVIOUS)
+    return changed if keep_block else changed.drop(BLOCK, BLOCK_MONTH)
 
 
 def with_moving_average(
     df: DataFrame, name: str, rows: int, value: str = "close", years: int = BLOCK_YEARS
 ) -> DataFrame:
-    """Average of a row and the ``rows - 1`` before it; fewer at the start."""
+    """Average of a row and the ``rows - 1`` before it; fewer at the start.
+
+    Blocks grow with the frame, so that few rows serve more than one block.
+    """
     reach = rows - 1
+    # At least eight frames of daily rows to a block.
+    years = max(years, -(-8 * reach // 366))
     result = over_series(
         df,
         reach,
@@ -52,13 +64,16 @@ def with_moving_average(
 def with_month_volatility(
     df: DataFrame, value: str = "daily_change_percent", name: str = "monthly_volatility"
 ) -> DataFrame:
-    """Sample deviation of a symbol's values in the calendar month of each row."""
-    month = Window.partitionBy("symbol", BLOCK_MONTH)
-    return (
-        df.withColumn(BLOCK_MONTH, month_bucket("date"))
-        .withColumn(name, F.stddev_samp(value).over(month))
-        .drop(BLOCK_MONTH)
-    )
+    """Sample deviation of a symbol's values in the calendar month of each row.
+
+    Rows that still have their block columns are grouped by them, as they lie;
+    the columns go then.
+    """
+    blocked = BLOCK in df.columns and BLOCK_MONTH in df.columns
+    month = Window.partitionBy("symbol", *([BLOCK] if blocked else []), BLOCK_MONTH)
+    if not blocked:
+        df = df.withColumn(BLOCK_MONTH, month_bucket("date"))
+    return df.withColumn(name, F.stddev_samp(value).over(month)).drop(BLOCK, BLOCK_MONTH)
 
 
 def enrich(

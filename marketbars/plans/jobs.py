@@ -80,7 +80,7 @@ def build_layers(
         sinks.write_reload(landing, tables.bronze)
         sinks.write_reload(enrich(read_layer(spark, tables.bronze)), tables.silver)
     elif mode == "full":
-        sinks.write_upsert(landing, tables.bronze, check_unique=False)
+        sinks.write_upsert(landing, tables.bronze, check_unique=False, stored=True)
         silver = enrich(read_layer(spark, tables.bronze))
         sinks.write_upsert(silver, tables.silver, check_unique=False)
     else:
@@ -116,5 +116,6 @@ def forecast_avg_close(
 ) -> None:
     """Replace the forecast made from gold average closes."""
     sinks.ensure_forecast_table(spark, tables.forecast_avg_close)
+    sinks.recover_swap(spark, tables.gold)
     gold = read_layer(spark, tables.gold, ("date", "symbol", "avg_close"))
     sinks.write_replace(forecast(gold, "avg_close", horizon), tables.forecast_avg_close)

@@ -289,7 +289,7 @@ def month_bucket_query(spark, sf_dir):
 
 
 def monthly_volatility(spark, sf_dir):
-    rows = with_month_volatility(with_changes(_closes(spark, sf_dir)))
+    rows = with_month_volatility(with_changes(_closes(spark, sf_dir), keep_block=True))
     return _rounded(rows, 6, "monthly_volatility").select("date", "symbol", "monthly_volatility")
 
 

@@ -43,6 +43,7 @@ def ensure_silver_table(spark: SparkSession, table: str = S.SILVER_TABLE) -> Non
 
 
 def ensure_forecast_table(spark: SparkSession, table: str) -> None:
+    recover_swap(spark, table)
     ensure_table(spark, table, S.FORECAST_TABLE_DDL)
 
 
@@ -97,8 +98,8 @@ def append_absent(
     Stored rows win; inside the batch the first to arrive wins, or where no
     arrival is known the smallest row. Rows with a NULL key or too long a
     symbol fail the write, or with ``on_bad='quarantine'`` go to
-    ``quarantine_table``, again if the batch is sent again. The batch is stored
-    first: only then is its size known, and the table is pruned to its months.
+    ``quarantine_table``, once each. The batch is stored first: only then is its
+    size known, and the table is pruned to its months.
     """
     spark = batch.sparkSession
     if on_bad not in ("error", "quarantine"):
@@ -117,26 +118,42 @@ def append_absent(
 
 
 def _set_aside(batch: DataFrame, quarantine_table: str) -> DataFrame:
-    """Append the rows a bar table refuses to another table, return the others."""
+    """Add the rows a bar table refuses to another table, return the others.
+
+    A row that is there already, as after a batch was sent again, is not added
+    again.
+    """
+    spark = batch.sparkSession
     bad = F.coalesce(bad_key(), F.lit(True))
-    batch.where(bad).select(*S.BAR_COLUMNS).write.mode("append").saveAsTable(quarantine_table)
+    refused = batch.where(bad).select(*S.BAR_COLUMNS).distinct()
+    if spark.catalog.tableExists(quarantine_table):
+        held = spark.table(quarantine_table)
+        same = [refused[c].eqNullSafe(held[c]) for c in S.BAR_COLUMNS]
+        refused = refused.join(held, same, "left_anti")
+    refused.write.mode("append").saveAsTable(quarantine_table)
     return batch.where(~bad)
 
 
 def write_upsert(
-    batch: DataFrame, table: str, key: Sequence[str] = S.KEY, check_unique: bool = True
+    batch: DataFrame,
+    table: str,
+    key: Sequence[str] = S.KEY,
+    check_unique: bool = True,
+    stored: bool = False,
 ) -> None:
     """Replace the table's rows of the batch's keys, keep all others.
 
     Only months the batch touches are read and rewritten. A batch that repeats
-    a key is refused; ``check_unique=False`` is for batches known not to.
+    a key is refused; ``check_unique=False`` is for batches known not to. A
+    batch is stored first, as it is used several times, unless it is ``stored``:
+    read from another table. Into an empty table the rows go directly.
     """
     spark = batch.sparkSession
     batch = _with_month(require_not_null(batch, key))
     with staging(spark) as stage:
         target = spark.table(table)
         fresh = target.isEmpty()
-        if check_unique or not fresh:
+        if not stored and (check_unique or not fresh):
             batch = stage(batch)
         if check_unique:
             reject_duplicates(batch, key)
@@ -190,13 +207,27 @@ def write_replace(df: DataFrame, table: str) -> None:
         require_not_null(df, columns).select(*columns).write.insertInto(fresh)
 
 
+def recover_swap(spark: SparkSession, table: str) -> None:
+    """Finish a replacement that was cut short between its two renamings.
+
+    The table is then missing, and its complete successor waits beside the old
+    one. A successor that still waits while the table is there may be half
+    filled and goes.
+    """
+    fresh, old = f"{table}__new", f"{table}__old"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(old):
+        complete = spark.catalog.tableExists(fresh)
+        spark.sql(f"ALTER TABLE {fresh if complete else old} RENAME TO {table}")
+    for name in (fresh, old):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 @contextmanager
 def _successor(spark: SparkSession, table: str) -> Iterator[str]:
     """The name of a new table, which replaces ``table`` when all went well."""
+    recover_swap(spark, table)
     fresh, old = f"{table}__new", f"{table}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
     yield fresh
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")

@@ -213,3 +213,13 @@ def test_tail_refresh_leaves_earlier_months_alone(spark):
     changed = bars(spark, [("A", "02-20", 1.0)])
     dates = [r.date for r in refresh_tail(data, changed).collect()]
     assert min(dates) == day("02-01") and max(dates) == day("03-28") and len(dates) == 56
+
+
+def test_a_long_average_equals_the_uncut_window(spark):
+    start = dt.date(1990, 1, 1)
+    rows = [("A", str(start + dt.timedelta(days=d)), float(d % 97)) for d in range(7000)]
+    data = stage(bars(spark, rows))
+    frame = Window.partitionBy("symbol").orderBy("date").rowsBetween(-2999, 0)
+    expected = data.select("date", F.avg("close").over(frame).alias("ma"))
+    actual = with_moving_average(data, "ma", 3000).select("date", "ma")
+    assert sorted(actual.collect()) == sorted(expected.collect())

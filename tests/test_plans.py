@@ -6,7 +6,7 @@ import pytest
 from conftest import TESTDATA
 from frames import bars
 
-from marketbars.operators.enrich import enrich
+from marketbars.operators.enrich import enrich, with_changes, with_month_volatility
 from marketbars.operators.merge import absent_rows
 from marketbars.operators.refresh import _bars_of
 from marketbars.operators.series import BLOCK
@@ -61,6 +61,11 @@ def test_silver(spark, stored):
     assert re.search(r"ReadSchema: struct<date:date,symbol:string,close:double>", text)
 
 
+def test_volatility_goes_on_where_changes_left_the_rows(spark, stored):
+    text = plan(with_month_volatility(with_changes(stored, keep_block=True)))
+    assert count(text, "Exchange") == 3 and "Join" not in text
+
+
 def test_gold_adds_neither_shuffle_nor_join(spark, stored):
     silver = enrich(stored, keep_block=True)
     text = plan(summarize(silver, also_by=(BLOCK,)))

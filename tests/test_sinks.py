@@ -177,3 +177,27 @@ def test_replace_empties_and_loads(spark):
         sinks.write_replace(spark.createDataFrame([("ABCDEFGHIJK", 1.0, JAN)], schema), name)
     spark.sql(f"DROP TABLE {name}")
     spark.sql(f"DROP TABLE {name}__new")
+
+
+def test_a_row_is_set_aside_once(spark, table):
+    aside = f"{table}_aside"
+    rows = [("A", "01-02", 1.0), (None, "01-03", 2.0)]
+    for _ in range(2):
+        sinks.append_absent(bars(spark, rows), table, "quarantine", aside)
+    assert spark.table(aside).count() == 1
+    spark.sql(f"DROP TABLE {aside}")
+
+
+@pytest.mark.parametrize("lost_after", ["fill", "first renaming", "second renaming"])
+def test_a_swap_that_was_cut_short_is_finished(spark, lost_after):
+    sinks.write_rebuild(spark.range(1), "swapped")
+    spark.range(2).write.saveAsTable("swapped__new")
+    if lost_after != "fill":
+        spark.sql("ALTER TABLE swapped RENAME TO swapped__old")
+    if lost_after == "second renaming":
+        spark.sql("ALTER TABLE swapped__new RENAME TO swapped")
+    sinks.recover_swap(spark, "swapped")
+    assert spark.table("swapped").count() == (1 if lost_after == "fill" else 2)
+    for name in ("swapped__new", "swapped__old"):
+        assert not spark.catalog.tableExists(name)
+    spark.sql("DROP TABLE swapped")

@@ -1,0 +1,13 @@
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import pytest
+
+
+@pytest.fixture(autouse=True)
+def _importable(spark):
+    from marketbars.llm.shared import importable
+
+    importable(spark)

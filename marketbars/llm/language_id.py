@@ -112,7 +112,8 @@ class Scorer:
                     self._children.append({})
                 node = self._children[node][c]
             nodes[node] = i
-        table = np.array([model[lang] for lang in self.languages]).T
+        size = processor.get_piece_size()
+        table = np.array([model[lang] for lang in self.languages]).reshape(-1, size).T
         self._weights = np.zeros((len(self._children), len(self.languages)))
         self._weights[list(nodes)] = table[list(nodes.values())]
         self._is_piece = np.zeros(len(self._children), bool)

@@ -6,6 +6,8 @@ import random
 
 from pyspark.sql import types as T
 
+from marketbars.llm.shared import importable
+
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -35,6 +37,7 @@ def prose(seed: int, words: int, stock: int = 400) -> str:
 
 def documents(spark, texts, lang="en", source="s"):
     """Rows of (doc_id, text) with columns of clashing names."""
+    importable(spark)
     rows = [
         (i, t, lang, source, None if t is None else len(t), "x", "y", "z", "s", "t", "k", "c")
         for i, t in texts

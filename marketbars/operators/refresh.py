@@ -18,6 +18,31 @@ def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     return after.select(*S.BAR_COLUMNS).join(old, same, "left_anti")
 
 
+def _fingerprints(bars: DataFrame) -> DataFrame:
+    """Per month the number of rows and two sums of row hashes, in any order."""
+    row = [F.col(c) for c in S.BAR_COLUMNS]
+    wide = "decimal(38,0)"
+    return bars.groupBy(S.MONTH).agg(
+        F.count("*").alias("_n"),
+        F.sum(F.xxhash64(*row).cast(wide)).alias("_one"),
+        F.sum(F.xxhash64(F.lit("again"), *row).cast(wide)).alias("_two"),
+    )
+
+
+def differing_months(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Months of ``after`` whose rows differ from those of ``before``.
+
+    Both have a month column, and each is reduced to one row a month before it
+    is shuffled. Two months that differ pass as equal only if both 64-bit sums
+    agree by chance, one time in 2^128.
+    """
+    old = _fingerprints(before).withColumnRenamed(S.MONTH, "_old")
+    new = _fingerprints(after)
+    same = [new[S.MONTH].eqNullSafe(old["_old"])]
+    same += [new[c].eqNullSafe(old[c]) for c in ("_n", "_one", "_two")]
+    return new.join(old, same, "left_anti").select(S.MONTH)
+
+
 def months_to_refresh(bronze: DataFrame, changed: DataFrame) -> DataFrame:
     """(symbol, month, affected) of what changes reach and of what they look back to.
 

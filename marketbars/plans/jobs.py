@@ -6,18 +6,19 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketbars import schemas as S
 from marketbars.functions.expressions import month_bucket
 from marketbars.operators.audit import reject_duplicates
 from marketbars.operators.enrich import enrich
 from marketbars.operators.merge import upsert_by_key
-from marketbars.operators.refresh import changed_rows, refresh_tail
+from marketbars.operators.refresh import changed_rows, differing_months, refresh_tail
 from marketbars.operators.summary import summarize
 from marketbars.operators.trend import forecast
-from marketbars.operators.watermark import ingest_window, watermarks
+from marketbars.operators.watermark import ingest_window, newest_dates, watermarks
 from marketbars.sinks import tables as sinks
-from marketbars.sources.tables import read_layer, symbol_universe
+from marketbars.sources.tables import read_layer, stored_months, symbol_universe
 from marketbars.storage import staging
 
 
@@ -48,7 +49,10 @@ def ingest(
     sinks.ensure_landing_table(spark, table)
     symbols = symbol_universe(spark) if symbols is None else symbols
     with staging(spark) as stage:
-        marks = stage(watermarks(symbols, read_layer(spark, table), default_start))
+        held = spark.table(table).select("symbol", "date", S.MONTH)
+        newest = newest_dates(symbols, held, stored_months(spark, table), stage)
+        dated = newest.withColumnRenamed("max_date", "date")
+        marks = stage(watermarks(symbols, dated, default_start))
         batch = ingest_window(feed, marks, as_of)
         sinks.append_absent(batch, table, on_bad, quarantine_table)
 
@@ -74,32 +78,60 @@ def build_layers(
         raise ValueError("since limits a tail build only")
     sinks.ensure_bronze_table(spark, tables.bronze)
     sinks.ensure_silver_table(spark, tables.silver)
-    landing = read_layer(spark, tables.landing, S.BAR_COLUMNS, since)
+    sinks.recover_swap(spark, tables.gold)
+    if mode == "tail" and not rebuild:
+        _build_tail(spark, tables, since)
+        return
+    landing = read_layer(spark, tables.landing, S.BAR_COLUMNS)
     reject_duplicates(landing)
     if rebuild:
         sinks.write_reload(landing, tables.bronze)
         sinks.write_reload(enrich(read_layer(spark, tables.bronze)), tables.silver)
-    elif mode == "full":
+    else:
         sinks.write_upsert(landing, tables.bronze, check_unique=False, stored=True)
         silver = enrich(read_layer(spark, tables.bronze))
         sinks.write_upsert(silver, tables.silver, check_unique=False)
-    else:
-        _build_tail(spark, tables, landing, since)
     sinks.write_rebuild(summarize(read_layer(spark, tables.silver)), tables.gold)
 
 
-def _build_tail(
-    spark: SparkSession, tables: Tables, landing: DataFrame, since: dt.date | str | None
-) -> None:
-    """Silver goes first: after a failure in between, the next run still finds
-    the same changes in bronze."""
+def _since(bars: DataFrame, since: dt.date | str | None) -> DataFrame:
+    if since is None:
+        return bars
+    day = F.lit(str(since)).cast("date")
+    return bars.where((F.col(S.MONTH) >= F.trunc(day, "MM")) & (F.col("date") >= day))
+
+
+def _build_tail(spark: SparkSession, tables: Tables, since: dt.date | str | None) -> None:
+    """Bring the layers up to date month by month.
+
+    Only months that differ by their fingerprints are compared row by row and
+    checked for repeated keys; only what their changes reach is computed again,
+    and only the months of those rows are written. Silver and gold go first and bronze
+    last: after a failure in between, the next run still finds the same changes
+    in bronze and does all of it again.
+    """
+    landing, held = (_since(spark.table(t), since) for t in (tables.landing, tables.bronze))
     with staging(spark) as stage:
-        changed = stage(changed_rows(read_layer(spark, tables.bronze, since=since), landing))
+        months = stage(differing_months(held, landing))
+        new, old = (t.join(months, S.MONTH, "left_semi") for t in (landing, held))
+        reject_duplicates(new)
+        changed = stage(changed_rows(old, new))
         dated = changed.withColumn(S.MONTH, month_bucket("date"))
         bronze = upsert_by_key(spark.table(tables.bronze), dated)
-        tail = refresh_tail(bronze, changed, stage=stage)
-        sinks.write_upsert(tail, tables.silver, check_unique=False)
-        sinks.write_upsert(changed, tables.bronze, check_unique=False)
+        tail = stage(refresh_tail(bronze, changed, stage=stage))
+        sinks.write_upsert(tail, tables.silver, check_unique=False, stored=True)
+        _write_gold(spark, tables, stage(tail.select(month_bucket("date").alias(S.MONTH)).distinct()))
+        sinks.write_upsert(changed, tables.bronze, check_unique=False, stored=True)
+
+
+def _write_gold(spark: SparkSession, tables: Tables, months: DataFrame) -> None:
+    """Gold rows depend on silver's of the same month only."""
+    silver = spark.table(tables.silver)
+    if not (spark.catalog.tableExists(tables.gold) and S.MONTH in spark.table(tables.gold).columns):
+        sinks.write_rebuild(summarize(read_layer(spark, tables.silver)), tables.gold)
+        return
+    rows = silver.join(months, S.MONTH, "left_semi").drop(S.MONTH)
+    sinks.write_months(summarize(rows), tables.gold)
 
 
 def forecast_close(

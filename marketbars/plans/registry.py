@@ -218,6 +218,47 @@ def build_layers(spark, sf_dir):
     return _rounded(gold, 6, "avg_monthly_volatility")
 
 
+def build_layers_tail(spark, sf_dir):
+    """Gold after early and late bars were restated and the layers' tail was built."""
+    tables = _warehouse(spark, sf_dir)
+    landing = layers.read_layer(spark, tables.landing)
+    late = F.col("date") >= F.lit("2000-11-15").cast("date")
+    early = landing.groupBy("symbol").agg(F.min("date").alias("date"))
+    restated = stage(
+        landing.where(late)
+        .unionByName(landing.join(early, ["symbol", "date"]).select(*S.BAR_COLUMNS))
+        .distinct()
+        .withColumn("close", F.col("close") + 1)
+    )
+    sinks.write_upsert(restated, tables.landing)
+    jobs.build_layers(spark, tables, mode="tail")
+    return _rounded(layers.read_layer(spark, tables.gold), 6, "avg_monthly_volatility")
+
+
+def rebuild_layers(spark, sf_dir):
+    """Gold after all layers were replaced."""
+    tables = _warehouse(spark, sf_dir)
+    jobs.build_layers(spark, tables, rebuild=True)
+    return _rounded(layers.read_layer(spark, tables.gold), 6, "avg_monthly_volatility")
+
+
+def build_forecast_close(spark, sf_dir):
+    """The stored forecast from silver after ingest, build and forecast."""
+    tables = _warehouse(spark, sf_dir)
+    jobs.forecast_close(spark, tables)
+    return _rounded(spark.table(tables.forecast_close), 3, "predicted_close")
+
+
+def quarantine_insert(spark, sf_dir):
+    """What is set aside when a batch with bad rows is inserted twice."""
+    table = f"{_database(spark)[0]}.stock_data"
+    sinks.ensure_landing_table(spark, table)
+    batch = stage(_marked(spark, sf_dir))
+    for _ in range(2):
+        sinks.append_absent(batch, table, "quarantine", f"{table}_aside")
+    return spark.table(f"{table}_aside")
+
+
 def build_forecast(spark, sf_dir):
     """The stored forecast from gold after ingest, build and forecast."""
     tables = _warehouse(spark, sf_dir)
@@ -439,17 +480,20 @@ def edge_single_point(spark, sf_dir):
     return _rounded(trend.forecast(newest, "close"), 3, "predicted_close")
 
 
-def quarantine(spark, sf_dir):
-    """Rows a bar table refuses: no date, no symbol, or a symbol too long."""
-    bars = bars_from_lineitem(spark, sf_dir)
-    marked = bars.withColumns(
+def _marked(spark, sf_dir):
+    """Bars of which some have no date, no symbol, or a symbol too long."""
+    return bars_from_lineitem(spark, sf_dir).withColumns(
         {
             "date": F.when(F.col("close") != F.col("low"), F.col("date")),
             "symbol": F.when(F.col("open") == F.col("high"), F.concat("symbol", F.lit(" (high)")))
             .when(F.col("open") != F.col("low"), F.col("symbol")),
         }
     )
-    return marked.where(audit.bad_key())
+
+
+def quarantine(spark, sf_dir):
+    """Rows a bar table refuses."""
+    return _marked(spark, sf_dir).where(audit.bad_key())
 
 
 QUERIES: dict[str, Query] = {
@@ -487,7 +531,10 @@ QUERIES: dict[str, Query] = {
     "classify_anomaly": classify_anomaly,
     "gold": gold,
     "build_layers": build_layers,
+    "build_layers_tail": build_layers_tail,
+    "rebuild_layers": rebuild_layers,
     "build_forecast": build_forecast,
+    "build_forecast_close": build_forecast_close,
     "day_index": day_index,
     "fit_trend": fit_trend,
     "forecast_close": forecast_close,
@@ -497,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "audit_duplicates": audit_duplicates,
     "audit_length": audit_length,
     "quarantine": quarantine,
+    "quarantine_insert": quarantine_insert,
     "edge_nulls": edge_nulls,
     "edge_nan": edge_nan,
     "edge_thresholds": edge_thresholds,

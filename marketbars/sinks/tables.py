@@ -182,17 +182,26 @@ def write_reload(df: DataFrame, table: str) -> None:
         _by_month(rows, table).write.mode("overwrite").insertInto(table)
 
 
+def write_months(df: DataFrame, table: str) -> None:
+    """Replace whole months: those that ``df``, read from other tables, has rows of."""
+    with _overwriting(df.sparkSession, "dynamic"):
+        _by_month(_with_month(df), table).write.mode("overwrite").insertInto(table)
+
+
 def write_rebuild(df: DataFrame, table: str) -> None:
-    """Build an unpartitioned table beside the old one, then put it in its place.
+    """Build a table by month beside the old one, then put it in its place.
 
-    The columns are those of ``df``. A build that fails leaves the old table
-    as it was.
+    The columns are those of ``df`` and the month. A build that fails leaves the
+    old table as it was.
     """
     spark = df.sparkSession
     with _successor(spark, table) as fresh:
         # Registered before it is filled: what a crash leaves can be dropped.
-        spark.createDataFrame([], df.schema).write.format("parquet").saveAsTable(fresh)
-        df.write.insertInto(fresh)
+        rows = _with_month(df)
+        empty = spark.createDataFrame([], rows.schema).write.format("parquet")
+        empty.partitionBy(S.MONTH).saveAsTable(fresh)
+        with _overwriting(spark, "static"):
+            _by_month(rows, fresh).write.insertInto(fresh)
 
 
 def write_replace(df: DataFrame, table: str) -> None:

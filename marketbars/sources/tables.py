@@ -33,6 +33,13 @@ def read_layer(
     return layer.select(*columns) if columns else layer.drop(S.MONTH)
 
 
+def stored_months(spark: SparkSession, table: str) -> list[dt.date]:
+    """The months that a bar table has files for; twelve a year."""
+    found = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    texts = [row[0].split("=", 1)[1] for row in found]
+    return [dt.date.fromisoformat(t) for t in texts if not t.startswith("__")]
+
+
 def distinct_symbols(df: DataFrame) -> DataFrame:
     return df.select("symbol").distinct()
 

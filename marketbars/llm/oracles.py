@@ -7,6 +7,28 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _PARTS = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
 
 ORACLES: dict[str, str] = {
+    "op5_line_dedup": r"""
+        WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS units FROM documents),
+        units AS (
+            SELECT doc_id, i, units[i] AS unit,
+                array_to_string(regexp_extract_all(lower(units[i]), '[\p{L}\p{N}]+'), ' ') AS plain
+            FROM (SELECT *, unnest(range(1, len(units) + 1)) AS i FROM texts)
+        ), placed AS (
+            SELECT *,
+                coalesce(sum(length(unit) + 1) OVER (
+                    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place,
+                len(string_split(plain, ' ')) >= 5
+                    AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, i) > 1 AS gone
+            FROM units
+        )
+        SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+            CAST(coalesce(sum(length(unit)) FILTER (gone), 0) AS BIGINT) AS removed_chars,
+            coalesce(string_agg(CAST(place AS BIGINT) || ':' || length(unit), ' ' ORDER BY i) FILTER (gone), '') AS removed,
+            coalesce(string_agg(unit, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+        FROM placed GROUP BY doc_id
+        UNION ALL
+        SELECT doc_id, 0, 0, 0, '', NULL FROM documents WHERE text IS NULL
+    """,
     "op7_url_filters": f"""
         WITH parts AS (
             SELECT row_number() OVER () AS n, page_id,

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketbars.llm import (
     decontaminate,
@@ -59,7 +60,9 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_units(table(spark, sf_dir, "documents"))
+    found = line_dedup.dedup_units(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda x: F.concat_ws(":", x["first"], x["length"]))
+    return found.withColumn("removed", F.array_join(spans, " "))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from marketbars.sources.tape import (
     bars_from_lineitem,
     trades_from_lineitem,
 )
-from marketbars.storage import new_folder, stage
+from marketbars.storage import at_end, new_folder, stage
 from marketbars.streaming.landing import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,6 +166,7 @@ def _database(spark: SparkSession) -> tuple[str, str]:
     folder = new_folder(spark)
     name = f"marketbars_{folder.rsplit('/', 1)[1]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    at_end(lambda: spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE"))
     return name, folder
 
 

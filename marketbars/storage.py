@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +30,45 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_SCRATCH: ContextVar[tuple[str, list[Callable[[], object]]] | None] = ContextVar(
+    "scratch", default=None
+)
+
+
 def new_folder(spark: SparkSession) -> str:
     """The path of a folder in the shared one that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/marketbars/{uuid.uuid4().hex}"
+    held = _SCRATCH.get()
+    root = held[0] if held else f"{shared_dir(spark).rstrip('/')}/marketbars"
+    return f"{root}/{uuid.uuid4().hex}"
+
+
+def at_end(action: Callable[[], object]) -> None:
+    """Have something done when the `scratch` around the call ends, if there is one."""
+    held = _SCRATCH.get()
+    if held:
+        held[1].append(action)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A lifetime for copies that queries stage: all new folders go at its end.
+
+    A query's result reads its copies, so it must be written or collected before.
+    """
+    folder, actions = new_folder(spark), []
+    token = _SCRATCH.set((folder, actions))
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for action in reversed(actions):
+            action()
+        _delete(spark, folder)
 
 
 def _store(df: DataFrame, path: str) -> DataFrame:
@@ -45,7 +82,8 @@ def stage(df: DataFrame) -> DataFrame:
     For frames used by more than one branch of a plan: the upstream work runs
     once, each branch reads only its columns, a lost executor costs a re-read,
     and Spark sees the stored size when it decides whether to broadcast. The
-    copy stays as long as the shared folder keeps it, like a checkpoint.
+    copy stays until the `scratch` around ends, or else as long as the shared
+    folder keeps it, like a checkpoint.
     """
     return _store(df, new_folder(df.sparkSession))
 
@@ -57,5 +95,4 @@ def staging(spark: SparkSession) -> Iterator[Stage]:
     try:
         yield lambda df: _store(df, f"{folder}/{uuid.uuid4().hex}")
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)

@@ -7,6 +7,7 @@ from oracle import assert_same, connect
 import __spark_entry__ as contract
 from marketbars.plans import registry
 from marketbars.plans.oracles import ORACLES
+from marketbars.storage import scratch
 
 SF = TESTDATA / "sf0.01"
 
@@ -26,7 +27,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, duck, name):
     expected = duck.execute(contract.oracle_sql()[name]).df()
-    actual = contract.queries()[name](spark, str(SF)).toPandas()
+    with scratch(spark):
+        actual = contract.queries()[name](spark, str(SF)).toPandas()
     assert len(expected) > 0
     assert_same(actual, expected)
 

@@ -44,3 +44,21 @@ def test_copies_lie_in_the_session_folder(spark):
     assert root == spark.conf.get("spark.checkpoint.dir")
     (file,) = stage(spark.range(1).coalesce(1)).inputFiles()
     assert root in file
+
+
+def test_nothing_is_left_of_a_scratch(spark):
+    import os
+
+    from marketbars.plans.registry import QUERIES
+    from marketbars.storage import scratch, shared_dir
+
+    def left():
+        folders = set(os.listdir(f"{shared_dir(spark)}/marketbars"))
+        return folders, {d.name for d in spark.catalog.listDatabases()}
+
+    stage(spark.range(1))
+    before = left()
+    with scratch(spark):
+        assert QUERIES["table_insert"](spark, "/root/testdata/sf0.001").count() > 0
+        assert left() != before
+    assert left() == before

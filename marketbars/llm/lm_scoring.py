@@ -15,10 +15,10 @@ from marketbars.llm.shared import saved
 # Bytes that UTF-8 never has: before the first byte of a text, and its end.
 _BEGIN, _END = 0xFE, 0xFF
 _ALPHABET = 255
-_BLOCK_BYTES = 64 << 20
-_SEGMENT = 2 << 20
+_BLOCK_BYTES = 24 << 20
+_SEGMENT = 1 << 20
 # Entries that are held before they are merged.
-_UNMERGED = 3_000_000
+_UNMERGED = 1_500_000
 _SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
@@ -261,7 +261,7 @@ def score_documents(documents: DataFrame, order: int = 5) -> DataFrame:
     table gives no row. Other columns are not looked at.
 
     Neither trie nor word counts are ever in one place. Texts are dealt into
-    blocks of 64 MB at most; a block asks once for each pair of context and
+    blocks of 24 MB at most; a block asks once for each pair of context and
     symbol, and each word, that it has; counts are added up by pair, code
     lengths are worked out where all pairs with the same two last bytes are
     together, and go back to the blocks that asked. Only the trie's first two
@@ -284,6 +284,7 @@ def score_documents(documents: DataFrame, order: int = 5) -> DataFrame:
             _count_words(words, datas, train)
         keys, counts = zip(events.merged(), words.merged(), strict=True)
         both = np.concatenate(keys).view(np.int64)
+        pa.default_memory_pool().release_unused()
         return pa.table(
             {
                 "block": np.full(len(both), table.column("block")[0].as_py(), np.int64),
@@ -374,6 +375,7 @@ def score_documents(documents: DataFrame, order: int = 5) -> DataFrame:
                     }
                 )
             )
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out)
 
     parcels = _deal(docs, blocks).groupBy("block")

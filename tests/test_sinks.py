@@ -190,8 +190,9 @@ def test_a_row_is_set_aside_once(spark, table):
 
 @pytest.mark.parametrize("lost_after", ["fill", "first renaming", "second renaming"])
 def test_a_swap_that_was_cut_short_is_finished(spark, lost_after):
-    sinks.write_rebuild(spark.range(1), "swapped")
-    spark.range(2).write.saveAsTable("swapped__new")
+    one, two = (bars(spark, [("A", f"01-0{d + 2}", 1.0) for d in range(n)]) for n in (1, 2))
+    sinks.write_rebuild(one, "swapped")
+    two.write.saveAsTable("swapped__new")
     if lost_after != "fill":
         spark.sql("ALTER TABLE swapped RENAME TO swapped__old")
     if lost_after == "second renaming":

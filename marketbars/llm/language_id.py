@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketbars.llm import tokens
 from marketbars.llm.shared import batches
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START = "▁"
 _MOST_LANGUAGES = 500
-_CACHED = 400_000
+_CACHED = 250_000
 _ROOT = 1
 _TABLE_LETTERS = 95
 # Added to each piece's count, as a share of the mean count.
@@ -57,6 +58,7 @@ def learn(documents: DataFrame, vocabulary: str) -> dict[str, np.ndarray]:
     """
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         processor = _processor(vocabulary)
         total: dict[str, np.ndarray] = {}
         for batch in batches(rows, 2048):
@@ -231,6 +233,7 @@ def identify(
     schema = T.StructType([*documents.schema.fields, *added])
 
     def predict(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         scorer = Scorer(vocabulary, model)
         for batch in batches(rows, 2048):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marketbars.llm.hashing import data_id, mix, powers
 from marketbars.llm.shared import batches, partitions, saved
+from marketbars.llm.tokens import forget
 
 # Bytes whose hash picks anchors.
 _GRAM = 16
@@ -200,7 +201,9 @@ def repeated_parts(
     who = np.repeat(open_, count)
     offset = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count) + low[who]
     start = at[who] - offset
-    key = mix(prefixes.hash(start, start + length) ^ mix(group[who].astype(np.uint64) * np.uint64(1024) + offset.astype(np.uint64)))
+    # Strings are alike only at the same offset in the same group.
+    place = mix(group[who].astype(np.uint64) << np.uint64(24) | offset.astype(np.uint64))
+    key = mix(prefixes.hash(start, start + length) ^ place)
     order = np.argsort(key, kind="stable")
     sorted_key = key[order]
     first = np.flatnonzero(np.diff(sorted_key, prepend=sorted_key[:1] + np.uint64(1)))
@@ -236,6 +239,7 @@ def _keyed(documents: DataFrame) -> DataFrame:
     """`doc_id`, the text's 64-bit `id`, its size and its SHA-256."""
 
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in rows:
             data = [(t or "").encode("utf-8", "replace") for t in batch.column(1).to_pylist()]
             yield pa.record_batch(

@@ -85,6 +85,10 @@ class ByteLevelEncoder:
         rest = [known(w) or learn(w) for w in words[1:]]
         return self._plain(words[0]) + b"".join(rest)
 
+    def clear(self) -> None:
+        self._words.clear()
+        self._pieces.clear()
+
     def ids(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode(text), self.dtype)
 
@@ -97,3 +101,12 @@ def encoder(path: str) -> ByteLevelEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = ByteLevelEncoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Drop what this process's encoders have learned.
+
+    For tasks of other operators: worker processes serve one after another.
+    """
+    for known in _ENCODERS.values():
+        known.clear()

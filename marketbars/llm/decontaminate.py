@@ -241,7 +241,15 @@ def find_leaks(
     pairs = (
         left.join(right, same[0] & same[1] & same[2])
         .where((F.bit_count(apart) <= radius) & (first == F.col("w.block")))
-        .select("w.doc_id", "w.text_id", "i.item_id", "w.start", "w.size", "w.words", F.col("i.words").alias("item_words"))
+        .select(
+            "w.doc_id",
+            "w.text_id",
+            "i.item_id",
+            "w.start",
+            "w.size",
+            "w.words",
+            F.col("i.words").alias("item_words"),
+        )
     )
     schema = "doc_id long, text_id long, item_id long, start long, size long, similarity double"
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "size"))

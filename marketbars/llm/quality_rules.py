@@ -232,14 +232,24 @@ def robust_distances(rows: DataFrame, share: float, least: int, steps: int) -> D
     )
     medians = saved(medians.where(F.col("n") >= least).drop("n"))
     away = [F.abs(F.col(n) - F.col("center")[i]) for i, n in enumerate(names)]
-    spreads = _with(rows, medians).groupBy("cell").agg(*[_median(a).alias(n) for a, n in zip(away, names, strict=True)])
+    spreads = (
+        _with(rows, medians)
+        .groupBy("cell")
+        .agg(*[_median(a).alias(n) for a, n in zip(away, names, strict=True)])
+    )
     scale = [F.col(n) * 1.4826 + F.lit(s) for n, s in _FEATURES.items()]
-    diagonal = [1 / (scale[i] * scale[i]) if i == j else F.lit(0.0) for i in range(_P) for j in range(_P)]
-    estimates = saved(medians.join(spreads.select("cell", F.array(*diagonal).alias("inverse")), "cell"))
+    places = [(i, j) for i in range(_P) for j in range(_P)]
+    diagonal = [1 / (scale[i] * scale[i]) if i == j else F.lit(0.0) for i, j in places]
+    inverse = F.array(*diagonal).alias("inverse")
+    estimates = saved(medians.join(spreads.select("cell", inverse), "cell"))
 
     for _ in range(steps):
         scored = _with(rows, estimates).withColumn("d2", _distance())
-        cuts = scored.where(F.col("d2").isNotNull()).groupBy("cell").agg(_median(F.col("d2"), share).alias("cut"))
+        cuts = (
+            scored.where(F.col("d2").isNotNull())
+            .groupBy("cell")
+            .agg(_median(F.col("d2"), share).alias("cut"))
+        )
         near = _with(scored.drop("center", "inverse"), cuts).where(F.col("d2") <= F.col("cut"))
         products = [F.sum(F.col(a) * F.col(b)) for a in names for b in names]
         sums = near.groupBy("cell").agg(

@@ -46,7 +46,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         F.max(F.col("doc_id") == F.col("component_id")).alias("stays")
     )
     gone = gone.where(~F.col("stays")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti")
+    return kept.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +63,9 @@ def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     changed = changed.select(F.col("id").alias(key), F.col("kept").alias(kept))
     joined = with_text_id(docs, key).join(changed, key, "left")
     text = F.coalesce(kept, "text")
-    columns = {"text": text} | ({"n_chars": F.length(text).cast("long")} if "n_chars" in docs.columns else {})
+    columns = {"text": text}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.length(text).cast("long")
     left = joined.where(F.col(kept).isNull() | (F.col(kept) != ""))
     return left.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
 

@@ -120,7 +120,8 @@ def _build_tail(spark: SparkSession, tables: Tables, since: dt.date | str | None
         bronze = upsert_by_key(spark.table(tables.bronze), dated)
         tail = stage(refresh_tail(bronze, changed, stage=stage))
         sinks.write_upsert(tail, tables.silver, check_unique=False, stored=True)
-        _write_gold(spark, tables, stage(tail.select(month_bucket("date").alias(S.MONTH)).distinct()))
+        written = tail.select(month_bucket("date").alias(S.MONTH)).distinct()
+        _write_gold(spark, tables, stage(written))
         sinks.write_upsert(changed, tables.bronze, check_unique=False, stored=True)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,14 +13,21 @@ from pyspark.sql import functions as F
 from marketbars.llm.components import connected_components
 from marketbars.llm.hashing import mix, shingle_hashes, word_hashes
 from marketbars.llm.shared import batches, saved
+from marketbars.llm.tokens import forget
 
 # Counters of the sketch that tells frequent tokens, and rows it travels in.
 _SKETCH = 1 << 20
 _CHUNKS = 16
-# Orders besides the first, under which candidates must meet as well.
-_MORE_ORDERS = (1, 2)
+# Token orders under all of which candidates must meet.
+_ORDERS = 2
+# Sets of a token that are paired, and by how much prefixes are made longer for it.
+_PAIRED, _EXTRA = 32, 15
+# Marks tokens of the first order's guaranteeing prefix.
+_STAR = 1 << _ORDERS
+# Percent of a set's tokens in its wide prefix, where the similarity allows it.
+_WIDE = 27
 # A cluster up to this size is joined in one task; larger ones are cut.
-_MOST_ITEMS, _MOST_TOKENS = 1024, 1 << 21
+_MOST_ITEMS, _MOST_TOKENS = 2048, 1 << 21
 _BLOCK = 512
 _SALTS = 32
 
@@ -33,10 +40,10 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 
 
 def _set_id(tokens: np.ndarray) -> int:
-    """62 bits of a hash of a sorted set."""
+    """60 bits of a hash of a sorted set."""
     place = np.arange(1, len(tokens) + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
     total = np.add.reduce(mix(tokens ^ place)) + np.uint64(len(tokens))
-    return int(mix(np.array([total]))[0] >> np.uint64(2))
+    return int(mix(np.array([total]))[0] >> np.uint64(4))
 
 
 def _rank(tokens: np.ndarray, levels: np.ndarray, order: int, salt: int) -> np.ndarray:
@@ -107,25 +114,35 @@ def _levels(chunks: DataFrame) -> np.ndarray:
     return levels.astype(np.uint8)
 
 
-def _meet(prefixes: DataFrame, *key: str) -> DataFrame:
-    """Edges between items that share a token under the same key.
+def _meet(prefixes: DataFrame) -> DataFrame:
+    """Edges between items that share a token.
 
     A token's items are not paired: each is joined with the smallest of them.
     """
     shared = (
-        prefixes.groupBy(*key, "token")
+        prefixes.groupBy("token")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .where(F.col("low") < F.col("high"))
         .drop("high")
     )
     return (
-        prefixes.join(shared, [*key, "token"])
+        prefixes.join(shared, "token")
         .where(F.col("id") != F.col("low"))
-        .select(*key, "id", "low")
+        .select("id", "low")
         .distinct()
     )
 
 
+def _with_counts(tokens: DataFrame) -> DataFrame:
+    """Each set's tokens that another one has, with the number of sets."""
+    often = tokens.groupBy("token").agg(F.count("*").alias("often")).where(F.col("often") > 1)
+    return (
+        tokens.join(often, "token")
+        .groupBy("id", "n")
+        .agg(F.collect_list(F.struct("token", "often")).alias("shared"))
+    )
+
+
 class JaccardJoin:
     """Links between texts whose shingle sets have a Jaccard similarity of `percent`.
 
@@ -141,19 +158,32 @@ class JaccardJoin:
     def _excess(self, tokens: int, n: int) -> int:
         return (100 + self.percent) * tokens - (100 - self.percent) * n
 
-    def _prefix(self, tokens: int, n: int, least: int | None) -> int:
-        """How many first tokens must hold one that a partner has among its own."""
-        if least is None:
-            overlap = -(-self.percent * n // 100)
-        else:
-            overlap = max(1, -(-(self._excess(tokens, n) + least) // (2 * (100 + self.percent))))
+    def _prefix(self, tokens: int, n: int, least: int) -> int:
+        """First tokens of a difference that must hold one of any partner's."""
+        overlap = max(1, -(-(self._excess(tokens, n) + least) // (2 * (100 + self.percent))))
         return max(0, tokens - overlap + 1)
 
+    def _wide(self, n: int) -> tuple[int, int]:
+        """Length of a set's wide prefix, and how much of it any partner's must share.
+
+        With p tokens that guarantee a shared one, a set shares k tokens of the
+        first p - 1 + k with each partner; a smaller partner has a smaller k.
+        """
+
+        def parts(size: int) -> tuple[int, int]:
+            first = size - -(-self.percent * size // 100) + 1
+            more = max(1, _WIDE * size // 100 - first + 1)
+            return first - 1 + more, more
+
+        smallest = -(-self.percent * n // 100)
+        return parts(n)[0], parts(smallest)[1]
+
     def sets(self, documents: DataFrame) -> DataFrame:
         """`doc_id`, the size of its set, the set's id; and the sketch of all tokens."""
         words = self.words
 
         def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()
             sketch = _Sketch()
             names = ["doc_id", "n", "id", "chunk", "counts"]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
@@ -181,18 +211,20 @@ class JaccardJoin:
         return documents.select("doc_id", "text").mapInArrow(read, schema)
 
     def _text_prefixes(self, documents: DataFrame, levels: np.ndarray) -> DataFrame:
-        words, prefix = self.words, self._prefix
+        """The wide prefixes of all sets; equal sets of a task once."""
+        words, wide = self.words, self._wide
 
         def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
             for batch in batches(rows, 1024):
-                ids, firsts, seen = [], [], set()
+                ids, firsts = [], []
                 for text in batch.column(0).to_pylist():
                     tokens = shingles(text, words)
                     own = _set_id(tokens)
                     if not len(tokens) or own in seen:
                         continue
                     seen.add(own)
-                    first = _first_tokens(tokens, prefix(len(tokens), len(tokens), None), levels, 0, 0)
+                    first = _first_tokens(tokens, wide(len(tokens))[0], levels, 0, 0)
                     firsts.append(first)
                     ids.append(np.full(len(first), own, np.int64))
                 if ids:
@@ -203,66 +235,186 @@ class JaccardJoin:
 
         return documents.select("text").mapInArrow(read, "id long, token long")
 
+    def _candidates(self, prefixes: DataFrame, classes: DataFrame) -> DataFrame:
+        """`id` and `cluster` of the sets that may link with another one.
+
+        A set goes if too few tokens of its wide prefix are anywhere else. What
+        stays is put in several orders, all with the rare tokens of the wide
+        prefixes first, and must meet the same sets under each of them.
+        """
+        shared = (
+            prefixes.groupBy("token")
+            .agg(F.min("id").alias("low"), F.max("id").alias("high"))
+            .where(F.col("low") < F.col("high"))
+            .select("token")
+        )
+
+        # The overlap that `_wide` asks for.
+        smallest = f"(({self.percent} * n + 99) div 100)"
+        first = f"({smallest} - ({self.percent} * {smallest} + 99) div 100 + 1)"
+        overlap = f"greatest(1, {_WIDE} * {smallest} div 100 - {first} + 1)"
+        lists = (
+            prefixes.join(shared, "token", "left_semi")
+            .groupBy("id")
+            .agg(F.collect_set("token").alias("tokens"))
+            .join(classes.select("id", "n"), "id")
+            .where(F.size("tokens") >= F.expr(overlap))
+        )
+        # How often a token is shared counts only among the sets that are left.
+        kept = saved(lists.select("id", "n", F.explode("tokens").alias("token")))
+        return self._in_orders(_with_counts(kept), self._wide)
+
+    def _whole(self, n: int) -> tuple[int, int]:
+        """The same as `_wide` for all tokens of a set."""
+        return n, -(-self.percent * n // 100)
+
+    def _search_whole_sets(self, items: DataFrame) -> DataFrame:
+        """Cut clusters by whole sets, of which enough must be shared in the cluster."""
+
+        def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches(rows, 256):
+                out: list[list[np.ndarray]] = [[], [], []]
+                for cluster, own, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    tokens = np.frombuffer(raw, np.uint64)
+                    out[0].append(np.full(n, own, np.int64))
+                    out[1].append(np.full(n, n, np.int64))
+                    # Tokens of another cluster are others.
+                    out[2].append(mix(tokens ^ np.uint64(cluster % (1 << 64))).view(np.int64))
+                yield pa.record_batch([np.concatenate(c) for c in out], names=["id", "n", "token"])
+
+        columns = items.select("cluster", "id", "n", "tokens")
+        tokens = saved(columns.mapInArrow(spread, "id long, n long, token long"))
+        again = self._in_orders(_with_counts(tokens), self._whole)
+        return items.drop("cluster").join(again, "id")
+
+    def _in_orders(self, lists: DataFrame, needed: Callable[[int], tuple[int, int]]) -> DataFrame:
+        """`id` and `cluster` of sets that may link with another, by several orders.
+
+        `lists` has a set's shared tokens and how often each is shared; `needed`
+        tells how many tokens the list was taken from and how many of them any
+        partner shares. All orders have rare tokens first. Of a prefix that is j
+        tokens longer than the one that guarantees a shared token, partners
+        share j + 1, under every order. Pairs are counted only over tokens of at
+        most 32 sets; a more frequent token might be shared by any two that have
+        it in a prefix, and these are joined with the first of them.
+        """
+
+        def order(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = ["id", "token", "often", "mask", "need", "hot0", "hot1"]
+            for batch in batches(rows, 1024):
+                out: list[list[np.ndarray]] = [[] for _ in names]
+                for own, n, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    # Tokens that nothing shares would come before all of these.
+                    first = len(shared) - needed(n)[1] + 1
+                    if first < 1:
+                        continue
+                    tokens = np.array([x["token"] for x in shared], np.int64)
+                    often = np.array([x["often"] for x in shared], np.int64)
+                    length = min(len(shared), first + _EXTRA)
+                    mask = np.zeros(len(tokens), np.int64)
+                    hot = []
+                    for k in range(_ORDERS):
+                        hashed = mix(tokens.view(np.uint64) + np.uint64(k))
+                        place = np.lexsort((hashed, often))[:length]
+                        mask[place] |= 1 << k
+                        if k == 0:
+                            mask[place[:first]] |= _STAR
+                        hot.append(int((often[place] > _PAIRED).sum()))
+                    (used,) = np.nonzero(mask)
+                    values = (own, tokens[used], often[used], mask[used], length - first + 1, *hot)
+                    for column, value in zip(out, values, strict=True):
+                        column.append(np.broadcast_to(np.int64(value) if np.isscalar(value) else value, len(used)))
+                if out[0]:
+                    yield pa.record_batch([np.concatenate(c) for c in out], names=names)
+
+        kinds = "id long, token long, often long, mask long, need long, hot0 long, hot1 long"
+        ordered = saved(lists.mapInArrow(order, kinds))
+        rare = ordered.where(F.col("often") <= _PAIRED).drop("often")
+        other = rare.select(*[F.col(c).alias(c if c == "token" else f"{c}_b") for c in rare.columns])
+        both = F.col("mask").bitwiseAND(F.col("mask_b"))
+        shared = [F.sum(F.shiftright(both, k).bitwiseAND(F.lit(1))) for k in range(_ORDERS)]
+        least = [F.min(F.least(c, f"{c}_b")) for c in ("need", "hot0", "hot1")]
+        enough = (F.col("shared0") + F.col("hot0") >= F.col("need")) & (
+            F.col("shared1") + F.col("hot1") >= F.col("need")
+        )
+        pairs = (
+            rare.join(other, "token")
+            .where(F.col("id") < F.col("id_b"))
+            .groupBy("id", "id_b")
+            .agg(
+                *[c.alias(f"shared{k}") for k, c in enumerate(shared)],
+                *[c.alias(n) for c, n in zip(least, ("need", "hot0", "hot1"), strict=True)],
+            )
+            .where(enough)
+            .select(F.col("id").alias("a"), F.col("id_b").alias("b"))
+        )
+        # Pairs without a rare token in common have a frequent one in the prefix
+        # that guarantees it; one order is enough to find it.
+        star = F.col("mask").bitwiseAND(F.lit(_STAR)) > 0
+        frequent = ordered.where((F.col("often") > _PAIRED) & star).select("id", "token")
+        met = _meet(frequent).select(F.col("id").alias("a"), F.col("low").alias("b"))
+        found = connected_components(pairs.unionByName(met))
+        return found.select(F.col("node").alias("id"), F.xxhash64("root").alias("cluster"))
+
+    def _together(self, edges: DataFrame, orders: int) -> DataFrame:
+        """`id` and a `cluster` of what is connected under every order."""
+        edges = edges.select(F.col("id").alias("a"), F.col("low").alias("b"))
+        found = connected_components(edges)
+        return (
+            found.select(F.expr(f"node div {orders}").alias("id"), "root")
+            .groupBy("id")
+            .agg(F.count("*").alias("orders"), F.xxhash64(F.sort_array(F.collect_list("root"))).alias("cluster"))
+            .where(F.col("orders") == orders)
+            .select("id", "cluster")
+        )
+
     def _items(self, documents: DataFrame, chosen: DataFrame) -> DataFrame:
-        """The sets of the chosen documents (`doc_id`, `id`, `cluster`)."""
+        """The sets of the chosen documents (`doc_id`, `id`, `cluster`, `large`)."""
         words = self.words
 
         def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches(rows, 1024):
                 out = []
-                for own, cluster, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for own, cluster, large, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     tokens = shingles(text, words)
                     if _set_id(tokens) == own:
-                        out.append((cluster, own, len(tokens), tokens.tobytes()))
-                columns = list(zip(*out, strict=True)) or [()] * 4
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                        out.append((cluster, own, len(tokens), tokens.tobytes(), large))
+                columns = list(zip(*out, strict=True)) or [()] * 5
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                    names=["cluster", "id", "n", "tokens"],
+                    names=["cluster", "id", "n", "tokens", "large"],
                 )
 
-        texts = documents.join(chosen, "doc_id").select("id", "cluster", "text")
-        return texts.mapInArrow(read, _ITEM)
+        # The chosen are a share of the documents, without a bound: one plan at
+        # every size, in which neither side is broadcast.
+        texts = documents.join(chosen.hint("merge"), "doc_id")
+        texts = texts.select("id", "cluster", "large", "text")
+        return texts.mapInArrow(read, _ITEM + ", large boolean")
 
-    def _refine(self, items: DataFrame, orders: tuple[int, ...], levels: np.ndarray, centered: bool) -> DataFrame:
-        """Cut clusters: items stay together only if they meet under every order."""
+    def _refine(self, items: DataFrame, levels: np.ndarray) -> DataFrame:
+        """Cut clusters of differences: items that meet under every order stay together."""
         prefix = self._prefix
 
         def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches(rows, 512):
-                out: list[list[np.ndarray]] = [[], [], []]
-                columns = [batch.column(c).to_pylist() for c in ("cluster", "id", "n", "tokens")]
-                least = batch.column("least").to_pylist() if centered else [None] * batch.num_rows
-                for cluster, own, n, raw, low in zip(*columns, least, strict=True):
+                out: list[list[np.ndarray]] = [[], []]
+                names = ("cluster", "id", "n", "tokens", "least")
+                columns = [batch.column(c).to_pylist() for c in names]
+                for cluster, own, n, raw, least in zip(*columns, strict=True):
                     tokens = np.frombuffer(raw, np.uint64)
-                    count = prefix(len(tokens), n, low)
-                    salt = cluster % (1 << 64) if centered else 0
-                    for order in orders if count else ():
+                    count, salt = prefix(len(tokens), n, least), cluster % (1 << 64)
+                    for order in range(_ORDERS) if count else ():
                         first = _first_tokens(tokens, count, levels, order, salt)
-                        # The order is part of the node, the cluster of the token.
-                        out[0].append(np.full(len(first), cluster, np.int64))
-                        out[1].append(np.full(len(first), own * 2 + order % 2, np.int64))
-                        out[2].append(mix(first + np.uint64(order)).view(np.int64))
+                        out[0].append(np.full(len(first), own * _ORDERS + order, np.int64))
+                        # Tokens of another cluster or order are others.
+                        out[1].append(mix(mix(first ^ np.uint64(salt)) + np.uint64(order)).view(np.int64))
                 if out[0]:
-                    yield pa.record_batch(
-                        [np.concatenate(c) for c in out], names=["cluster", "id", "token"]
-                    )
+                    yield pa.record_batch([np.concatenate(c) for c in out], names=["id", "token"])
 
-        prefixes = saved(items.mapInArrow(read, "cluster long, id long, token long"))
-        edges = _meet(prefixes, "cluster").select(F.col("id").alias("a"), F.col("low").alias("b"))
-        found = connected_components(edges)
-        roots = found.select(
-            F.shiftright("node", 1).alias("id"), F.col("node").bitwiseAND(F.lit(1)).alias("order"), "root"
-        )
-        met = roots.groupBy("id").agg(
-            F.count("*").alias("orders"), F.xxhash64(F.sort_array(F.collect_list("root"))).alias("met")
-        )
-        kept = met.where(F.col("orders") == len(orders)).select("id", "met")
-        return (
-            items.join(kept, "id")
-            .withColumn("cluster", F.xxhash64("cluster", "met"))
-            .drop("met")
-        )
+        prefixes = saved(items.mapInArrow(read, "id long, token long"))
+        again = self._together(_meet(prefixes), _ORDERS)
+        return items.drop("cluster").join(again, "id")
 
     def _local(self, group: pa.Table) -> pa.Table:
         """Links inside a cluster or between two blocks, as edges of a forest.
@@ -288,15 +440,20 @@ class JaccardJoin:
             incidence = np.zeros((len(sets), step), np.float32)
             incidence[owner[part], column[part] - begin] = 1
             common += incidence @ incidence.T
-        total = n[:, None] + n[None, :]
-        apart = size[:, None] + size[None, :] - 2 * common.astype(np.int64)
-        link = (100 + self.percent) * apart <= (100 - self.percent) * total
-        link &= (side[:, None] < 0) | (side[:, None] != side[None, :])
-        link |= ids[:, None] == ids[None, :]
+        link = np.zeros(common.shape, bool)
+        blocks = [slice(i, i + _BLOCK) for i in range(0, len(sets), _BLOCK)]
+        for rows in blocks:
+            total = n[rows, None] + n
+            apart = size[rows, None] + size - 2 * common[rows].astype(np.int64)
+            close = (100 + self.percent) * apart <= (100 - self.percent) * total
+            close &= (side[rows, None] < 0) | (side[rows, None] != side)
+            link[rows] = close | (ids[rows, None] == ids)
         root = np.arange(len(sets))
         while True:
-            lower = np.where(link, root[None, :], len(sets)).min(axis=1, initial=len(sets))
-            lower = np.minimum(lower, root)
+            lower = root.copy()
+            for rows in blocks:
+                reached = np.where(link[rows], root, len(sets)).min(axis=1, initial=len(sets))
+                lower[rows] = np.minimum(lower[rows], reached)
             lower = lower[lower]
             if (lower == root).all():
                 break
@@ -311,10 +468,11 @@ class JaccardJoin:
         return items.groupBy(*key).applyInArrow(local, "a long, b long")
 
     def _sized(self, items: DataFrame) -> DataFrame:
-        """Adds `large`: whether the cluster is too large for one task."""
-        sizes = items.groupBy("cluster").agg(
-            F.count("*").alias("items"), F.sum(F.length("tokens") / 8).alias("held")
-        )
+        """Adds `items` and `large`: whether the cluster is too large for one task.
+
+        Sets that are alone in their cluster go.
+        """
+        sizes = items.groupBy("cluster").agg(F.count("*").alias("items"), F.sum("n").alias("held"))
         large = (F.col("items") > _MOST_ITEMS) | (F.col("held") > _MOST_TOKENS)
         sizes = sizes.where(F.col("items") > 1).select("cluster", "items", large.alias("large"))
         return items.join(sizes, "cluster")
@@ -385,7 +543,7 @@ class JaccardJoin:
             )
 
         counted = centered.select("cluster", "tokens").mapInArrow(count, "chunk int, counts binary")
-        again = self._refine(centered, _MORE_ORDERS, _levels(counted), centered=True)
+        again = self._refine(centered, _levels(counted))
         sized = saved(self._sized(again.withColumn("linked", linked)))
         edges = edges.unionByName(self._small(sized))
 
@@ -424,22 +582,24 @@ class JaccardJoin:
         levels = _levels(known.where(F.col("chunk").isNotNull()).select("chunk", "counts"))
         rows = known.where(F.col("chunk").isNull()).select("doc_id", "n", "id")
         named = docs.where(F.col("doc_id").isNotNull())
-        prefixes = saved(self._text_prefixes(named, levels))
-        edges = _meet(prefixes).select(F.col("id").alias("a"), F.col("low").alias("b"))
-        met = connected_components(edges).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
         classes = (
             rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
             .groupBy("id")
-            .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+            .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.count("*").alias("copies"))
         )
-        chosen = saved(classes.join(met, "id"))
-        items = saved(self._items(named, chosen.select("doc_id", "id", "cluster")))
-        refined = self._refine(items, _MORE_ORDERS, levels, centered=False)
-        sized = saved(self._sized(refined))
-        found = self._small(sized)
-        large = sized.where("large")
-        if not large.isEmpty():
-            found = found.unionByName(self._large(large.drop("items", "large"), chosen.select("id", "copies")))
+        met = self._candidates(self._text_prefixes(named, levels), classes)
+        chosen = saved(self._sized(classes.join(met, "id")))
+        items = saved(self._items(named, chosen.select("doc_id", "id", "cluster", "large")))
+        found = self._small(items)
+        # The rounds for large clusters have nothing to do where there are none.
+        large = items.where("large").drop("large")
+        if not chosen.where("large").isEmpty():
+            sized = saved(self._sized(self._search_whole_sets(large)))
+            found = found.unionByName(self._small(sized))
+            large = sized.where("large").drop("items", "large")
+            if not large.isEmpty():
+                copies = chosen.select("id", "copies")
+                found = found.unionByName(self._large(large, copies))
         links = connected_components(found)
 
         roots = links.select(F.col("node").alias("id"), "root")

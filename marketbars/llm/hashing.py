@@ -26,6 +26,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[:n], _INVERSES[:n]
 
 
+def forget() -> None:
+    """Drop the tables of powers; they come again when they are needed."""
+    global _POWERS, _INVERSES
+    _POWERS, _INVERSES = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values whose every output bit depends on all input."""
     x = x ^ (x >> np.uint64(30))

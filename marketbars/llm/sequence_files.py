@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marketbars.llm.shared import batches, partitions, saved
-from marketbars.llm.tokens import encoder
+from marketbars.llm.tokens import encoder, tidy
 from marketbars.storage import new_folder
 
 _FILES = "path string, first_doc long, n_docs long, n_ids long"
@@ -157,6 +157,7 @@ def write_sequences(
     """
 
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         out, n_docs, first, uri = None, 0, None, f"{folder}/{uuid.uuid4().hex}"
         encode = encoder(tokenizer)
         end = np.array([end_id], encode.dtype).tobytes()

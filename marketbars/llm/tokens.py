@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 from array import array
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
+from marketbars.llm import hashing
+
 # The split of this vocabulary's byte-level pre-tokenizer, and the
 # bytes that its alphabet shows as themselves.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -110,3 +114,13 @@ def forget() -> None:
     """
     for known in _ENCODERS.values():
         known.clear()
+    tidy()
+
+
+def tidy() -> None:
+    """Drop other operators' tables and give freed memory back to the system."""
+    hashing.forget()
+    pa.default_memory_pool().release_unused()
+    library = ctypes.CDLL(None)
+    if hasattr(library, "malloc_trim"):
+        library.malloc_trim(0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,28 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(text), words))
 
 
+def _wide_parts(n: int, percent: int) -> tuple[int, int]:
+    """Length of a set's wide prefix, and how many shared tokens it is longer by.
+
+    With p tokens that guarantee a shared one, a set shares k tokens of the
+    first p - 1 + k with each partner.
+    """
+    first = n - -(-percent * n // 100) + 1
+    more = max(1, _WIDE * n // 100 - first + 1)
+    return first - 1 + more, more
+
+
+@cache
+def _wide_least(n: int, percent: int) -> int:
+    """The smallest k of all sizes that a partner of a set can have.
+
+    By its roundings k can fall by one where sizes grow. It is 1 at every size
+    where _WIDE + percent <= 100, and else no smaller 100 sizes further on.
+    """
+    low, high = -(-percent * n // 100), 100 * n // percent
+    return min(_wide_parts(m, percent)[1] for m in range(low, min(high, low + 99) + 1))
+
+
 def _set_id(tokens: np.ndarray) -> int:
     """60 bits of a hash of a sorted set."""
     place = np.arange(1, len(tokens) + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
@@ -166,17 +189,9 @@ class JaccardJoin:
     def _wide(self, n: int) -> tuple[int, int]:
         """Length of a set's wide prefix, and how much of it any partner's must share.
 
-        With p tokens that guarantee a shared one, a set shares k tokens of the
-        first p - 1 + k with each partner; a smaller partner has a smaller k.
+        Of two partners' k, both share the smaller one.
         """
-
-        def parts(size: int) -> tuple[int, int]:
-            first = size - -(-self.percent * size // 100) + 1
-            more = max(1, _WIDE * size // 100 - first + 1)
-            return first - 1 + more, more
-
-        smallest = -(-self.percent * n // 100)
-        return parts(n)[0], parts(smallest)[1]
+        return _wide_parts(n, self.percent)[0], _wide_least(n, self.percent)
 
     def sets(self, documents: DataFrame) -> DataFrame:
         """`doc_id`, the size of its set, the set's id; and the sketch of all tokens."""
@@ -250,9 +265,11 @@ class JaccardJoin:
         )
 
         # The overlap that `_wide` asks for.
-        smallest = f"(({self.percent} * n + 99) div 100)"
-        first = f"({smallest} - ({self.percent} * {smallest} + 99) div 100 + 1)"
-        overlap = f"greatest(1, {_WIDE} * {smallest} div 100 - {first} + 1)"
+        low, high = f"({self.percent} * n + 99) div 100", f"100 * n div {self.percent}"
+        first = f"(m - ({self.percent} * m + 99) div 100 + 1)"
+        more = f"greatest(1, {_WIDE} * m div 100 - {first} + 1)"
+        sizes = f"sequence({low}, least({high}, {low} + 99))"
+        overlap = f"array_min(transform({sizes}, m -> {more}))"
         lists = (
             prefixes.join(shared, "token", "left_semi")
             .groupBy("id")

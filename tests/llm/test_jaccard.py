@@ -55,6 +55,25 @@ def test_components(spark, words, percent):
     assert got == expected(rows, words, percent)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_short_texts_less_words_at_an_end(spark, percent):
+    rows = []
+    for size in range(3, 31):
+        for k in range(12):
+            words = prose(size * 100 + k, size, 100_000).split(" ")
+            rows += [words, words[1:] if k % 2 else words[:-1], words[2:]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    assert actual(link_documents(documents(spark, rows), 3, percent)) == expected(rows, 3, percent)
+
+
+def test_a_wide_prefix_asks_for_no_more_than_any_partner_shares():
+    for percent in (50, 73, 80, 90, 95, 100):
+        for n in range(1, 1500):
+            partners = range(-(-percent * n // 100), 100 * n // percent + 1)
+            least = min(jaccard_join._wide_parts(m, percent)[1] for m in partners)
+            assert jaccard_join.JaccardJoin(3, percent)._wide(n)[1] == least
+
+
 def test_large_clusters(spark, monkeypatch):
     """The rounds for clusters that are too large for one task."""
     monkeypatch.setattr(jaccard_join, "_MOST_ITEMS", 2)

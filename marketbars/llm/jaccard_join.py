@@ -8,6 +8,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -386,28 +387,42 @@ class JaccardJoin:
         )
 
     def _items(self, documents: DataFrame, chosen: DataFrame) -> DataFrame:
-        """The sets of the chosen documents (`doc_id`, `id`, `cluster`, `large`)."""
+        """The sets of the chosen documents (`doc_id`, `id`, `cluster`, `large`), each once.
+
+        Rows that repeat a `doc_id` and a set are one item, as they are in sizes.
+        """
         words = self.words
 
         def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            task, seen = TaskContext.get().partitionId(), set()
             for batch in batches(rows, 1024):
                 out = []
                 for own, cluster, large, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if own in seen:
+                        continue
                     tokens = shingles(text, words)
                     if _set_id(tokens) == own:
-                        out.append((cluster, own, len(tokens), tokens.tobytes(), large))
-                columns = list(zip(*out, strict=True)) or [()] * 5
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+                        seen.add(own)
+                        out.append((cluster, own, len(tokens), tokens.tobytes(), large, task))
+                columns = list(zip(*out, strict=True)) or [()] * 6
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.int32())
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                    names=["cluster", "id", "n", "tokens", "large"],
+                    names=["cluster", "id", "n", "tokens", "large", "task"],
                 )
 
         # The chosen are a share of the documents, without a bound: one plan at
         # every size, in which neither side is broadcast.
         texts = documents.join(chosen.hint("merge"), "doc_id")
         texts = texts.select("id", "cluster", "large", "text")
-        return texts.mapInArrow(read, _ITEM + ", large boolean")
+        return self._once(saved(texts.mapInArrow(read, _ITEM + ", large boolean, task int")))
+
+    def _once(self, items: DataFrame) -> DataFrame:
+        """Each item from one `task`: a join that is split for a hot key has it in several."""
+        tasks = items.groupBy("id").agg(F.min("task").alias("first"), F.max("task").alias("last"))
+        several = saved(tasks.where(F.col("first") < F.col("last")).select(F.col("id").alias("own"), "first"))
+        again = (F.col("id") == F.col("own")) & (F.col("task") != F.col("first"))
+        return items.join(several, again, "left_anti").drop("task")
 
     def _refine(self, items: DataFrame, levels: np.ndarray) -> DataFrame:
         """Cut clusters of differences: items that meet under every order stay together."""
@@ -606,7 +621,7 @@ class JaccardJoin:
         )
         met = self._candidates(self._text_prefixes(named, levels), classes)
         chosen = saved(self._sized(classes.join(met, "id")))
-        items = saved(self._items(named, chosen.select("doc_id", "id", "cluster", "large")))
+        items = self._items(named, chosen.select("doc_id", "id", "cluster", "large"))
         found = self._small(items)
         # The rounds for large clusters have nothing to do where there are none.
         large = items.where("large").drop("large")

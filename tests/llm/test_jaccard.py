@@ -82,6 +82,19 @@ def test_large_clusters(spark, monkeypatch):
     assert got == expected(ROWS, 3, 90)
 
 
+def test_repeated_rows_are_one_item(spark):
+    base = prose(21, 40, 3000)
+    own = jaccard_join._set_id(jaccard_join.shingles(base, 3))
+    rows = documents(spark, [(1, base)] * 60 + [(1, prose(22, 40, 3000)), (2, base)])
+    chosen = spark.createDataFrame([(1, own, 7, False)], "doc_id long, id long, cluster long, large boolean")
+    join = jaccard_join.JaccardJoin(3, 90)
+    (item,) = join._items(rows.select("doc_id", "text"), chosen).collect()
+    assert (item.cluster, item.id, item.large) == (7, own, False)
+    several = [(7, own, task) for task in (5, 3, 4)] + [(7, own + 1, 4)]
+    found = join._once(spark.createDataFrame(several, "cluster long, id long, task int"))
+    assert sorted(r.id for r in found.collect()) == [own, own + 1]
+
+
 def test_an_empty_table(spark):
     assert link_documents(documents(spark, [])).collect() == []
     assert actual(link_documents(documents(spark, [(1, None), (2, "")]))) == [("1", 0, "1"), ("2", 0, "2")]

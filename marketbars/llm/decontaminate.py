@@ -133,21 +133,24 @@ def _filter(items: DataFrame) -> np.ndarray:
 def windows_of(
     documents: DataFrame, bits: np.ndarray, sizes: list[int], percent: int
 ) -> DataFrame:
-    """Windows that could be similar to an item of their size, with fingerprints.
+    """Windows that could be similar to an item of `size` words, with fingerprints.
 
-    A similarity of `percent` takes as many of a window's shingles from items
-    of its size; all windows that have them by the filter are returned.
+    A window has as many words as the item; of a document with fewer words, the
+    whole text is the one window. A similarity of `percent` takes as many of a
+    window's shingles from items of that size; all windows that have them by the
+    filter are returned.
     """
     packed = zlib.compress(np.packbits(bits).tobytes(), 1)
 
-    def search(plain: bytes, filter_: np.ndarray) -> list[tuple[int, int, bytes, int]]:
+    def search(plain: bytes, filter_: np.ndarray) -> list[tuple[int, int, int, bytes, int]]:
         words = byte_word_hashes(plain)
-        out: list[tuple[int, int, bytes, int]] = []
+        out: list[tuple[int, int, int, bytes, int]] = []
         split: list[bytes] | None = None
         full = _shingles(words) if len(words) >= _WORDS else None
         near = np.flatnonzero(filter_[_filter_places(full, 0)]) if full is not None else None
         for size in sizes:
-            if size > len(words):
+            if size > len(words) and near is None:
+                # Its one shingle is shorter than any of the item's.
                 continue
             if size < _WORDS:
                 shingles = shingle_hashes(words, size)
@@ -160,6 +163,10 @@ def windows_of(
                 hits = near[filter_[_filter_places(full[near], size)]]
                 if len(hits) < least:
                     continue
+                if size > len(words):
+                    mark = int(fingerprints(words, len(words)).view(np.int64)[0])
+                    out.append((0, size, len(words), plain, mark))
+                    continue
                 total = np.zeros(len(full) + 1, np.int64)
                 total[hits + 1] = 1
                 total = np.cumsum(total)
@@ -172,23 +179,23 @@ def windows_of(
             for run in np.split(starts, cut):
                 marks = fingerprints(words[run[0] : run[-1] + size], size).view(np.int64)
                 for start, fingerprint in zip(run.tolist(), marks.tolist(), strict=True):
-                    out.append((start, size, b" ".join(split[start : start + size]), fingerprint))
+                    out.append((start, size, size, b" ".join(split[start : start + size]), fingerprint))
         return out
 
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_ = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8)).view(bool)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-        names = ["doc_id", "text_id", "start", "size", "words", "fingerprint"]
+        kinds = [*[pa.int64()] * 5, pa.binary(), pa.int64()]
+        names = ["doc_id", "text_id", "start", "size", "n_words", "words", "fingerprint"]
         for batch in batches(rows, 1024):
             out: list[tuple] = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = search(plain_words(text), filter_)
                 own = text_id(text) if found else 0
                 out += [(doc_id, own, *f) for f in found]
-            columns = list(zip(*out, strict=True)) or [()] * 6
+            columns = list(zip(*out, strict=True)) or [()] * 7
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    schema = "doc_id long, text_id long, start long, size long, words binary, fingerprint long"
+    schema = "doc_id long, text_id long, start long, size long, n_words long, words binary, fingerprint long"
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(read, schema)
 
@@ -198,10 +205,11 @@ def find_leaks(
 ) -> DataFrame:
     """Where documents hold a passage similar to a benchmark item.
 
-    Windows of as many words as an item are compared with it: their 64-bit
+    Windows of as many words as an item are compared with it, and the whole
+    text of a document that has fewer words: their 64-bit
     SimHash fingerprints are cut into radius + 1 blocks, so that two within the
-    radius agree in a block, and windows meet items of their size in an
-    equi-join on block and value; of the pairs within the radius those stay
+    radius agree in a block, and windows meet the items they are
+    for in an equi-join on size, block and value; of the pairs within the radius those stay
     whose weighted five-word shingles have a similarity of `percent` or more.
     Only windows are fingerprinted that by a fixed-size filter hold as many of
     the items' shingles as that similarity takes.
@@ -225,7 +233,7 @@ def find_leaks(
         for batch in rows:
             columns = [batch.column(c).to_pylist() for c in ("words", "item_words")]
             found = [similarity(a, b) for a, b in zip(*columns, strict=True)]
-            names = ["doc_id", "text_id", "item_id", "start", "size"]
+            names = ["doc_id", "text_id", "item_id", "start", "n_words"]
             yield pa.record_batch(
                 [*(batch.column(c) for c in names), pa.array(found, pa.float64())],
                 names=[*names, "similarity"],
@@ -246,13 +254,13 @@ def find_leaks(
             "w.text_id",
             "i.item_id",
             "w.start",
-            "w.size",
+            "w.n_words",
             "w.words",
             F.col("i.words").alias("item_words"),
         )
     )
-    schema = "doc_id long, text_id long, item_id long, start long, size long, similarity double"
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "size"))
+    schema = "doc_id long, text_id long, item_id long, start long, n_words long, similarity double"
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words"))
     return (
         pairs.mapInArrow(verify, schema)
         .where(F.col("similarity") >= percent / 100)
@@ -263,7 +271,7 @@ def find_leaks(
             "text_id",
             "item_id",
             (-F.col("best.back")).alias("first_word"),
-            F.col("best.size").alias("n_words"),
+            F.col("best.n_words").alias("n_words"),
             F.col("best.similarity").alias("similarity"),
         )
     )

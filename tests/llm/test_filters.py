@@ -218,6 +218,27 @@ def test_leaks(spark):
     assert {(100 + k, k) for k in range(8)} | {(400, 22)} <= set(got)
 
 
+def test_documents_shorter_than_an_item(spark):
+    items = [(k, prose(800 + k, size, 3000)) for k, size in enumerate((16, 24, 59, 9, 5, 4))]
+    rows = [(0, None), (1, "four words only here")]
+    for k, text in items:
+        words = text.split(" ")
+        for less in range(1, 14):
+            rows.append((1000 * k + 100 + less, " ".join(words[less:])))
+            rows.append((1000 * k + 200 + less, " ".join(words[: len(words) - less])))
+    expected = {}
+    for (i, t), (k, item) in itertools.product(rows, items):
+        whole, plain = plain_words(t), plain_words(item)
+        score = similarity(whole, plain)
+        if whole and len(whole.split()) < len(plain.split()) and score >= 0.8:
+            expected[i, k] = (0, len(whole.split()), round(score, 9))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = find_leaks(documents(spark, rows), table).collect()
+    got = {(r.doc_id, r.item_id): (r.first_word, r.n_words, round(r.similarity, 9)) for r in found}
+    assert len(found) == len(got) and got == expected
+    assert {(101, 0), (201, 0), (2111, 2), (2211, 2), (3101, 3)} <= set(got)
+
+
 def test_no_items_no_documents(spark):
     items = spark.createDataFrame([(1, "x y z")], "item_id long, text string")
     assert find_leaks(documents(spark, []), items).collect() == []

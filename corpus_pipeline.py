@@ -81,7 +81,7 @@ def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 ids; see `packing.pack_documents`."""
     importable(spark)
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(docs, tokenizer_path(), added=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

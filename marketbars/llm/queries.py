@@ -66,7 +66,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), added=True)
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequence_files.binary_output(table(spark, sf_dir, "documents"), tokenizer_path())
+    documents = table(spark, sf_dir, "documents")
+    return sequence_files.binary_output(documents, tokenizer_path(), added=True)
 
 
 QUERIES: dict[str, Query] = {

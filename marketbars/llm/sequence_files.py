@@ -145,7 +145,12 @@ class SequenceReader:
 
 
 def write_sequences(
-    documents: DataFrame, folder: str, tokenizer: str, end_id: int, length: int = 2048
+    documents: DataFrame,
+    folder: str,
+    tokenizer: str,
+    end_id: int,
+    length: int = 2048,
+    added: bool = False,
 ) -> DataFrame:
     """Write all documents' ids in ascending `doc_id` order; one row per file.
 
@@ -153,13 +158,14 @@ def write_sequences(
     range into one file, holding a few batches of ids at a time. A null text
     is empty and has the end id alone; null ids come first; repeated rows are
     written as often as they come, ordered by text. An empty table gives no
-    file. Columns other than `doc_id` and `text` are not looked at.
+    file. With `added`, the tokenizer's added tokens are found in texts. Columns
+    other than `doc_id` and `text` are not looked at.
     """
 
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tidy()
         out, n_docs, first, uri = None, 0, None, f"{folder}/{uuid.uuid4().hex}"
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, added)
         end = np.array([end_id], encode.dtype).tobytes()
         for batch in batches(rows, 512):
             ids, texts = (c.to_pylist() for c in batch.columns)
@@ -224,8 +230,8 @@ def read_documents(files: DataFrame) -> DataFrame:
 
 
 def binary_output(
-    documents: DataFrame, tokenizer: str, end_id: int = 2, length: int = 2048
+    documents: DataFrame, tokenizer: str, end_id: int = 2, length: int = 2048, added: bool = False
 ) -> DataFrame:
     """Write ids to a new folder of the shared one and read them back."""
     folder = new_folder(documents.sparkSession)
-    return read_documents(write_sequences(documents, folder, tokenizer, end_id, length))
+    return read_documents(write_sequences(documents, folder, tokenizer, end_id, length, added))

@@ -26,13 +26,18 @@ class ByteLevelEncoder:
 
     The pre-tokenizer never joins characters across the end of a word, so a
     text's ids are those of its words in a row, and each word is looked up or
-    given to the library's BPE model once. The strings of special tokens in a
-    text are ordinary text. Ids come as little-endian bytes of `dtype`: two
-    bytes an id where the vocabulary allows it.
+    given to the library's BPE model once. With `added`, a text that holds the
+    string of one of the file's added tokens is given to the library whole, so
+    that all ids are those of its defaults; without, these strings are ordinary
+    text. Ids come as little-endian bytes of `dtype`: two bytes an id where the
+    vocabulary allows it.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         tokenizer = Tokenizer.from_file(path)
+        self._library = tokenizer
+        tokens = tokenizer.get_added_tokens_decoder().values() if added else ()
+        self._added = [token.content for token in tokens]
         self._tokenize = tokenizer.model.tokenize
         wide = tokenizer.get_vocab_size() > 1 << 16
         self._code, self.dtype = ("I", np.dtype("<u4")) if wide else ("H", np.dtype("<u2"))
@@ -82,6 +87,9 @@ class ByteLevelEncoder:
         """Ids of a whole text; a missing text has none."""
         if not text:
             return b""
+        if any(token in text for token in self._added):
+            ids = self._library.encode(text, add_special_tokens=False).ids
+            return array(self._code, ids).tobytes()
         if self._uncut(text):
             return self._plain(text)
         words = text.split(" ")
@@ -97,14 +105,14 @@ class ByteLevelEncoder:
         return np.frombuffer(self.encode(text), self.dtype)
 
 
-_ENCODERS: dict[str, ByteLevelEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], ByteLevelEncoder] = {}
 
 
-def encoder(path: str) -> ByteLevelEncoder:
-    """The process's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ByteLevelEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, added: bool = False) -> ByteLevelEncoder:
+    """The process's encoder for a tokenizer file, with or without its added tokens."""
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = ByteLevelEncoder(path, added)
+    return _ENCODERS[path, added]
 
 
 def forget() -> None:

@@ -2,6 +2,7 @@
 
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from marketbars.llm import packing
+from marketbars.llm import packing, queries
 from marketbars.llm.packing import pack_documents
 from marketbars.llm.sequence_files import SequenceReader, binary_output, write_sequences
 from marketbars.llm.tokens import encoder
@@ -40,6 +41,33 @@ def test_ids_are_the_library_s(text):
     assert encoder(PATH).ids(text).tolist() == ids_of(text)
 
 
+DEFAULTS = Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "  ", "a", " b.", "\n", "é", "'s"]), max_size=9))
+def test_added_tokens_are_the_library_s(parts):
+    text = "".join(parts)
+    ids = DEFAULTS.encode(text, add_special_tokens=False).ids
+    assert encoder(PATH, True).ids(text).tolist() == ids
+
+
+def test_queries_find_added_tokens(spark, tmp_path):
+    rows = [(1, "a<|endoftext|>b"), (2, "plain text"), (3, "x <|endoftext|><|endoftext|> y")]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    expected = [DEFAULTS.encode(t, add_special_tokens=False).ids for _, t in rows]
+    found = sorted(queries.op10_sequence_files(spark, str(tmp_path)).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_tokens, r.ids_crc32) for r in found] == [(len(e) + 1, crc([*e, 2])) for e in expected]
+    assert [r.start for r in found] == [0, len(expected[0]) + 1, len(expected[0]) + len(expected[1]) + 2]
+    for packed in (
+        queries.op6_packing(spark, str(tmp_path)),
+        corpus_pipeline.pack(spark, documents(spark, rows), str(tmp_path)),
+    ):
+        assert {(r.doc_id, r.doc_tokens) for r in packed.collect()} == {
+            (i, len(e) + 1) for (i, _), e in zip(rows, expected, strict=True)
+        }
+
+
 def test_sequence_files(spark):
     rows = trouble() + [(200 + i, prose(i, 50)) for i in range(60)]
     found = binary_output(documents(spark, rows), PATH).collect()

@@ -261,7 +261,8 @@ def score_documents(documents: DataFrame, order: int = 5) -> DataFrame:
     table gives no row. Other columns are not looked at.
 
     Neither trie nor word counts are ever in one place. Texts are dealt into
-    blocks of 24 MB at most; a block asks once for each pair of context and
+    blocks of 24 MB on average, in which a text and the rows that repeat it with
+    its `doc_id` stay together, whatever their size; a block asks once for each pair of context and
     symbol, and each word, that it has; counts are added up by pair, code
     lengths are worked out where all pairs with the same two last bytes are
     together, and go back to the blocks that asked. Only the trie's first two

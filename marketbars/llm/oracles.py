@@ -6,7 +6,55 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _PARTS = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
 
+_CRC32 = (
+    "xor(list_reduce(flatten(list_transform(range(1, len({0}) + 1), "
+    "lambda i: [ascii({0}[i]), 0, 0, 0, 0, 0, 0, 0])), lambda a, b: "
+    "xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1)), 4294967295::UBIGINT), 4294967295::UBIGINT)"
+)
+
 ORACLES: dict[str, str] = {
+    "op11_conversation_trie": rf"""
+        WITH turns AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+                coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), ids AS (
+            SELECT conv_id, conv_id - conv_id % 20 AS source, {_CRC32.format("CAST(conv_id AS VARCHAR)")} % 4 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns)
+        ), rebuilt AS (
+            SELECT i.conv_id, 0 AS own, place, role, text
+            FROM ids i JOIN turns t ON t.conv_id = i.source AND place <= h
+            UNION ALL
+            SELECT conv_id, 1, place, role, text FROM ids JOIN turns USING (conv_id) WHERE place > h
+        ), paths AS (
+            SELECT conv_id, coalesce(path, []) AS path
+            FROM ids LEFT JOIN (
+                SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY own, place) AS path
+                FROM rebuilt GROUP BY conv_id
+            ) USING (conv_id)
+        ), members AS (
+            SELECT conv_id, d, path[1:d] AS node, d = len(path) AS ends
+            FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM paths)
+        ), nodes AS (
+            SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                coalesce(len(regexp_extract_all(node[d].text, '[^\x20\x09-\x0D]+')), 0) * (count(*) - 1) AS own,
+                coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ended
+            FROM members GROUP BY node, d
+        ), children AS (
+            SELECT node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+        ), sums AS (
+            SELECT node[1:a] AS node, sum(own) AS saved, sum(leaf) AS leaves
+            FROM (
+                SELECT node, own, CAST(n IS NULL AS INTEGER) AS leaf, unnest(range(0, d + 1)) AS a
+                FROM nodes LEFT JOIN children USING (node)
+            ) GROUP BY 1
+        )
+        SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n_convs,
+            coalesce(c.n, 0) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+            CAST(s.saved AS BIGINT) AS saved_tokens, sha256(x.ended) AS ends_sha256
+        FROM nodes x JOIN sums s USING (node) LEFT JOIN children c USING (node)
+            LEFT JOIN nodes p ON x.d > 0 AND p.node = x.node[1:x.d - 1]
+    """,
     "op5_line_dedup": r"""
         WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS units FROM documents),
         units AS (

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars.llm import (
+    conversation_trie,
     decontaminate,
     jaccard_join,
     language_id,
@@ -88,6 +89,10 @@ def op10_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_files.binary_output(documents, tokenizer_path(), added=True)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_nodes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_jaccard_join": op2_jaccard_join,
@@ -99,4 +104,5 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_sequence_files": op10_sequence_files,
+    "op11_conversation_trie": op11_conversation_trie,
 }

@@ -96,4 +96,28 @@ ORACLES: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parts LEFT JOIN fits USING (n)
     """,
+    "op13_hard_negatives": """
+        WITH used AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS vector
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                CAST(list_inner_product(a.vector::DOUBLE[], r.vector::DOUBLE[]) AS BIGINT) AS score
+            FROM used a JOIN used r ON len(a.vector) = len(r.vector) AND a.vec_id <> r.vec_id
+            WHERE a.vec_id % 50 = 0
+        ), positives AS (
+            SELECT * FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+            p.score AS positive_score, n.score AS negative_score,
+            CAST(row_number() OVER (
+                PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+            AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        QUALIFY rank <= 3
+    """,
 }

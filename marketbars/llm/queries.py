@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from marketbars.llm import (
     conversation_trie,
     decontaminate,
+    hard_negatives,
     jaccard_join,
     language_id,
     line_dedup,
     lm_scoring,
+    nearest_neighbours,
     packing,
     quality_rules,
     sequence_files,
@@ -93,6 +95,14 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.conversation_nodes(table(spark, sf_dir, "conversations"))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours.nearest_of_hundredths(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.negatives_of_fiftieths(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_jaccard_join": op2_jaccard_join,
@@ -105,4 +115,6 @@ QUERIES: dict[str, Query] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_sequence_files": op10_sequence_files,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_hard_negatives": op13_hard_negatives,
 }

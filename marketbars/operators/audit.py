@@ -21,6 +21,12 @@ def audit_duplicates(df: DataFrame, key: Sequence[str] = S.KEY) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
+def most_copies(df: DataFrame, by: str, key: Sequence[str] = S.KEY) -> DataFrame:
+    """How often a key occurs at most, for each value of ``by``, which keys determine."""
+    counts = df.groupBy(by, *key).agg(F.count(F.lit(1)).alias("copies"))
+    return counts.groupBy(by).agg(F.max("copies").alias("copies"))
+
+
 def audit_length(
     df: DataFrame, column: str = "symbol", limit: int = S.SYMBOL_LENGTH
 ) -> DataFrame:

@@ -12,18 +12,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketbars import schemas as S
+from marketbars.functions.expressions import month_bucket
 from marketbars.operators.series import BLOCK, BLOCK_YEARS, calendar_block, keyed_rows
 
 
+def _usable(df: DataFrame, y: str) -> DataFrame:
+    value = F.col(y).cast("double")
+    rows = keyed_rows(df).select("date", "symbol", value.alias(y))
+    return rows.where(F.col(y).isNotNull() & ~F.isnan(y))
+
+
 def training_rows(df: DataFrame, y: str = "close", years: int = BLOCK_YEARS) -> DataFrame:
     """(date, symbol, y) where y is a number, with the row's calendar block."""
-    value = F.col(y).cast("double")
-    return (
-        keyed_rows(df)
-        .select("date", "symbol", value.alias(y))
-        .where(F.col(y).isNotNull() & ~F.isnan(y))
-        .withColumn(BLOCK, calendar_block("date", years))
-    )
+    return _usable(df, y).withColumn(BLOCK, calendar_block("date", years))
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
@@ -60,15 +61,9 @@ def day_index(df: DataFrame, y: str = "close", years: int = BLOCK_YEARS) -> Data
     )
 
 
-def fit_trend(df: DataFrame, y: str = "close", years: int = BLOCK_YEARS) -> DataFrame:
-    """Least-squares line per symbol: (symbol, n, last_date, intercept, slope).
-
-    With day numbers 0..n-1 the spread of x is known, n(n^2-1)/12, so the fit
-    needs n, sum(y) and sum(day*y) only. One row gives slope 0. Symbols without
-    a usable row have no line.
-    """
-    per_block = (
-        _numbered(training_rows(df, y, years))
+def _block_sums(rows: DataFrame, y: str) -> DataFrame:
+    return (
+        _numbered(rows)
         .groupBy("symbol", BLOCK)
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -77,9 +72,37 @@ def fit_trend(df: DataFrame, y: str = "close", years: int = BLOCK_YEARS) -> Data
             F.max("date").alias("last_date"),
         )
     )
+
+
+def month_sums(df: DataFrame, y: str = "close") -> DataFrame:
+    """What a line needs of each symbol's month: (symbol, month, rows, y, at_y, last_date).
+
+    Months do not depend on one another: of changed months the sums are made
+    anew, of others they are kept.
+    """
+    rows = _usable(df, y).withColumn(BLOCK, month_bucket("date"))
+    return _block_sums(rows, y).withColumnRenamed(BLOCK, S.MONTH)
+
+
+def fit_trend(df: DataFrame, y: str = "close", years: int = BLOCK_YEARS) -> DataFrame:
+    """Least-squares line per symbol: (symbol, n, last_date, intercept, slope).
+
+    With day numbers 0..n-1 the spread of x is known, n(n^2-1)/12, so the fit
+    needs n, sum(y) and sum(day*y) only. One row gives slope 0. Symbols without
+    a usable row have no line.
+    """
+    return _line_of(_block_sums(training_rows(df, y, years), y))
+
+
+def fit_months(sums: DataFrame) -> DataFrame:
+    """`fit_trend` from the `month_sums` of all months."""
+    return _line_of(sums.withColumnRenamed(S.MONTH, BLOCK))
+
+
+def _line_of(blocks: DataFrame) -> DataFrame:
     start = F.coalesce(F.sum("rows").over(_rows_so_far()), F.lit(0))
     totals = (
-        per_block.withColumn("start", start)
+        blocks.withColumn("start", start)
         .groupBy("symbol")
         .agg(
             F.sum("rows").alias("n"),
@@ -114,12 +137,18 @@ def forecast(
     first date is that row's own date; ``start_offset=1`` moves it to the next
     day.
     """
+    return extend(fit_trend(df, y, years), horizon, start_offset)
+
+
+def extend(
+    lines: DataFrame, horizon: int = S.HORIZON_DAYS, start_offset: int = 0
+) -> DataFrame:
+    """The days that `forecast` gives, from fitted lines."""
     if horizon < 1:
         raise ValueError("horizon must be at least one day")
     step = F.col("step")
     return (
-        fit_trend(df, y, years)
-        .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))))
+        lines.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))))
         .select(
             F.date_add("last_date", step + start_offset).alias("date"),
             "symbol",

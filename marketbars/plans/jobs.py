@@ -10,18 +10,36 @@ from pyspark.sql import functions as F
 
 from marketbars import schemas as S
 from marketbars.functions.expressions import month_bucket
-from marketbars.operators.audit import reject_duplicates
+from marketbars.operators.audit import most_copies, reject_duplicates
 from marketbars.operators.enrich import enrich
 from marketbars.operators.merge import upsert_by_key
-from marketbars.operators.refresh import changed_rows, differing_months, refresh_tail
+from marketbars.operators.refresh import (
+    changed_rows,
+    differing_months,
+    fingerprints,
+    month_counts,
+    refresh_tail,
+)
 from marketbars.operators.summary import summarize
-from marketbars.operators.trend import forecast
+from marketbars.operators.trend import extend, fit_months, month_sums
 from marketbars.operators.watermark import ingest_window, newest_dates, watermarks
 from marketbars.sinks import tables as sinks
+from marketbars.sinks.month_index import MonthIndex, in_months, refreshed
 from marketbars.sources.tables import read_layer, stored_months, symbol_universe
 from marketbars.storage import staging
 
 
+# What a daily run knows of the months that it does not read.
+FINGERPRINTS = MonthIndex(
+    "fingerprints", "n BIGINT, one DECIMAL(38,0), two DECIMAL(38,0)", fingerprints
+)
+COUNTS = MonthIndex("counts", "symbol STRING, rows BIGINT", month_counts)
+COPIES = MonthIndex("copies", "copies BIGINT", lambda bars: most_copies(bars, S.MONTH))
+_SUMS = "symbol STRING, rows BIGINT, y DOUBLE, at_y DOUBLE, last_date DATE"
+CLOSE_SUMS = MonthIndex("close_sums", _SUMS, lambda bars: month_sums(bars, "close"))
+AVG_CLOSE_SUMS = MonthIndex("avg_close_sums", _SUMS, lambda bars: month_sums(bars, "avg_close"))
+
+
 @dataclass(frozen=True)
 class Tables:
     landing: str = S.LANDING_TABLE
@@ -83,7 +101,7 @@ def build_layers(
         _build_tail(spark, tables, since)
         return
     landing = read_layer(spark, tables.landing, S.BAR_COLUMNS)
-    reject_duplicates(landing)
+    _reject_copies(spark, tables.landing)
     if rebuild:
         sinks.write_reload(landing, tables.bronze)
         sinks.write_reload(enrich(read_layer(spark, tables.bronze)), tables.silver)
@@ -94,61 +112,74 @@ def build_layers(
     sinks.write_rebuild(summarize(read_layer(spark, tables.silver)), tables.gold)
 
 
-def _since(bars: DataFrame, since: dt.date | str | None) -> DataFrame:
-    if since is None:
-        return bars
-    day = F.lit(str(since)).cast("date")
-    return bars.where((F.col(S.MONTH) >= F.trunc(day, "MM")) & (F.col("date") >= day))
+def _reject_copies(spark: SparkSession, table: str) -> None:
+    """Fail on a repeated key. Months that were found free of them are not read."""
+    copied = refreshed(spark, table, COPIES).where(F.col("copies") > 1)
+    months = [r[S.MONTH] for r in copied.select(S.MONTH).collect()]
+    if months:
+        reject_duplicates(spark.table(table).where(in_months(months)))
 
 
 def _build_tail(spark: SparkSession, tables: Tables, since: dt.date | str | None) -> None:
     """Bring the layers up to date month by month.
 
-    Only months that differ by their fingerprints are compared row by row and
-    checked for repeated keys; only what their changes reach is computed again,
-    and only the months of those rows are written. Silver and gold go first and bronze
+    Months are known by their stored fingerprints; those whose files are the same
+    are not read for them again. Only months that differ are compared row by row
+    and checked for repeated keys; only what their changes reach is computed
+    again, from stored row counts and the bars of the months around them, and only
+    the months of those rows are written. Silver and gold go first and bronze
     last: after a failure in between, the next run still finds the same changes
     in bronze and does all of it again.
     """
-    landing, held = (_since(spark.table(t), since) for t in (tables.landing, tables.bronze))
+    held, landed = (refreshed(spark, t, FINGERPRINTS) for t in (tables.bronze, tables.landing))
+    months = differing_months(held, landed)
+    new, old = (spark.table(t) for t in (tables.landing, tables.bronze))
+    if since is not None:
+        first = dt.date.fromisoformat(str(since))
+        months = [m for m in months if m >= first.replace(day=1)]
+        new, old = (t.where(F.col("date") >= F.lit(first)) for t in (new, old))
+    if not months and spark.catalog.tableExists(tables.gold):
+        return
+    _reject_copies(spark, tables.landing)
     with staging(spark) as stage:
-        months = stage(differing_months(held, landing))
-        new, old = (t.join(months, S.MONTH, "left_semi") for t in (landing, held))
-        reject_duplicates(new)
-        changed = stage(changed_rows(old, new))
+        changed = stage(changed_rows(*(t.where(in_months(months)) for t in (old, new))))
         dated = changed.withColumn(S.MONTH, month_bucket("date"))
         bronze = upsert_by_key(spark.table(tables.bronze), dated)
-        tail = stage(refresh_tail(bronze, changed, stage=stage))
+        counts = refreshed(spark, tables.bronze, COUNTS)
+        tail = stage(refresh_tail(bronze, changed, stage=stage, counts=counts))
         sinks.write_upsert(tail, tables.silver, check_unique=False, stored=True)
         written = tail.select(month_bucket("date").alias(S.MONTH)).distinct()
-        _write_gold(spark, tables, stage(written))
+        _write_gold(spark, tables, [r[0] for r in written.collect()])
         sinks.write_upsert(changed, tables.bronze, check_unique=False, stored=True)
 
 
-def _write_gold(spark: SparkSession, tables: Tables, months: DataFrame) -> None:
+def _write_gold(spark: SparkSession, tables: Tables, months: list[dt.date]) -> None:
     """Gold rows depend on silver's of the same month only."""
     silver = spark.table(tables.silver)
     if not (spark.catalog.tableExists(tables.gold) and S.MONTH in spark.table(tables.gold).columns):
         sinks.write_rebuild(summarize(read_layer(spark, tables.silver)), tables.gold)
         return
-    rows = silver.join(months, S.MONTH, "left_semi").drop(S.MONTH)
-    sinks.write_months(summarize(rows), tables.gold)
+    sinks.write_months(summarize(silver.where(in_months(months)).drop(S.MONTH)), tables.gold)
 
 
 def forecast_close(
     spark: SparkSession, tables: Tables = Tables(), horizon: int = S.HORIZON_DAYS
 ) -> None:
-    """Replace the forecast made from silver closes."""
+    """Replace the forecast made from silver closes.
+
+    Lines come from sums kept by symbol and month: only months whose files
+    changed since the last forecast are read.
+    """
     sinks.ensure_forecast_table(spark, tables.forecast_close)
-    silver = read_layer(spark, tables.silver, ("date", "symbol", "close"))
-    sinks.write_replace(forecast(silver, "close", horizon), tables.forecast_close)
+    lines = fit_months(refreshed(spark, tables.silver, CLOSE_SUMS))
+    sinks.write_replace(extend(lines, horizon), tables.forecast_close)
 
 
 def forecast_avg_close(
     spark: SparkSession, tables: Tables = Tables(), horizon: int = S.HORIZON_DAYS
 ) -> None:
-    """Replace the forecast made from gold average closes."""
+    """Replace the forecast made from gold average closes; see `forecast_close`."""
     sinks.ensure_forecast_table(spark, tables.forecast_avg_close)
     sinks.recover_swap(spark, tables.gold)
-    gold = read_layer(spark, tables.gold, ("date", "symbol", "avg_close"))
-    sinks.write_replace(forecast(gold, "avg_close", horizon), tables.forecast_avg_close)
+    lines = fit_months(refreshed(spark, tables.gold, AVG_CLOSE_SUMS))
+    sinks.write_replace(extend(lines, horizon), tables.forecast_avg_close)

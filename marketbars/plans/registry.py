@@ -222,6 +222,13 @@ def build_layers(spark, sf_dir):
 def build_layers_tail(spark, sf_dir):
     """Gold after early and late bars were restated and the layers' tail was built."""
     tables = _warehouse(spark, sf_dir)
+    _restate(spark, tables)
+    jobs.build_layers(spark, tables, mode="tail")
+    return _rounded(layers.read_layer(spark, tables.gold), 6, "avg_monthly_volatility")
+
+
+def _restate(spark: SparkSession, tables: jobs.Tables) -> None:
+    """Early and late bars of the landing table, restated by one price unit."""
     landing = layers.read_layer(spark, tables.landing)
     late = F.col("date") >= F.lit("2000-11-15").cast("date")
     early = landing.groupBy("symbol").agg(F.min("date").alias("date"))
@@ -232,8 +239,19 @@ def build_layers_tail(spark, sf_dir):
         .withColumn("close", F.col("close") + 1)
     )
     sinks.write_upsert(restated, tables.landing)
+
+
+def forecast_after_tail(spark, sf_dir):
+    """The stored forecast after a first one, restated bars and a tail build.
+
+    The second fit reads the sums that the first one stored, but for months that changed.
+    """
+    tables = _warehouse(spark, sf_dir)
+    jobs.forecast_close(spark, tables)
+    _restate(spark, tables)
     jobs.build_layers(spark, tables, mode="tail")
-    return _rounded(layers.read_layer(spark, tables.gold), 6, "avg_monthly_volatility")
+    jobs.forecast_close(spark, tables)
+    return _rounded(spark.table(tables.forecast_close), 3, "predicted_close")
 
 
 def rebuild_layers(spark, sf_dir):
@@ -535,6 +553,7 @@ QUERIES: dict[str, Query] = {
     "build_layers_tail": build_layers_tail,
     "rebuild_layers": rebuild_layers,
     "build_forecast": build_forecast,
+    "forecast_after_tail": forecast_after_tail,
     "build_forecast_close": build_forecast_close,
     "day_index": day_index,
     "fit_trend": fit_trend,

@@ -20,7 +20,9 @@ from marketbars import schemas as S
 from marketbars.functions.expressions import month_bucket
 from marketbars.operators.audit import bad_key, reject_duplicates, require_not_null
 from marketbars.operators.merge import absent_rows, first_per_key
+from marketbars.sinks.month_index import in_months
 from marketbars.sources.feed import ARRIVAL
+from marketbars.sources.tables import stored_months
 from marketbars.storage import staging
 
 _MONTH_KEY = (S.MONTH, *S.KEY)
@@ -62,14 +64,9 @@ def _by_month(df: DataFrame, table: str) -> DataFrame:
     return rows.sortWithinPartitions(S.MONTH, "symbol", "date")
 
 
-def _months_between(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """The part of ``target`` in the batch's span of months, pruned in the scan.
-
-    The limits are subqueries of the plan, known when the scan lists its files.
-    """
-    first = batch.agg(F.min(S.MONTH)).scalar()
-    last = batch.agg(F.max(S.MONTH)).scalar()
-    return target.where((F.col(S.MONTH) >= first) & (F.col(S.MONTH) <= last))
+def _months_of(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The part of ``target`` in the months of a stored batch; no other is listed."""
+    return target.where(in_months(r[0] for r in batch.select(S.MONTH).distinct().collect()))
 
 
 @contextmanager
@@ -113,7 +110,7 @@ def append_absent(
         if ARRIVAL not in batch.columns:
             batch = batch.withColumn(ARRIVAL, F.lit(0))
         batch = stage(_with_month(first_per_key(batch)))
-        new = absent_rows(_months_between(spark.table(table), batch), batch, _MONTH_KEY)
+        new = absent_rows(_months_of(spark.table(table), batch), batch, _MONTH_KEY)
         _by_month(new, table).write.insertInto(table)
 
 
@@ -152,7 +149,7 @@ def write_upsert(
     batch = _with_month(require_not_null(batch, key))
     with staging(spark) as stage:
         target = spark.table(table)
-        fresh = target.isEmpty()
+        fresh = not stored_months(spark, table)
         if not stored and (check_unique or not fresh):
             batch = stage(batch)
         if check_unique:
@@ -161,9 +158,7 @@ def write_upsert(
             _by_month(batch, table).write.insertInto(table)
             return
         kept = (
-            _months_between(target, batch)
-            .join(batch.select(S.MONTH).distinct(), S.MONTH, "left_semi")
-            .join(batch.select(*key), list(key), "left_anti")
+            _months_of(target, batch).join(batch.select(*key), list(key), "left_anti")
         )
         rows = kept.unionByName(batch.select(*target.columns))
         with _overwriting(spark, "dynamic"):

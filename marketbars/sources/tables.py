@@ -33,10 +33,15 @@ def read_layer(
     return layer.select(*columns) if columns else layer.drop(S.MONTH)
 
 
+def partition_values(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    """The partitions of a table, each as its columns' values."""
+    found = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return [dict(part.split("=", 1) for part in row[0].split("/")) for row in found]
+
+
 def stored_months(spark: SparkSession, table: str) -> list[dt.date]:
     """The months that a bar table has files for; twelve a year."""
-    found = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    texts = [row[0].split("=", 1)[1] for row in found]
+    texts = [p[S.MONTH] for p in partition_values(spark, table)]
     return [dt.date.fromisoformat(t) for t in texts if not t.startswith("__")]
 
 

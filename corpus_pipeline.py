@@ -16,6 +16,10 @@ from marketbars.llm.shared import free_name, importable, saved, table, with_text
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Bytes of the strings that the third stage removes: a passage of 50 words has
+# more in all four languages of the corpus, wherever it begins in a line.
+REPEATED_BYTES = 220
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without letters, or of no clear language, go.
@@ -51,13 +55,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of repeated strings of 400 bytes.
+    """Texts without the bytes of repeated strings of `REPEATED_BYTES`.
 
     `n_chars`, where there is one, follows the text. A document of which nothing
     is left goes.
     """
     importable(spark)
-    found = suffix_dedup.remove_repeats(docs, keep_text=True)
+    found = suffix_dedup.remove_repeats(docs, REPEATED_BYTES, keep_text=True)
     changed = found.where(F.col("n_removed") > 0).groupBy("id").agg(F.first("kept").alias("kept"))
     key, kept = free_name(docs, "text_id"), free_name(docs, "kept")
     changed = changed.select(F.col("id").alias(key), F.col("kept").alias(kept))

@@ -26,7 +26,7 @@ from marketbars.llm.vectors import finite, in_shards, matrix, shard_by_shard
 
 SHARD_ROWS = 8192
 SCALE = 256
-_FIRST_DEPTH = 16
+_FIRST_DEPTH = 64
 _ANCHORS = 256
 # Whole numbers up to here are exact as floating point numbers.
 _EXACT = float(1 << 53)
@@ -42,7 +42,7 @@ class SortedLists:
 
     def __init__(self, values: np.ndarray) -> None:
         self.values = values
-        self.order = np.argsort(values, axis=0, kind="stable")
+        self.order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
         self._most = float(np.abs(values).max(initial=0))
 
     def _exact(self, anchor: np.ndarray) -> bool:
@@ -52,7 +52,8 @@ class SortedLists:
         """Rows as they are met, their scores, and the threshold after them.
 
         Scores are whole numbers: floating point numbers where these are exact for
-        certain, Python's otherwise. The last threshold is minus infinity.
+        certain, Python's otherwise. When no row is unmet, the threshold is minus
+        infinity. Where many rows are met at once, one product scores all.
         """
         values, weights = self.values, anchor
         if not self._exact(anchor):
@@ -60,7 +61,7 @@ class SortedLists:
             weights = np.array([int(x) for x in anchor.tolist()], object)
         n = len(values)
         down, up = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
-        met = np.zeros(n, bool)
+        met, left, whole = np.zeros(n, bool), n, None
         at, size = 0, _FIRST_DEPTH
         while at < n and len(down) + len(up):
             end = min(n, at + size)
@@ -71,14 +72,19 @@ class SortedLists:
             fresh[rows] = True
             new = np.flatnonzero(fresh & ~met)
             met[new] = True
+            left -= len(new)
             last = (values[self.order[n - end, down], down] * weights[down]).sum()
             last = last + (values[self.order[end - 1, up], up] * weights[up]).sum()
-            yield new, values[new] @ weights, last if end < n else -np.inf
+            if whole is None and 8 * len(new) > n:
+                whole = values @ weights
+            scores = values[new] @ weights if whole is None else whole[new]
+            yield new, scores, last if left else -np.inf
+            if not left:
+                return
             at, size = end, 2 * size
-        if not met.all():
-            # An anchor of zeros, whose lists say nothing.
-            new = np.flatnonzero(~met)
-            yield new, values[new] @ weights, -np.inf
+        # An anchor of zeros, whose lists say nothing.
+        new = np.flatnonzero(~met)
+        yield new, values[new] @ weights, -np.inf
 
 
 class Wanted:

@@ -56,26 +56,67 @@ ORACLES: dict[str, str] = {
             LEFT JOIN nodes p ON x.d > 0 AND p.node = x.node[1:x.d - 1]
     """,
     "op5_line_dedup": r"""
-        WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS units FROM documents),
-        units AS (
-            SELECT doc_id, i, units[i] AS unit,
-                array_to_string(regexp_extract_all(lower(units[i]), '[\p{L}\p{N}]+'), ' ') AS plain
-            FROM (SELECT *, unnest(range(1, len(units) + 1)) AS i FROM texts)
-        ), placed AS (
-            SELECT *,
-                coalesce(sum(length(unit) + 1) OVER (
-                    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place,
-                len(string_split(plain, ' ')) >= 5
-                    AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, i) > 1 AS gone
-            FROM units
+        WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+        lines AS (
+            SELECT doc_id, i, lines[i] || CASE WHEN i < len(lines) THEN chr(10) ELSE '' END AS line
+            FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM texts)
+            WHERE i < len(lines) OR lines[i] <> ''
+        ), cut AS (
+            SELECT *, regexp_extract_all(line, '[^.!?。！？]*[.!?。！？]+[ \x09-\x0D]*|[^.!?。！？]+') AS parts,
+                coalesce(sum(length(line)) OVER (
+                    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+            FROM lines
+        ), sentences AS (
+            SELECT doc_id, i, k, parts[k] AS sentence, len(parts) AS n,
+                place + coalesce(sum(length(parts[k])) OVER (
+                    PARTITION BY doc_id, i ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+            FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS k FROM cut)
+        ), units AS (
+            SELECT doc_id, i, 0 AS k, place, 2 AS least_words, 6 AS least_chars, line AS unit FROM cut
+            UNION ALL
+            SELECT doc_id, i, k, place, 8, 40, sentence FROM sentences WHERE n > 1
+        ), plain AS (
+            SELECT * FROM (
+                SELECT *, array_to_string(regexp_extract_all(lower(unit), '[\p{L}\p{N}]+'), ' ') AS plain FROM units)
+            QUALIFY k = 0 OR plain <> first_value(plain) OVER (PARTITION BY doc_id, i ORDER BY k)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY plain ORDER BY doc_id, place) > 1 AS gone,
+                count(*) OVER (PARTITION BY plain) > 1 AS repeated
+            FROM plain
+            WHERE plain <> '' AND (length(plain) >= least_chars OR len(string_split(plain, ' ')) >= least_words)
+        ), flagged AS (
+            SELECT s.doc_id, s.place, s.sentence, coalesce(bool_or(gone), FALSE) AS gone,
+                coalesce(bool_or(repeated), FALSE) AS repeated,
+                len(regexp_extract_all(lower(sentence), '[\p{L}\p{N}]+')) AS words
+            FROM sentences s LEFT JOIN ranked r ON r.doc_id = s.doc_id AND r.i = s.i AND r.k IN (0, s.k)
+            GROUP BY s.doc_id, s.i, s.k, s.place, s.sentence
+        ), runs AS (
+            SELECT *, count(*) FILTER (NOT gone) OVER before AS g, count(*) FILTER (NOT repeated) OVER before AS r
+            FROM flagged WINDOW before AS (PARTITION BY doc_id ORDER BY place)
+        ), spans AS (
+            SELECT doc_id, string_agg(first || ':' || n, ' ' ORDER BY first) AS removed, max(words) AS longest
+            FROM (
+                SELECT doc_id, CAST(min(place) AS BIGINT) AS first, CAST(sum(length(sentence)) AS BIGINT) AS n,
+                    sum(words) AS words
+                FROM runs WHERE gone GROUP BY doc_id, g
+            ) GROUP BY doc_id
+        ), repeats AS (
+            SELECT doc_id, max(words) AS longest
+            FROM (SELECT doc_id, sum(words) AS words FROM runs WHERE repeated GROUP BY doc_id, r) GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+                CAST(coalesce(sum(length(sentence)) FILTER (gone), 0) AS BIGINT) AS removed_chars,
+                coalesce(string_agg(sentence, '' ORDER BY place) FILTER (NOT gone), '') AS text
+            FROM flagged GROUP BY doc_id
         )
-        SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
-            CAST(coalesce(sum(length(unit)) FILTER (gone), 0) AS BIGINT) AS removed_chars,
-            coalesce(string_agg(CAST(place AS BIGINT) || ':' || length(unit), ' ' ORDER BY i) FILTER (gone), '') AS removed,
-            coalesce(string_agg(unit, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
-        FROM placed GROUP BY doc_id
-        UNION ALL
-        SELECT doc_id, 0, 0, 0, '', NULL FROM documents WHERE text IS NULL
+        SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
+            coalesce(removed_chars, 0) AS removed_chars,
+            CAST(coalesce(s.longest, 0) AS BIGINT) AS longest_removed,
+            CAST(coalesce(r.longest, 0) AS BIGINT) AS longest_repeated,
+            coalesce(s.removed, '') AS removed,
+            CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text
+        FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN spans s ON s.doc_id = d.doc_id
+            LEFT JOIN repeats r ON r.doc_id = d.doc_id
     """,
     "op7_url_filters": f"""
         WITH parts AS (

@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ from oracle import assert_same, connect
 
 from marketbars.llm import decontaminate, quality_rules
 from marketbars.llm.decontaminate import find_leaks, plain_words, similarity
-from marketbars.llm.line_dedup import dedup_units, normalise
+from marketbars.llm.line_dedup import LINE, _long_enough, dedup_units, normalise
 from marketbars.llm.oracles import ORACLES
 from marketbars.llm.quality_rules import count_text, judge_documents
 from marketbars.llm.queries import QUERIES
@@ -37,31 +38,93 @@ LINES = [
 ]
 
 
+SENTENCES = [
+    (40, "One short. This sentence here has nine words, so it counts. Short. Another one of eight words is this one."),
+    (41, "Begin! Not this. THIS sentence here has nine words; so it counts! And this is the end of it"),
+    (42, "alone\nthis sentence here has nine words so it counts\n\nAnother one of eight words is this one. Ok. ok.\n"),
+    (43, "漢字文章" * 11 + "。 " + "別文章" * 15 + "。\n" + "漢字文章" * 11 + "。"),
+    (45, "... this is one sentence of more than eight words with signs beside it. ###\nshort"),
+    (44, "ok. ok.\nhi\nhi\nme too\nx\nme, too"),
+]
+
+
+def units_by_hand(text, separator):
+    """(first, length, words, key or None, key of its line or None) of each sentence."""
+    out, at = [], 0
+    parts = text.split(separator)
+    lines = [p + separator for p in parts[:-1]] + ([parts[-1]] if parts[-1] else [])
+    for line in lines:
+        plain = normalise(line)
+        whole = plain if plain and (len(plain.split()) >= 2 or len(plain) >= 6) else None
+        ends = [m.end() for m in re.finditer(r"[.!?。！？]+[ \t-\r]*", line)]
+        ends = ends if ends and ends[-1] == len(line) else [*ends, len(line)]
+        for start, end in itertools.pairwise([0, *ends]):
+            own = normalise(line[start:end])
+            own = own if len(ends) > 1 and own != plain and (len(own.split()) >= 8 or len(own) >= 40) else None
+            words = len(normalise(line[start:end]).split())
+            out.append((at + start, end - start, words, own, whole, at))
+        at += len(line)
+    return out
+
+
+def longest(flags, words):
+    runs = itertools.groupby(zip(flags, words, strict=True), key=lambda x: x[0])
+    return max((sum(n for _, n in run) for flag, run in runs if flag), default=0)
+
+
 @pytest.mark.parametrize("separator", ["\n", "\n\n"])
 def test_lines(spark, separator):
     rows = [r for r in trouble() if r[0] not in (2, 9)] + [(20 + (i or 9), t) for i, t in LINES[:3]]
-    rows += [(None, "something of its own to say")]
-    seen, expected = set(), []
-    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        out, gone, at = [], [], 0
-        units = [] if t is None else t.split(separator)
-        for unit in units:
-            plain = normalise(unit)
-            again = len(plain.split()) >= 5 and plain in seen
-            seen.add(plain)
-            gone += [(at, len(unit))] if again else []
-            out += [] if again else [unit]
-            at += len(unit) + len(separator)
-        kept = None if t is None else separator.join(out)
-        expected.append((str(i), len(units), len(gone), sum(n for _, n in gone), gone, kept))
+    rows += [(None, "something of its own to say"), *SENTENCES]
+    units = [units_by_hand(t or "", separator) for _, t in rows]
+    places = {}
+    for row, ((i, _), own) in enumerate(zip(rows, units, strict=True)):
+        for first, _, _, key, line, start in own:
+            for k, at in ((key, first), (line, start)):
+                if k:
+                    places.setdefault(k, set()).add((i is None, i or 0, at, row))
+    expected = []
+    for row, ((i, t), own) in enumerate(zip(rows, units, strict=True)):
+        gone, again, spans, kept = [], [], [], ""
+        for first, length, _, key, line, start in own:
+            held = [(places[k], at) for k, at in ((key, first), (line, start)) if k]
+            again.append(any(len(p) > 1 for p, _ in held))
+            gone.append(any(min(p) != (i is None, i or 0, at, row) for p, at in held))
+            if not gone[-1]:
+                kept += t[first : first + length]
+            elif spans and sum(spans[-1]) == first:
+                spans[-1] = (spans[-1][0], spans[-1][1] + length)
+            else:
+                spans.append((first, length))
+        words = [u[2] for u in own]
+        counts = len(own), sum(gone), sum(n for _, n in spans), longest(gone, words), longest(again, words)
+        expected.append((str(i), *counts, spans, None if t is None else kept))
     found = dedup_units(documents(spark, rows), separator).collect()
-    got = [
-        (str(r.doc_id), r.n_units, r.n_removed, r.removed_chars, [tuple(x) for x in r.removed], r.text)
-        for r in found
-    ]
+    got = [(str(r.doc_id), *r[1:6], [tuple(x) for x in r.removed], r.text) for r in found]
     assert sorted(got, key=str) == sorted(expected, key=str)
 
 
+def test_a_text_of_many_lines(spark):
+    """Work grows with the text, not with the square of its lines."""
+    lines = [f"this is line number {i} of a long text" for i in range(200_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines[:5], "of its own", *lines[100_000:]]))]
+    start = time.perf_counter()
+    found = {r.doc_id: r for r in dedup_units(documents(spark, rows)).collect()}
+    assert time.perf_counter() - start < 60
+    assert found[1].n_removed == 0 and found[1].longest_repeated == 9 * 100_000
+    assert (found[2].n_removed, found[2].text) == (100_005, "of its own\n")
+    assert [x.first for x in found[2].removed] == [0, len("\n".join(lines[:5])) + len("\nof its own\n")]
+
+
+def test_few_repeated_lines_are_too_short(spark):
+    """Of lines that occur again, those below both bounds are under a twentieth."""
+    texts = spark.read.parquet(str(SF / "documents.parquet")).select("text").collect()
+    seen = Counter(normalise(line) for r in texts for line in (r.text or "").split("\n"))
+    again = {k: n - 1 for k, n in seen.items() if k}
+    short = sum(n for k, n in again.items() if not _long_enough(k, LINE))
+    assert short < 0.05 * sum(again.values())
+
+
 def test_repeated_rows_get_the_same_lines(spark):
     found = dedup_units(documents(spark, LINES)).collect()
     twice = [r for r in found if r.doc_id == 2]

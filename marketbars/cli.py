@@ -7,11 +7,12 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from marketbars import schemas as S
 from marketbars.plans import jobs
 from marketbars.session import builder
-from marketbars.sources.feed import normalize_feed, read_feed
+from marketbars.sources.feed import ARRIVAL
 from marketbars.sources.tables import distinct_symbols, symbol_universe
 from marketbars.streaming.landing import ingest_stream
 
@@ -38,6 +39,9 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--as-of", type=dt.date.fromisoformat, required=True)
     ingest.add_argument("--symbols", nargs="+", default=list(S.DEFAULT_SYMBOLS))
     ingest.add_argument("--symbols-table", help="table with a symbol column, instead")
+    ingest.add_argument(
+        "--symbol-in-path", metavar="PATTERN", help="its first group is the symbol of a file"
+    )
     ingest.add_argument("--start", default=S.DEFAULT_START, help="first date of a new symbol")
 
     stream = commands.add_parser("stream", help="load the files new since the last run")
@@ -65,12 +69,15 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         options = dict(option.split("=", 1) for option in args.option)
         bad = ("quarantine", args.quarantine) if args.quarantine else ("error", None)
     if args.command == "ingest":
-        feed = normalize_feed(read_feed(spark, args.feed, args.format, **options))
         if args.symbols_table:
             symbols = distinct_symbols(spark.table(args.symbols_table))
         else:
             symbols = symbol_universe(spark, args.symbols)
-        jobs.ingest(spark, feed, args.as_of, symbols, tables.landing, args.start, *bad)
+        symbol = None
+        if args.symbol_in_path:
+            symbol = F.regexp_extract(f"{ARRIVAL}.file", args.symbol_in_path, 1)
+        target = args.as_of, symbols, tables.landing, args.start
+        jobs.ingest_files(spark, args.feed, *target, *bad, args.format, symbol, **options)
     elif args.command == "stream":
         ingest_stream(
             spark, args.feed, tables.landing, args.checkpoint, args.format, *bad, **options

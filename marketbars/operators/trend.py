@@ -18,13 +18,18 @@ from marketbars.operators.series import BLOCK, BLOCK_YEARS, calendar_block, keye
 
 def _usable(df: DataFrame, y: str) -> DataFrame:
     value = F.col(y).cast("double")
-    rows = keyed_rows(df).select("date", "symbol", value.alias(y))
+    block = [BLOCK] if BLOCK in df.columns else []
+    rows = keyed_rows(df).select("date", "symbol", value.alias(y), *block)
     return rows.where(F.col(y).isNotNull() & ~F.isnan(y))
 
 
 def training_rows(df: DataFrame, y: str = "close", years: int = BLOCK_YEARS) -> DataFrame:
-    """(date, symbol, y) where y is a number, with the row's calendar block."""
-    return _usable(df, y).withColumn(BLOCK, calendar_block("date", years))
+    """(date, symbol, y) where y is a number, with the row's calendar block.
+
+    A block column that ``df`` has is kept: rows stored by it are not shuffled.
+    """
+    rows = _usable(df, y)
+    return rows if BLOCK in df.columns else rows.withColumn(BLOCK, calendar_block("date", years))
 
 
 def _numbered(rows: DataFrame) -> DataFrame:

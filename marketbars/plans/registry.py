@@ -179,6 +179,20 @@ def ingest_stream_query(spark, sf_dir):
     return layers.read_layer(spark, f"{database}.stock_data")
 
 
+def stream_layers_query(spark, sf_dir):
+    """Two sets of files taken into gold by the stream, the second a change feed."""
+    database, folder = _database(spark)
+    tables = jobs.Tables(**{k: f"{database}.{v}" for k, v in vars(jobs.Tables()).items()})
+    bars = _bars(spark, sf_dir)
+    # Rows of all years in both sets: changes reach rows that are stored.
+    odd = F.dayofmonth("date") % 2 == 1
+    for part in (odd, ~odd):
+        files = _as_feed(bars.where(part)).write.mode("append").option("header", "true")
+        files.csv(f"{folder}/feed")
+        jobs.stream_layers(spark, f"{folder}/feed", f"{folder}/checkpoint", tables)
+    return _rounded(layers.read_layer(spark, tables.gold), 6, "avg_monthly_volatility")
+
+
 def _table_with(spark: SparkSession, rows: DataFrame) -> str:
     table = f"{_database(spark)[0]}.stock_data"
     sinks.ensure_landing_table(spark, table)
@@ -298,6 +312,39 @@ def ingest_plain_feed(spark, sf_dir):
     return layers.read_layer(spark, table)
 
 
+def ingest_grown_folder(spark, sf_dir):
+    """Two loads of a folder that grew between them; the second opens the new files only."""
+    database, folder = _database(spark)
+    bars, table = _bars(spark, sf_dir), f"{database}.stock_data"
+    older = F.col("date") < F.lit(SPLIT).cast("date")
+    for part in (older, ~older):
+        files = _as_feed(bars.where(part)).write.mode("append").option("header", "true")
+        files.csv(f"{folder}/feed")
+        target = "2100-01-01", _symbols(spark, sf_dir), table, "1900-01-01"
+        jobs.ingest_files(spark, f"{folder}/feed", *target)
+    return layers.read_layer(spark, table)
+
+
+def ingest_symbol_files(spark, sf_dir):
+    """A folder for each symbol, whose files do not name it."""
+    database, folder = _database(spark)
+    feed = _as_feed(bars_from_lineitem(spark, sf_dir))
+    by_symbol = feed.withColumn("ticker", F.replace("Symbol", F.lit("#"), F.lit("-"))).drop("Symbol")
+    by_symbol.write.partitionBy("ticker").option("header", "true").csv(f"{folder}/feed")
+    ticker = F.regexp_extract(f"{ARRIVAL}.file", "/ticker=([^/]+)/", 1)
+    jobs.ingest_files(
+        spark,
+        f"{folder}/feed",
+        "2100-01-01",
+        _symbols(spark, sf_dir),
+        f"{database}.stock_data",
+        "1900-01-01",
+        symbol=F.replace(ticker, F.lit("-"), F.lit("#")),
+        recursiveFileLookup="true",
+    )
+    return layers.read_layer(spark, f"{database}.stock_data")
+
+
 def read_feed_query(spark, sf_dir):
     """Bars written as CSV landing files and read back through the feed schema."""
     path = new_folder(spark)
@@ -422,6 +469,23 @@ def day_index(spark, sf_dir):
     return trend.day_index(_closes(spark, sf_dir), "close")
 
 
+def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver stored by series, in buckets of symbol and block."""
+    table = f"{_database(spark)[0]}.series"
+    sinks.write_series(enrich(_bars(spark, sf_dir), keep_block=True), table)
+    return spark.table(table)
+
+
+def day_index_series(spark, sf_dir):
+    """`day_index` on a layer stored by series: its rows are not shuffled."""
+    return trend.day_index(_series(spark, sf_dir), "close")
+
+
+def forecast_series(spark, sf_dir):
+    """The forecast from a layer stored by series: its rows are not shuffled."""
+    return _rounded(trend.forecast(_series(spark, sf_dir), "close"), 3, "predicted_close")
+
+
 def fit_trend(spark, sf_dir):
     fit = trend.fit_trend(bars_from_lineitem(spark, sf_dir), "close")
     return _rounded(_rounded(fit, 3, "intercept"), 6, "slope")
@@ -524,7 +588,10 @@ QUERIES: dict[str, Query] = {
     "ingest_window": ingest_window,
     "ingest_increment": ingest_increment,
     "ingest_stream": ingest_stream_query,
+    "stream_layers": stream_layers_query,
     "ingest_plain_feed": ingest_plain_feed,
+    "ingest_grown_folder": ingest_grown_folder,
+    "ingest_symbol_files": ingest_symbol_files,
     "first_per_key": first_per_key,
     "insert_if_absent": insert_if_absent,
     "upsert_by_key": upsert_by_key,
@@ -556,6 +623,8 @@ QUERIES: dict[str, Query] = {
     "forecast_after_tail": forecast_after_tail,
     "build_forecast_close": build_forecast_close,
     "day_index": day_index,
+    "day_index_series": day_index_series,
+    "forecast_series": forecast_series,
     "fit_trend": fit_trend,
     "forecast_close": forecast_close,
     "forecast_avg_close": forecast_avg_close,

@@ -2,25 +2,28 @@
 
 Bar tables are Parquet, partitioned by month, with one writer at a time. A
 write whose computation fails leaves the table as it was and can be run again;
-lost executors only cost time. Files have no transactions, though: a driver
-lost during the final move of files may leave a month half done. The landing
-table is only ever appended to, a build refuses repeated keys in it, and
-`build_layers(rebuild=True)` makes all other layers from it.
+lost executors only cost time. A month is replaced by pointing the catalog to
+its new folder, so that a driver lost at any time leaves its old rows or its
+new ones. Between months there is no transaction: some may be replaced and
+others not, until the job runs again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars import schemas as S
 from marketbars.functions.expressions import month_bucket
 from marketbars.operators.audit import bad_key, reject_duplicates, require_not_null
 from marketbars.operators.merge import absent_rows, first_per_key
+from marketbars.operators.series import BLOCK
 from marketbars.sinks.month_index import in_months
+from marketbars.sinks.publish import publish_months
 from marketbars.sources.feed import ARRIVAL
 from marketbars.sources.tables import stored_months
 from marketbars.storage import staging
@@ -28,6 +31,17 @@ from marketbars.storage import staging
 _MONTH_KEY = (S.MONTH, *S.KEY)
 
 
+@dataclass(frozen=True)
+class Written:
+    """What an insert met: rows that came and were written, and rows a table refuses."""
+
+    came: int
+    written: int
+    null_dates: int
+    null_symbols: int
+    long_symbols: int
+
+
 def ensure_table(spark: SparkSession, table: str, ddl: str) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} {ddl}")
 
@@ -89,21 +103,26 @@ def append_absent(
     table: str,
     on_bad: str = "error",
     quarantine_table: str | None = None,
-) -> None:
+) -> Written:
     """Insert the batch rows whose key the table does not hold.
 
     Stored rows win; inside the batch the first to arrive wins, or where no
     arrival is known the smallest row. Rows with a NULL key or too long a
     symbol fail the write, or with ``on_bad='quarantine'`` go to
     ``quarantine_table``, once each. The batch is stored first: only then is its
-    size known, and the table is pruned to its months.
+    size known, and the table is pruned to its months. What is returned was counted
+    while the rows passed, in the jobs that store and write them.
     """
     spark = batch.sparkSession
     if on_bad not in ("error", "quarantine"):
         raise ValueError(f"on_bad must be 'error' or 'quarantine', not {on_bad!r}")
     if on_bad == "quarantine" and not quarantine_table:
         raise ValueError("on_bad='quarantine' needs a quarantine_table")
+    came, went = Observation(), Observation()
+    no_key = [F.count_if(F.col(c).isNull()).alias(f"null_{c}s") for c in S.KEY]
+    too_long = F.count_if(F.length("symbol") > S.SYMBOL_LENGTH).alias("long_symbols")
     with staging(spark) as stage:
+        batch = batch.observe(came, F.count(F.lit(1)).alias("rows"), *no_key, too_long)
         if on_bad == "quarantine":
             batch = _set_aside(stage(batch), quarantine_table)
         batch = require_not_null(batch)
@@ -111,7 +130,16 @@ def append_absent(
             batch = batch.withColumn(ARRIVAL, F.lit(0))
         batch = stage(_with_month(first_per_key(batch)))
         new = absent_rows(_months_of(spark.table(table), batch), batch, _MONTH_KEY)
-        _by_month(new, table).write.insertInto(table)
+        counted = _by_month(new, table).observe(went, F.count(F.lit(1)).alias("rows"))
+        counted.write.insertInto(table)
+    found = came.get
+    return Written(
+        came=found.get("rows", 0),
+        written=went.get.get("rows", 0),
+        null_dates=found.get("null_dates", 0),
+        null_symbols=found.get("null_symbols", 0),
+        long_symbols=found.get("long_symbols", 0),
+    )
 
 
 def _set_aside(batch: DataFrame, quarantine_table: str) -> DataFrame:
@@ -161,26 +189,17 @@ def write_upsert(
             _months_of(target, batch).join(batch.select(*key), list(key), "left_anti")
         )
         rows = kept.unionByName(batch.select(*target.columns))
-        with _overwriting(spark, "dynamic"):
-            _by_month(rows, table).write.mode("overwrite").insertInto(table)
+        publish_months(_by_month(rows, table), table)
 
 
 def write_reload(df: DataFrame, table: str) -> None:
-    """Load a bar table anew from ``df``; rows and months not in it go.
-
-    The rows are stored before the table is emptied, so a failing computation
-    costs no data.
-    """
-    spark = df.sparkSession
-    with staging(spark) as stage, _overwriting(spark, "static"):
-        rows = stage(_with_month(require_not_null(df)))
-        _by_month(rows, table).write.mode("overwrite").insertInto(table)
+    """Load a bar table anew from ``df``; rows and months not in it go."""
+    publish_months(_by_month(_with_month(require_not_null(df)), table), table, whole=True)
 
 
 def write_months(df: DataFrame, table: str) -> None:
     """Replace whole months: those that ``df``, read from other tables, has rows of."""
-    with _overwriting(df.sparkSession, "dynamic"):
-        _by_month(_with_month(df), table).write.mode("overwrite").insertInto(table)
+    publish_months(_by_month(_with_month(df), table), table)
 
 
 def write_rebuild(df: DataFrame, table: str) -> None:
@@ -199,6 +218,21 @@ def write_rebuild(df: DataFrame, table: str) -> None:
             _by_month(rows, fresh).write.insertInto(fresh)
 
 
+def write_series(df: DataFrame, table: str, buckets: int | None = None) -> None:
+    """A new table of a layer by series, in buckets of (symbol, block), sorted by date.
+
+    ``df`` has its block column, as `enrich` leaves with ``keep_block``; rows that
+    lie by it already are not moved again. What groups or numbers rows by symbol
+    and block, as `daily_summary` and `day_index` do, reads the table without a
+    shuffle. There are as many buckets as shuffle partitions unless told.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    writer = df.write.format("parquet").bucketBy(count, "symbol", BLOCK)
+    writer.sortBy("symbol", BLOCK, "date").saveAsTable(table)
+
+
 def write_replace(df: DataFrame, table: str) -> None:
     """Load an unpartitioned table anew from ``df``, keeping its definition.
 

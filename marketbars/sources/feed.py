@@ -47,7 +47,7 @@ def in_file_order(rows: DataFrame) -> DataFrame:
     return rows.withColumn(ARRIVAL, F.struct(f"{ARRIVAL}.*", row))
 
 
-def _text_schema(spark: SparkSession, path: str, options: dict[str, str]) -> T.StructType:
+def _text_schema(spark: SparkSession, path: str | list[str], options: dict[str, str]) -> T.StructType:
     """The header's columns as text. Reads the first line of the folder."""
     names = spark.read.format("csv").options(**options).load(path).columns
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -68,7 +68,7 @@ def _fields(schema: T.StructType, wanted: T.StructType) -> list[T.StructField]:
     return [f for f in wanted if f.name in schema.names]
 
 
-def _rows(reader, fmt: str, path: str, given: T.StructType, schema: T.StructType) -> DataFrame:
+def _rows(reader, fmt: str, path: str | list[str], given: T.StructType, schema: T.StructType) -> DataFrame:
     """The wanted columns of what a reader with the files' schema loads."""
     found = _fields(given, schema)
     rows = _with_place(reader.schema(given).load(path))
@@ -84,7 +84,7 @@ def _rows(reader, fmt: str, path: str, given: T.StructType, schema: T.StructType
 
 def read_feed(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str = "csv",
     schema: T.StructType = S.FEED,
     **options: str,
@@ -96,8 +96,9 @@ def read_feed(
     it, by a value or from the file's name, as
     ``F.regexp_extract("arrival.file", r"([^/]+)[.]csv$", 1)``. Without `seq`
     the rows of a file arrive in the order in which they stand in it.
-    ``options`` are the reader's; `modifiedAfter` spares a growing folder from
-    being read whole. Feeds from other sources go straight to `normalize_feed`.
+    ``path`` is a folder, or a list of files as `plans.jobs.ingest_files` passes.
+    ``options`` are the reader's. Feeds from other sources go straight to
+    `normalize_feed`.
     """
     options = {**_STRICT.get(fmt, {}), **options}
     given = _text_schema(spark, path, options) if fmt == "csv" else schema

@@ -49,11 +49,20 @@ def at_end(action: Callable[[], object]) -> None:
         held[1].append(action)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, if it is there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """The names of the folders in a folder; none if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.listStatus(path) if files.exists(path) else []
+    return [f.getPath().getName() for f in found if f.isDirectory()]
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """A lifetime for copies that queries stage: all new folders go at its end.
@@ -68,7 +77,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         _SCRATCH.reset(token)
         for action in reversed(actions):
             action()
-        _delete(spark, folder)
+        delete(spark, folder)
 
 
 def _store(df: DataFrame, path: str) -> DataFrame:
@@ -95,4 +104,4 @@ def staging(spark: SparkSession) -> Iterator[Stage]:
     try:
         yield lambda df: _store(df, f"{folder}/{uuid.uuid4().hex}")
     finally:
-        _delete(spark, folder)
+        delete(spark, folder)

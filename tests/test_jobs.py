@@ -20,8 +20,8 @@ def tables(spark):
     run = uuid.uuid4().hex
     names = jobs.Tables(*[f"{n}_{run}" for n in ("l", "b", "s", "g", "fc", "fa")])
     yield names
-    for name in vars(names).values():
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for row in spark.sql("SHOW TABLES").where(f"tableName LIKE '%{run}%'").collect():
+        spark.sql(f"DROP TABLE IF EXISTS {row.tableName}")
 
 
 def land(spark, path, rows, mode="append"):
@@ -115,6 +115,35 @@ def test_tail_build_equals_full_build(spark, tables):
     assert same(read_layer(spark, tables.silver).select(*exact), expected.select(*exact))
 
 
+def test_a_stream_feeds_the_layers(spark, tables, tmp_path, monkeypatch):
+    feed, checkpoint = tmp_path / "feed", str(tmp_path / "checkpoint")
+    days = [f"2020-{m:02d}-{d:02d}" for m in range(1, 5) for d in range(1, 29)]
+    rows = [(s, d, float(10 + (i * 7) % 13)) for s in ("A", "B") for i, d in enumerate(days)]
+    land(spark, feed, [r for i, r in enumerate(rows) if i % 3])
+    jobs.stream_layers(spark, str(feed), checkpoint, tables)
+    land(spark, feed, rows)
+
+    def lost(*_):
+        raise RuntimeError("lost driver")
+
+    # The rows are inserted, the layers are not: the batch comes again.
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "_follow", lost)
+        with pytest.raises(Exception, match="lost driver"):
+            jobs.stream_layers(spark, str(feed), checkpoint, tables)
+    spark.catalog.refreshTable(tables.landing)
+    assert read_layer(spark, tables.landing).count() == len(rows)
+    assert read_layer(spark, tables.bronze).count() < len(rows)
+    jobs.stream_layers(spark, str(feed), checkpoint, tables)
+    landing = read_layer(spark, tables.landing)
+    assert same(read_layer(spark, tables.bronze), landing)
+    exact = [c for c in S.SILVER_COLUMNS if c != "monthly_volatility"]
+    expected = uncut(landing).select(*S.SILVER_COLUMNS)
+    assert same(read_layer(spark, tables.silver).select(*exact), expected.select(*exact))
+    exact = [c for c in S.GOLD_COLUMNS if c != "avg_monthly_volatility"]
+    assert same(read_layer(spark, tables.gold).select(*exact), summarize(expected).select(*exact))
+
+
 def test_deleted_rows_stay_until_a_rebuild(spark, tables):
     sinks.ensure_landing_table(spark, tables.landing)
     sinks.append_absent(bars(spark, [("A", "01-02", 1.0), ("B", "01-02", 2.0)]), tables.landing)

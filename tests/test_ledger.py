@@ -1,0 +1,107 @@
+"""Files of a growing folder are opened when they have rows to load, and only then."""
+
+import re
+import uuid
+from pathlib import Path
+
+import pytest
+from frames import closes, day
+from test_jobs import land
+
+from marketbars.plans import jobs
+from marketbars.sources.tables import read_layer, symbol_universe
+
+
+@pytest.fixture
+def table(spark):
+    name = f"l_{uuid.uuid4().hex}"
+    yield name
+    for suffix in ("", "__files"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}{suffix}")
+
+
+def load(spark, folder, as_of, table, symbols=("A",), **more):
+    universe = symbol_universe(spark, list(symbols))
+    return jobs.ingest_files(spark, str(folder), as_of, universe, table, **more)
+
+
+def spoil(folder):
+    """Make the files that are there unreadable; size and time stay."""
+    for file in Path(folder).glob("*.csv"):
+        stat = file.stat()
+        file.write_bytes(b"\xff" * stat.st_size)
+        import os
+
+        os.utime(file, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+
+
+def test_the_second_load_opens_the_new_file(spark, table, tmp_path):
+    land(spark, tmp_path / "f", [("A", "2020-01-01", 1.0), ("A", "2020-01-02", 2.0)])
+    assert load(spark, tmp_path / "f", "2020-01-10", table) == 1
+    assert load(spark, tmp_path / "f", "2020-01-10", table) == 0
+    spoil(tmp_path / "f")
+    land(spark, tmp_path / "f", [("A", "2020-01-02", 9.0), ("A", "2020-01-03", 3.0)])
+    assert load(spark, tmp_path / "f", "2020-01-11", table) == 1
+    assert closes(read_layer(spark, table), "close") == [
+        ("A", day(f"01-0{d}"), float(d)) for d in (1, 2, 3)
+    ]
+
+
+def test_rows_left_for_later_are_loaded_later(spark, table, tmp_path):
+    """Days at or after the end, and symbols that come into the universe."""
+    days = [f"2020-01-0{d}" for d in range(1, 10)]
+    land(spark, tmp_path / "f", [("A", d, 1.0) for d in days])
+    land(spark, tmp_path / "f", [("B", d, 2.0) for d in days[:3]])
+    assert load(spark, tmp_path / "f", "2020-01-06", table) == 2
+    assert [r[1].day for r in closes(read_layer(spark, table))] == [1, 2, 3, 4]
+    # A's file still has days to come; B's is of no symbol that is loaded.
+    assert load(spark, tmp_path / "f", "2020-01-06", table) == 0
+    assert load(spark, tmp_path / "f", "2020-01-08", table) == 1
+    assert load(spark, tmp_path / "f", "2020-01-20", table) == 1
+    assert load(spark, tmp_path / "f", "2020-01-21", table) == 0
+    assert load(spark, tmp_path / "f", "2020-01-20", table, ("A", "B")) == 1
+    assert load(spark, tmp_path / "f", "2020-01-30", table, ("A", "B", "C")) == 0
+    got = closes(read_layer(spark, table))
+    assert [r[1].day for r in got if r[0] == "A"] == list(range(1, 10))
+    assert [r[1].day for r in got if r[0] == "B"] == [1, 2, 3]
+
+
+def test_a_lost_ledger_and_a_replay_insert_nothing_twice(spark, table, tmp_path, monkeypatch):
+    land(spark, tmp_path / "f", [("A", f"2020-01-0{d}", float(d)) for d in range(1, 6)])
+
+    def cut_short(*_):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "entries_of", cut_short)
+        with pytest.raises(RuntimeError, match="lost driver"):
+            load(spark, tmp_path / "f", "2020-01-10", table)
+    loaded = closes(read_layer(spark, table), "close")
+    assert len(loaded) == 5
+    assert load(spark, tmp_path / "f", "2020-01-10", table) == 1
+    spark.sql(f"DROP TABLE {table}__files")
+    assert load(spark, tmp_path / "f", "2020-01-10", table) == 1
+    assert closes(read_layer(spark, table), "close") == loaded
+
+
+def test_a_replaced_file_is_read_again(spark, table, tmp_path):
+    land(spark, tmp_path / "f", [("A", "2020-01-01", 1.0)])
+    assert load(spark, tmp_path / "f", "2020-01-10", table) == 1
+    (file,) = (tmp_path / "f").glob("*.csv")
+    text = file.read_text()
+    line = text.splitlines()[1]
+    file.write_text(text + re.sub("2020-01-01", "2020-01-02", line) + "\n")
+    file.with_name(f".{file.name}.crc").unlink()
+    assert load(spark, tmp_path / "f", "2020-01-10", table) == 1
+    assert [r[1].day for r in closes(read_layer(spark, table))] == [1, 2]
+
+
+def test_bad_rows_are_set_aside_once(spark, table, tmp_path):
+    land(spark, tmp_path / "f", [("A", "2020-01-01", 1.0), ("TOO_LONG_A_SYMBOL", "2020-01-01", 1.0)])
+    aside = {"on_bad": "quarantine", "quarantine_table": f"{table}_aside"}
+    symbols = ("A", "TOO_LONG_A_SYMBOL")
+    for opened in (1, 0):
+        assert load(spark, tmp_path / "f", "2020-01-10", table, symbols, **aside) == opened
+        assert spark.table(f"{table}_aside").count() == 1
+    spark.sql(f"DROP TABLE {table}_aside")

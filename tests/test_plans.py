@@ -87,6 +87,25 @@ def test_day_index(spark, stored, no_broadcast):
     assert count(text, "Exchange") == 4 and count(text, "SortMergeJoin") == 1
 
 
+@pytest.fixture
+def by_series(spark, stored):
+    sinks.write_series(enrich(stored, keep_block=True), "by_series", buckets=4)
+    yield spark.table("by_series")
+    spark.sql("DROP TABLE by_series")
+
+
+def test_layers_stored_by_series_are_not_shuffled(by_series, no_broadcast):
+    """Exchanges move block sums, or days of gold that were reduced, and no bars."""
+    text = plan(day_index(by_series))
+    assert "Bucketed: true" in text and "SelectedBucketsCount: 4 out of 4" in text
+    below = text.split("Window [row_number()")[1].split("SortMergeJoin")[0]
+    assert "Exchange" not in below.split("FileScan")[0]
+    assert count(text, "Exchange") == 2
+    text = plan(forecast(by_series))
+    assert count(text, "Exchange") == 1 and text.index("Exchange") < text.index("row_number")
+    assert count(plan(summarize(by_series, also_by=(BLOCK,))), "Exchange") == 0
+
+
 def test_bars_are_reduced_before_their_one_shuffle(spark):
     text = plan(QUERIES["bars_lineitem"](spark, str(TESTDATA / "sf0.001")))
     assert count(text, "Exchange") == 1 and "REPARTITION" not in text

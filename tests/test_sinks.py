@@ -55,6 +55,18 @@ def test_first_arrival_wins_within_a_batch(spark, table):
     assert stored(spark, table) == [("A", JAN, 13.0)]
 
 
+def test_an_insert_tells_what_it_met(spark, table):
+    """Counted in the jobs that write; no pass of its own."""
+    sinks.append_absent(bars(spark, [("A", "01-02", 1.0)]), table)
+    rows = [("A", "01-02", 2.0), ("B", "01-02", 2.0), ("B", "01-02", 2.0), (None, "01-03", 1.0)]
+    rows += [("A", None, 1.0), ("A", None, 2.0), ("ELEVEN_CHARS", "01-04", 1.0), ("C", "02-02", 3.0)]
+    counts = sinks.append_absent(bars(spark, rows), table, "quarantine", f"{table}_aside")
+    assert counts == sinks.Written(8, 2, null_dates=2, null_symbols=1, long_symbols=1)
+    assert sinks.append_absent(bars(spark, rows[:3]), table) == sinks.Written(3, 0, 0, 0, 0)
+    assert sinks.append_absent(bars(spark, []), table).written == 0
+    spark.sql(f"DROP TABLE {table}_aside")
+
+
 def test_keys_stay_unique_without_arrival(spark, table):
     sinks.append_absent(bars(spark, [("A", "01-02", 12.0), ("A", "01-02", 11.0)]), table)
     assert stored(spark, table) == [("A", JAN, 11.0)]

@@ -78,11 +78,11 @@ def _units(documents: DataFrame, separator: str) -> DataFrame:
     return documents.mapInArrow(cut, _UNITS)
 
 
-def _longest(flags: list[bool], words: list[int]) -> int:
-    """Words in the longest run of flagged units."""
+def _longest(flags: list[bool], words: list[int], passed: list[bool]) -> int:
+    """Words in the longest run of flagged units; those to be passed over end none."""
     most = now = 0
-    for flag, n in zip(flags, words, strict=True):
-        now = now + n if flag else 0
+    for flag, n, over in zip(flags, words, passed, strict=True):
+        now = now + n if flag else now if over else 0
         most = max(most, now)
     return most
 
@@ -94,7 +94,7 @@ def cut_text(text: str, found: list[tuple[int, int, bool]], separator: str) -> t
     """
     repeated, gone = (sorted({(f, f + n) for f, n, g in found if g or not only}) for only in (0, 1))
     flags: list[list[bool]] = [[], []]
-    words, spans, kept, at = [], [], [], 0
+    words, short, spans, kept, at = [], [], [], [], 0
     place = [0, 0]
     until = [0, 0]
     for line in _lines(text, separator):
@@ -105,7 +105,9 @@ def cut_text(text: str, found: list[tuple[int, int, bool]], separator: str) -> t
                     until[k] = max(until[k], units[place[k]][1])
                     place[k] += 1
                 flags[k].append(end <= until[k])
-            words.append(len(_ALPHANUMERIC.findall(m[0].lower())))
+            plain = normalise(m[0])
+            words.append(plain.count(" ") + 1 if plain else 0)
+            short.append(not _long_enough(plain, SENTENCE))
             if not flags[1][-1]:
                 kept.append(m[0])
             elif spans and spans[-1][0] + spans[-1][1] == start:
@@ -117,8 +119,8 @@ def cut_text(text: str, found: list[tuple[int, int, bool]], separator: str) -> t
         len(words),
         sum(flags[1]),
         sum(n for _, n in spans),
-        _longest(flags[1], words),
-        _longest(flags[0], words),
+        _longest(flags[1], words, [False] * len(words)),
+        _longest(flags[0], words, short),
         spans,
         "".join(kept),
     )
@@ -164,9 +166,9 @@ def dedup_units(documents: DataFrame, separator: str = "\n") -> DataFrame:
 
     Result: `doc_id`, `n_units` (sentences of the text, a line without an end mark
     being one), `n_removed` (those of them that go), `removed_chars`,
-    `longest_removed` and `longest_repeated` (words in the longest run of
-    sentences that go, and of those that occur elsewhere, which the earliest do as
-    well), `removed` (first character and length of each maximal run in the
+    `longest_removed` (words in the longest run of sentences that go),
+    `longest_repeated` (words in the longest run of sentences that occur elsewhere,
+    as the earliest do too; short ones between them are passed over), `removed` (first character and length of each maximal run in the
     original, in order), `text` (what stays). One row for each row. A null text
     stays null and has no unit; rows that repeat both `doc_id` and text are one
     document and get the same result; an empty table gives no row. Other

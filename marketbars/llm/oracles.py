@@ -87,11 +87,13 @@ ORACLES: dict[str, str] = {
         ), flagged AS (
             SELECT s.doc_id, s.place, s.sentence, coalesce(bool_or(gone), FALSE) AS gone,
                 coalesce(bool_or(repeated), FALSE) AS repeated,
+                array_to_string(regexp_extract_all(lower(sentence), '[\p{L}\p{N}]+'), ' ') AS plain,
                 len(regexp_extract_all(lower(sentence), '[\p{L}\p{N}]+')) AS words
             FROM sentences s LEFT JOIN ranked r ON r.doc_id = s.doc_id AND r.i = s.i AND r.k IN (0, s.k)
             GROUP BY s.doc_id, s.i, s.k, s.place, s.sentence
         ), runs AS (
-            SELECT *, count(*) FILTER (NOT gone) OVER before AS g, count(*) FILTER (NOT repeated) OVER before AS r
+            SELECT *, count(*) FILTER (NOT gone) OVER before AS g, 
+                count(*) FILTER (NOT repeated AND (words >= 8 OR length(plain) >= 40)) OVER before AS r
             FROM flagged WINDOW before AS (PARTITION BY doc_id ORDER BY place)
         ), spans AS (
             SELECT doc_id, string_agg(first || ':' || n, ' ' ORDER BY first) AS removed, max(words) AS longest

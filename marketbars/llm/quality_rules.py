@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import statistics
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -151,26 +151,52 @@ def _distance() -> Column:
     )
 
 
-def _invert(sums: DataFrame) -> DataFrame:
-    """Center and inverse covariance from each cell's sums."""
-
-    def invert(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floor = np.diag([s * s for s in _FEATURES.values()])
-        for batch in rows:
-            cells, centers, inverses = [], [], []
-            for cell, n, s, q in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                mean = np.array(s) / n
-                covariance = np.array(q).reshape(_P, _P) / n - np.outer(mean, mean)
-                cells.append(cell)
-                centers.append(mean.tolist())
-                inverses.append(np.linalg.inv(covariance + floor).ravel().tolist())
-            lists = pa.list_(pa.float64())
-            columns = [(cells, pa.string()), (centers, lists), (inverses, lists)]
+_PLACES = [(i, j) for i in range(_P) for j in range(_P)]
+_ESTIMATE = "cell string, start int, center array<double>, inverse array<double>, logdet double"
+
+
+def _floor() -> np.ndarray:
+    return np.diag([s * s for s in _FEATURES.values()])
+
+
+def _estimates(rows: DataFrame, estimate: Callable[..., Iterator[tuple]]) -> DataFrame:
+    """Rows of sums as estimates; `estimate` gets a row's values and gives
+    (cell, start, center, covariance) tuples."""
+
+    def read(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = pa.list_(pa.float64())
+        kinds = (pa.string(), pa.int32(), lists, lists, pa.float64())
+        names = [c.split()[0] for c in _ESTIMATE.split(", ")]
+        for batch in batches_:
+            out = []
+            for values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for cell, start, center, covariance in estimate(*values):
+                    whole = covariance + _floor()
+                    inverse = np.linalg.inv(whole).ravel().tolist()
+                    out.append((cell, start, list(center), inverse, np.linalg.slogdet(whole)[1]))
+            columns = list(zip(*out, strict=True)) or [()] * len(kinds)
             yield pa.record_batch(
-                [pa.array(c, t) for c, t in columns], names=["cell", "center", "inverse"]
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
             )
 
-    return sums.mapInArrow(invert, "cell string, center array<double>, inverse array<double>")
+    return rows.mapInArrow(read, _ESTIMATE)
+
+
+def _of_sums(cell: str, start: int, n: int, sums: list, products: list) -> Iterator[tuple]:
+    mean = np.array(sums) / n
+    yield cell, start, mean, np.array(products).reshape(_P, _P) / n - np.outer(mean, mean)
+
+
+def _starts(cell: str, center: list, scale: list, signs: list, tanhs: list) -> Iterator[tuple]:
+    """Medians and deviations alone; with spatial signs' and with tanh's correlations."""
+    spread = np.diag(scale)
+    yield cell, 0, center, spread @ spread - _floor()
+    for start, products in enumerate((signs, tanhs), 1):
+        product = np.array(products).reshape(_P, _P)
+        size = np.sqrt(np.maximum(np.diag(product), 1e-12))
+        correlation = product / np.outer(size, size)
+        np.fill_diagonal(correlation, 1)
+        yield cell, start, center, spread @ correlation @ spread
 
 
 def _with(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -208,56 +234,101 @@ def with_cells(rows: DataFrame, least: int) -> DataFrame:
     return rows.join(cells, same, "left").drop("cell_lang", "cell_source")
 
 
-def robust_distances(rows: DataFrame, share: float, least: int, steps: int) -> DataFrame:
-    """Adds `distance2`, from the minimum-covariance-determinant estimate of the row's cell.
+def _by_cell(estimates: DataFrame, *columns: str) -> DataFrame:
+    """The estimates of a cell, three at most, as one row."""
+    found = F.sort_array(F.collect_list(F.struct("start", *columns)))
+    return estimates.groupBy("cell").agg(found.alias("starts"))
 
-    `rows` has `lang`, `source`, a number `row` and the statistics. A cell is a
-    language and source; sources of fewer than `least` rows are taken together
-    by language, and languages still smaller as one. The estimate starts from
-    medians and median deviations; each concentration step keeps the `share` of
-    the cell's rows that are nearest and takes their mean and covariance, plus
-    a fixed least spread of each statistic, so that statistics that hardly vary
-    do no harm. Cells with fewer than `least` rows in the end have no estimate
-    and distance null.
 
-    Quantiles are Spark's bounded sketches and sums are added up by task before
-    they are shuffled, so a cell may hold any number of rows.
-    """
-    names = list(_FEATURES)
-    salt = F.pmod(F.xxhash64("row"), F.lit(_SALTS)).cast("int")
-    rows = saved(with_cells(rows, least).withColumn("salt", salt))
+def _scored(rows: DataFrame, estimates: DataFrame, *more: str) -> DataFrame:
+    """Each row once for each estimate of its cell, with the distance from it."""
+    both = _with(rows, _by_cell(estimates, "center", "inverse", *more))
+    each = both.withColumn("s", F.explode("starts")).select(*rows.columns, "s.*")
+    return each.withColumn("d2", _distance()).drop("center", "inverse")
 
+
+def _first_estimates(rows: DataFrame, least: int) -> DataFrame:
+    """The starts of each cell of at least so many rows."""
+    names = list(_FEATURES)
     medians = rows.groupBy("cell").agg(
         F.array(*[_median(F.col(n)) for n in names]).alias("center"), F.count("*").alias("n")
     )
     medians = saved(medians.where(F.col("n") >= least).drop("n"))
-    away = [F.abs(F.col(n) - F.col("center")[i]) for i, n in enumerate(names)]
+    away = [F.col(n) - F.col("center")[i] for i, n in enumerate(names)]
     spreads = (
         _with(rows, medians)
         .groupBy("cell")
-        .agg(*[_median(a).alias(n) for a, n in zip(away, names, strict=True)])
+        .agg(*[_median(F.abs(a)).alias(n) for a, n in zip(away, names, strict=True)])
     )
-    scale = [F.col(n) * 1.4826 + F.lit(s) for n, s in _FEATURES.items()]
-    places = [(i, j) for i in range(_P) for j in range(_P)]
-    diagonal = [1 / (scale[i] * scale[i]) if i == j else F.lit(0.0) for i, j in places]
-    inverse = F.array(*diagonal).alias("inverse")
-    estimates = saved(medians.join(spreads.select("cell", inverse), "cell"))
-
-    for _ in range(steps):
-        scored = _with(rows, estimates).withColumn("d2", _distance())
-        cuts = (
-            scored.where(F.col("d2").isNotNull())
-            .groupBy("cell")
-            .agg(_median(F.col("d2"), share).alias("cut"))
-        )
-        near = _with(scored.drop("center", "inverse"), cuts).where(F.col("d2") <= F.col("cut"))
-        products = [F.sum(F.col(a) * F.col(b)) for a in names for b in names]
-        sums = near.groupBy("cell").agg(
+    scale = F.array(*[F.col(n) * 1.4826 + F.lit(s) for n, s in _FEATURES.items()])
+    medians = saved(medians.join(spreads.select("cell", scale.alias("scale")), "cell"))
+    z = [a / F.col("scale")[i] for i, a in enumerate(away)]
+    length = F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(_P)), F.lit(1e-12)))
+    standard = _with(rows, medians).withColumns({f"z{i}": x for i, x in enumerate(z)})
+    standard = standard.withColumn("length", length).where(F.col("center").isNotNull())
+
+    def sums(value: Callable[[int], Column]) -> Column:
+        return F.array(*[F.sum(value(i) * value(j)) for i, j in _PLACES])
+
+    products = standard.groupBy("cell").agg(
+        sums(lambda i: F.col(f"z{i}") / F.col("length")).alias("signs"),
+        sums(lambda i: F.tanh(f"z{i}")).alias("tanhs"),
+    )
+    joined = medians.join(products, "cell").select("cell", "center", "scale", "signs", "tanhs")
+    return saved(_estimates(joined, _starts))
+
+
+def robust_estimates(rows: DataFrame, share: float, least: int, most_steps: int) -> DataFrame:
+    """Where each start of each cell ends: `cell`, `start`, `center`, `inverse`, `logdet`.
+
+    A concentration step keeps the `share` of a cell's rows that are nearest and
+    takes their mean and covariance. Steps go on until no determinant falls any
+    more, by a thousandth; all starts of all cells are in the same aggregates.
+    """
+    names = list(_FEATURES)
+    estimates, before = _first_estimates(rows, least), None
+    for _ in range(most_steps):
+        scored = _scored(rows, estimates)
+        cuts = scored.groupBy("cell", "start").agg(_median(F.col("d2"), share).alias("cut"))
+        with_cuts = saved(estimates.join(cuts, ["cell", "start"]))
+        near = _scored(rows, with_cuts, "cut").where(F.col("d2") <= F.col("cut"))
+        products = [F.sum(F.col(names[i]) * F.col(names[j])) for i, j in _PLACES]
+        sums = near.groupBy("cell", "start").agg(
             F.count("*").alias("n"),
             F.array(*[F.sum(n) for n in names]).alias("sums"),
             F.array(*products).alias("products"),
         )
-        estimates = saved(_invert(sums))
+        estimates = saved(_estimates(sums, _of_sums))
+        if before is not None:
+            old = before.select("cell", "start", F.col("logdet").alias("old"))
+            falling = F.col("logdet") < F.col("old") - 1e-3
+            if estimates.join(old, ["cell", "start"]).where(falling).isEmpty():
+                break
+        before = estimates
+    return estimates
+
+
+def robust_distances(rows: DataFrame, share: float, least: int, most_steps: int) -> DataFrame:
+    """Adds `distance2`, from the minimum-covariance-determinant estimate of the row's cell.
+
+    `rows` has `lang`, `source`, a number `row` and the statistics. A cell is a
+    language and source; sources of fewer than `least` rows are taken together
+    by language, and languages still smaller as one. The search for the least
+    determinant starts from medians and median deviations, with no correlation,
+    with that of spatial signs and with that of hyperbolic tangents, and goes
+    down by concentration steps (see `robust_estimates`); of the ends the one of
+    least determinant is the estimate. A fixed least spread is added to each
+    statistic, so that those that hardly vary do no harm. Cells with fewer than
+    `least` rows in the end have no estimate and distance null.
+
+    Quantiles are Spark's bounded sketches and sums are added up by task before
+    they are shuffled, so a cell may hold any number of rows.
+    """
+    salt = F.pmod(F.xxhash64("row"), F.lit(_SALTS)).cast("int")
+    rows = saved(with_cells(rows, least).withColumn("salt", salt))
+    ends = robust_estimates(rows, share, least, most_steps)
+    best = F.min_by(F.struct("center", "inverse"), F.struct("logdet", "start")).alias("best")
+    estimates = ends.groupBy("cell").agg(best).select("cell", "best.*")
     return _with(rows, estimates).withColumn("distance2", _distance() / _consistency(share))
 
 
@@ -265,7 +336,7 @@ def judge_documents(
     documents: DataFrame,
     share: float = 0.75,
     least: int = 50,
-    steps: int = 3,
+    most_steps: int = 12,
     deviate: float = 6.0,
 ) -> DataFrame:
     """Counts, the base rule, and whether a document is kept.
@@ -287,7 +358,7 @@ def judge_documents(
     counted = saved(count_documents(documents).withColumn("base_failed", failed))
     rows = counted.where(~F.col("base_failed")).withColumn("row", F.monotonically_increasing_id())
     shown = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    judged = robust_distances(rows.select("*", *_features()), share, least, steps)
+    judged = robust_distances(rows.select("*", *_features()), share, least, most_steps)
     cutoff = chi2_quantile(_P, deviate)
     near = F.coalesce(F.col("distance2") <= cutoff, F.lit(True))
     return judged.select(*shown, "distance2", near.alias("kept")).unionByName(

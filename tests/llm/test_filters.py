@@ -230,29 +230,83 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert not any(found[i].kept for i, _ in junk)
 
 
+NAMES = list(quality_rules._FEATURES)
+FLOOR = np.diag([s * s for s in quality_rules._FEATURES.values()])
+
+
+def estimates_in_memory(x, share=0.75):
+    """(logdet, center, inverse) at the end of each start's concentration steps."""
+    center = np.quantile(x, 0.5, axis=0, method="inverted_cdf")
+    spread = np.quantile(np.abs(x - center), 0.5, axis=0, method="inverted_cdf")
+    scale = 1.4826 * spread + np.array(list(quality_rules._FEATURES.values()))
+    z = (x - center) / scale
+    signs = z / np.sqrt((z * z).sum(1) + 1e-12)[:, None]
+    starts = [np.diag(scale**2)]
+    for u in (signs, np.tanh(z)):
+        product = u.T @ u
+        size = np.sqrt(np.maximum(np.diag(product), 1e-12))
+        correlation = product / np.outer(size, size)
+        np.fill_diagonal(correlation, 1)
+        starts.append(np.outer(scale, scale) * correlation + FLOOR)
+    out = []
+    for covariance in starts:
+        middle, last = center, None
+        for _ in range(12):
+            inverse = np.linalg.inv(covariance)
+            d2 = np.einsum("ij,jk,ik->i", x - middle, inverse, x - middle)
+            near = x[d2 <= np.quantile(d2, share, method="inverted_cdf")]
+            middle = near.mean(axis=0)
+            covariance = near.T @ near / len(near) - np.outer(middle, middle) + FLOOR
+            logdet = np.linalg.slogdet(covariance)[1]
+            if last is not None and logdet >= last - 1e-3:
+                break
+            last = logdet
+        out.append((logdet, middle, np.linalg.inv(covariance)))
+    return out
+
+
 def test_the_estimate_against_concentration_steps_in_memory(spark):
     rows = [(i, prose(i, 40 + i % 90)) for i in range(200)]
     rows += [(500 + i, prose(i, 60).replace(" ", " ### ")) for i in range(20)]
-    share, names = 0.75, list(quality_rules._FEATURES)
     counted = quality_rules.count_documents(documents(spark, rows))
     features = counted.select("doc_id", *quality_rules._features()).toPandas()
-    x = features[names].to_numpy()
-    floor = np.diag([s * s for s in quality_rules._FEATURES.values()])
-    center = np.quantile(x, 0.5, axis=0, method="inverted_cdf")
-    spread = np.quantile(np.abs(x - center), 0.5, axis=0, method="inverted_cdf")
-    scale = 1.4826 * spread + np.array(list(quality_rules._FEATURES.values()))
-    inverse = np.diag(1 / scale**2)
-    for _ in range(3):
-        d2 = np.einsum("ij,jk,ik->i", x - center, inverse, x - center)
-        near = x[d2 <= np.quantile(d2, share, method="inverted_cdf")]
-        center = near.mean(axis=0)
-        inverse = np.linalg.inv(near.T @ near / len(near) - np.outer(center, center) + floor)
-    d2 = np.einsum("ij,jk,ik->i", x - center, inverse, x - center) / quality_rules._consistency(share)
+    x = features[NAMES].to_numpy()
+    _, center, inverse = min(estimates_in_memory(x), key=lambda e: e[0])
+    d2 = np.einsum("ij,jk,ik->i", x - center, inverse, x - center) / quality_rules._consistency(0.75)
     found = {r.doc_id: r.distance2 for r in judge_documents(documents(spark, rows)).collect()}
     for i, expected in zip(features.doc_id, d2, strict=True):
         assert found[i] is None or np.isclose(found[i], expected, rtol=0.02)
 
 
+def two_crowds(seed):
+    """Crowds that are stretched in different directions: each is a place to end in."""
+    rng = np.random.default_rng(seed)
+    shape = 0.97 * np.ones((6, 6)) + 0.03 * np.eye(6)
+    turned = shape * np.outer(*2 * [np.array([1, -1, 1, -1, 1, -1])])
+    first = rng.multivariate_normal(np.zeros(6), 9 * shape, 330)
+    return np.concatenate([first, rng.multivariate_normal(np.full(6, 3), 4 * turned, 270)])
+
+
+def test_the_least_determinant_of_several_starts_is_kept(spark):
+    """One start ends in a worse determinant than another, which is taken."""
+    x = two_crowds(5)
+    ends = [e[0] for e in estimates_in_memory(x, 0.5)]
+    assert max(ends) > min(ends) + 0.5
+    rows = spark.createDataFrame(
+        [("en", "s", i, *map(float, v)) for i, v in enumerate(x)],
+        "lang string, source string, row long, " + ", ".join(f"{n} double" for n in NAMES),
+    )
+    salted = rows.selectExpr("*", "'c' AS cell", "cast(row % 32 AS int) AS salt")
+    found = quality_rules.robust_estimates(salted, 0.5, 50, 12).orderBy("start").collect()
+    assert [r.logdet for r in found] == pytest.approx(ends, abs=0.05)
+    best = estimates_in_memory(x, 0.5)[int(np.argmin(ends))]
+    judged = quality_rules.robust_distances(rows, 0.5, 50, 12).orderBy("row").collect()
+    d2 = np.einsum("ij,jk,ik->i", x - best[1], best[2], x - best[1])
+    assert [r.distance2 for r in judged] == pytest.approx(
+        (d2 / quality_rules._consistency(0.5)).tolist(), rel=0.05
+    )
+
+
 def leaks_by_hand(rows, items, percent=80):
     out = {}
     for (i, t), (k, item) in itertools.product(rows, items):

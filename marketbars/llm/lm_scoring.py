@@ -19,6 +19,8 @@ _BLOCK_BYTES = 24 << 20
 _SEGMENT = 1 << 20
 # Entries that are held before they are merged.
 _UNMERGED = 1_500_000
+# Pairs whose code lengths are worked out at a time.
+_RUN = 1 << 20
 _SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
@@ -74,11 +76,13 @@ class Contexts:
         return np.add.reduceat(counts, self._start) if len(self._start) else counts
 
 
-def lower_orders(keys: np.ndarray, counts: np.ndarray, order: int) -> list[Contexts]:
-    """Contexts of all orders from pairs of a context of `order` bytes and a symbol."""
+def lower_orders(
+    keys: np.ndarray, counts: np.ndarray, order: int, least: int = 0
+) -> list[Contexts]:
+    """Contexts of the orders from `least` on, from pairs of `order` bytes and a symbol."""
     out = []
     symbol = keys & np.uint64(255)
-    for k in range(order + 1):
+    for k in range(least, order + 1):
         context = keys >> np.uint64(8 * (order - k + 1))
         out.append(Contexts(context << np.uint64(8) | symbol, counts))
     return out
@@ -264,11 +268,14 @@ def score_documents(documents: DataFrame, order: int = 5) -> DataFrame:
     blocks of 24 MB on average, in which a text and the rows that repeat it with
     its `doc_id` stay together, whatever their size; a block asks once for each pair of context and
     symbol, and each word, that it has; counts are added up by pair, code
-    lengths are worked out where all pairs with the same two last bytes are
-    together, and go back to the blocks that asked. Only the trie's first two
+    lengths are worked out in a pass over the sorted pairs, a million or the
+    pairs of one context of three bytes at a time, and go back to the blocks
+    that asked. Only the trie's first two
     levels, 65,536 pairs at most, go to the driver and all tasks. Words are
     known by 64-bit hashes.
     """
+    if not 2 <= order <= 6:
+        raise ValueError(f"order must be from 2 to 6, not {order}")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.withColumn("held_out", is_held_out(F.col("doc_id")))
     size, texts = docs.agg(
@@ -319,17 +326,46 @@ def score_documents(documents: DataFrame, order: int = 5) -> DataFrame:
     first_keys = np.array([r.newest << 8 | r.symbol for r in top], np.uint64)
     first_counts = np.array([r.n for r in top], np.int64)
 
+    upper = lower_orders(first_keys, first_counts, 1)
+
+    def run(keys: np.ndarray, counts: np.ndarray, second: list[np.ndarray]) -> pa.RecordBatch:
+        """Code lengths of pairs that hold whole contexts of three bytes."""
+        keys = keys.view(np.uint64)
+        orders = upper + [Contexts(second[0].view(np.uint64), second[1])]
+        lengths = code_lengths(keys, orders + lower_orders(keys, counts, order, 3))
+        return pa.record_batch([keys.view(np.int64), lengths], names=["key", "value"])
+
     def answer(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(rows)
-        if not held:
-            return
-        keys = np.concatenate([b.column(0).to_numpy() for b in held]).view(np.uint64)
-        counts = np.concatenate([b.column(1).to_numpy() for b in held])
-        orders = lower_orders(first_keys, first_counts, 1) + lower_orders(keys, counts, order)[2:]
-        lengths = code_lengths(keys, orders)
-        yield pa.record_batch([keys.view(np.int64), lengths], names=["key", "value"])
-
-    together = pairs.repartition(F.shiftright("key", 8 * (order - 1)))
+        three = 8 * (order - 2)
+        second = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        for batch in rows:
+            pair = batch.column("level").to_numpy() == 1
+            both = [batch.column(c).to_numpy() for c in ("key", "n")]
+            second = [np.append(old, new[~pair]) for old, new in zip(second, both, strict=True)]
+            held = [np.append(old, new[pair]) for old, new in zip(held, both, strict=True)]
+            keys, counts = held
+            if len(keys) < _RUN:
+                continue
+            # The last context of three bytes may go on.
+            cut = int(np.searchsorted(keys >> three, keys[-1] >> three))
+            if cut:
+                yield run(keys[:cut], counts[:cut], second)
+                held = [keys[cut:], counts[cut:]]
+                needed = second[0] >> 8 >= keys[cut] >> (8 * (order - 1))
+                second = [x[needed] for x in second]
+        if len(held[0]):
+            yield run(*held, second)
+
+    # The counts after two bytes come before the pairs that end with these two.
+    two = F.shiftright("key", 8 * (order - 1)).alias("two")
+    symbol = F.col("key").bitwiseAND(F.lit(255))
+    after_two = F.shiftleft(two, 8).bitwiseOR(symbol).alias("key")
+    second = pairs.where(F.col("n") > 0).groupBy(two, after_two).agg(F.sum("n").alias("n"))
+    levels = second.select("two", F.lit(0).alias("level"), "key", "n").unionByName(
+        pairs.select(two, F.lit(1).alias("level"), "key", "n")
+    )
+    together = levels.repartition("two").sortWithinPartitions("two", "level", "key")
     lengths = together.mapInArrow(answer, "key long, value double")
     shared = word_counts.where(F.col("blocks") > 1)
     answers = (

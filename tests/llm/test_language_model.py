@@ -83,6 +83,20 @@ def test_probabilities_add_up_to_one():
         assert np.isclose((10.0 ** code_lengths(keys, orders)).sum(), 1)
 
 
+def test_runs_of_any_size_score_alike(spark, monkeypatch):
+    """Pairs are worked off in runs of whole contexts of three bytes."""
+    from marketbars.llm import lm_scoring
+
+    rows = [(i, t) for i, t in trouble() if i is not None]
+    scores = []
+    for size in (1 << 20, 40, 1):
+        monkeypatch.setattr(lm_scoring, "_RUN", size)
+        scores.append(sorted((r.doc_id, r.score) for r in score_documents(documents(spark, rows)).collect()))
+    assert scores[0] == scores[1] == scores[2]
+    with pytest.raises(ValueError, match="order"):
+        score_documents(documents(spark, rows), 1)
+
+
 def test_without_training_texts(spark):
     held_out = next(i for i in range(100) if not learned_from(i))
     (row,) = score_documents(documents(spark, [(held_out, "abc")])).collect()

@@ -54,8 +54,8 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), also=220)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

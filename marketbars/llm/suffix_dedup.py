@@ -83,28 +83,35 @@ def anchors(code: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _surroundings(
-    code: np.ndarray, length: int
+    code: np.ndarray, sizes: tuple[int, ...]
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A text's anchors, and for each the first one with the same strings around it.
 
-    The last array has the hashes of what follows each anchor in all its strings.
+    `sizes` are the strings' lengths. Anchors are those of the shortest: longer
+    ones begin with it. The last array has the hashes of what follows each anchor
+    in all its strings.
     """
+    length, longest = min(sizes), max(sizes)
     at, low, high = anchors(code, length)
     prefixes = Prefixes(code)
-    around = mix(prefixes.hash(low, high + length) ^ mix((at - low << 32 | high - low).astype(np.uint64)))
+    end = np.minimum(high + longest, len(code))
+    shape = mix((at - low << 32 | high - low).astype(np.uint64)) + mix((end - high).astype(np.uint64))
+    around = mix(prefixes.hash(low, end) ^ shape)
     _, first, which = np.unique(around, return_index=True, return_inverse=True)
     follows = length - length * 3 // 4 + 1
     return at, low, high, first[which], mix(prefixes.hash(at, at + follows)).view(np.int64)
 
 
-def _own_repeats(data: bytes, length: int) -> list[tuple[int, int]]:
-    """Parts of a text whose strings come again around another of its anchors."""
-    _, low, high, first, _ = _surroundings(np.frombuffer(data, np.uint8), length)
+def _own_repeats(data: bytes, sizes: tuple[int, ...]) -> list[tuple[int, int, int]]:
+    """Parts (size, start, end) whose strings come again around another own anchor."""
+    _, low, high, first, _ = _surroundings(np.frombuffer(data, np.uint8), sizes)
     out = []
     for i in np.flatnonzero(first != np.arange(len(first))).tolist():
         j = int(first[i])
-        if data[low[i] : high[i] + length] == data[low[j] : high[j] + length]:
-            out += [(int(low[k]), int(high[k]) + length) for k in (i, j)]
+        if data[low[i] : high[i] + max(sizes)] == data[low[j] : high[j] + max(sizes)]:
+            for k in (i, j):
+                ends = ((n, min(int(high[k]) + n, len(data))) for n in sizes)
+                out += [(n, int(low[k]), end) for n, end in ends if end - low[k] >= n]
     return out
 
 
@@ -157,16 +164,20 @@ def _sorted_within(
 
 def _longest(
     prefixes: Prefixes, at: np.ndarray, room: np.ndarray, group: np.ndarray, step: int
-) -> np.ndarray:
-    """Each place's longest common extension with any other of its group."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Each place's longest common extension with any other of its group, and with which."""
     order = _sorted_within(prefixes, at, room, group, step)
     x, y = order[:-1], order[1:]
     most = np.where(group[x] == group[y], np.minimum(room[x], room[y]), 0)
-    shared = prefixes.common(at[x], at[y], most, step)
-    out = np.zeros(len(at), np.int64)
-    np.maximum.at(out, x, shared)
-    np.maximum.at(out, y, shared)
-    return out
+    shared = np.zeros(len(at) + 1, np.int64)
+    shared[1:-1] = prefixes.common(at[x], at[y], most, step)
+    # Sorted, a place has a neighbour on either side.
+    after = shared[1:] >= shared[:-1]
+    beside = np.clip(np.arange(len(at)) + np.where(after, 1, -1), 0, len(at) - 1)
+    out, partner = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    out[order] = np.maximum(shared[1:], shared[:-1])
+    partner[order] = order[beside]
+    return out, partner
 
 
 def _same_bytes(code: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
@@ -178,24 +189,49 @@ def _same_bytes(code: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) ->
     return out
 
 
+def shared_parts(
+    prefixes: Prefixes,
+    at: np.ndarray,
+    room: tuple[np.ndarray, np.ndarray],
+    found: tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
+    length: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What anchors share with the other that agrees most to the right, or to the left.
+
+    `found` has the longest extensions to the left and right with their partners.
+    Returned are the anchors that share `length` bytes or more, and how many on
+    either side.
+    """
+    out = []
+    for side in (0, 1):
+        own, partner = found[side]
+        # The other side, with the same partner.
+        most = np.minimum(room[1 - side], room[1 - side][partner])
+        most = np.where(own > 0, most, 0)
+        beyond = prefixes.common(at, at[partner], most, 1 if side == 0 else -1)
+        left, right = (own, beyond) if side == 0 else (beyond, own)
+        (enough,) = np.nonzero(left + right >= length)
+        out.append((enough, left[enough], right[enough]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def repeated_parts(
-    code: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray, length: int
+    prefixes: Prefixes,
+    at: np.ndarray,
+    group: np.ndarray,
+    to_left: np.ndarray,
+    to_right: np.ndarray,
+    length: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where strings of `length` bytes around anchors are repeated in their group.
 
-    `left` and `right` are the bytes known on either side of each anchor. Sorted
-    to the right and to the left, each anchor's longest extensions with another
-    one are those with its neighbours; where they add up to less than `length`
-    nothing is repeated. The strings between are then held against each other
-    by hash, and equal ones byte by byte. Returned are the anchors' indices and
-    the first and last offset, counted from the anchor to the left, of their
-    repeated strings.
+    Where an anchor's extensions add up to less than `length` nothing is
+    repeated. The strings between are held against each other by hash, and equal
+    ones byte by byte. Returned are the anchors' indices and the first and last
+    offset, counted from the anchor to the left, of their repeated strings.
     """
-    prefixes = Prefixes(code)
-    to_right = _longest(prefixes, at, right, group, 1)
-    to_left = _longest(prefixes, at, left, group, -1)
-    low = np.maximum(length - to_right, length - right)
-    high = np.minimum(to_left, left)
+    code = prefixes.code
+    low, high = length - to_right, to_left
     (open_,) = np.nonzero(low <= high)
     count = (high - low + 1)[open_]
     who = np.repeat(open_, count)
@@ -255,7 +291,7 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.mapInArrow(read, "doc_id long, id long, n_bytes long, sha256 string")
 
 
-def _anchors(documents: DataFrame, length: int) -> DataFrame:
+def _anchors(documents: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     """The anchors of all texts, with the hash of what follows each in all its strings.
 
     Of a text's anchors with the same strings around them, as in a run of one
@@ -268,10 +304,10 @@ def _anchors(documents: DataFrame, length: int) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 data = (text or "").encode("utf-8", "replace")
                 own = data_id(data)
-                if len(data) < length or own in seen:
+                if len(data) < min(sizes) or own in seen:
                     continue
                 seen.add(own)
-                at, low, high, first, hashed = _surroundings(np.frombuffer(data, np.uint8), length)
+                at, low, high, first, hashed = _surroundings(np.frombuffer(data, np.uint8), sizes)
                 one, count = np.unique(first, return_counts=True)
                 ids = np.full(len(one), own, np.int64)
                 columns = (ids, at[one], low[one], high[one], hashed[one], count > 1)
@@ -288,7 +324,7 @@ def _anchors(documents: DataFrame, length: int) -> DataFrame:
     return documents.select("text").mapInArrow(read, _ANCHOR)
 
 
-def _contexts(texts: DataFrame, length: int) -> DataFrame:
+def _contexts(texts: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     """What lies around the chosen anchors of each text: all bytes of their strings."""
 
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +335,7 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
             for own, text, chosen in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode("utf-8", "replace")
                 for x in (x for x in chosen if x["frequent"] is False):
-                    around = data[x["low"] : x["high"] + length]
+                    around = data[x["low"] : x["high"] + max(sizes)]
                     out.append((x["code"], own, x["low"], x["at"] - x["low"], around))
             columns = list(zip(*out, strict=True)) or [()] * 5
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
@@ -307,7 +343,7 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(read, "code long, id long, first long, left long, bytes binary")
 
 
-def _frequent(texts: DataFrame, length: int) -> DataFrame:
+def _frequent(texts: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     """Repeated parts around anchors of groups of any size, by the strings' digests.
 
     Each string around such an anchor is a row of its digest and place, so that
@@ -321,17 +357,19 @@ def _frequent(texts: DataFrame, length: int) -> DataFrame:
             for own, text, chosen in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode("utf-8", "replace")
                 for x in chosen:
-                    for start in range(x["low"], x["high"] + 1) if x["frequent"] else ():
-                        digest = hashlib.blake2b(data[start : start + length], digest_size=16)
-                        out.append((digest.digest(), own, start))
-            columns = list(zip(*out, strict=True)) or [()] * 3
-            kinds = (pa.binary(), pa.int64(), pa.int64())
+                    for n in sizes if x["frequent"] else ():
+                        for start in range(x["low"], min(x["high"], len(data) - n) + 1):
+                            digest = hashlib.blake2b(data[start : start + n], digest_size=16)
+                            out.append((digest.digest(), own, start, n))
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            names = ["digest", "id", "start", "size"]
             yield pa.record_batch(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["digest", "id", "start"]
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
             )
 
     texts = texts.where(F.exists("chosen", lambda x: x["frequent"]))
-    strings = texts.mapInArrow(read, "digest binary, id long, start long")
+    strings = texts.mapInArrow(read, "digest binary, id long, start long, size long")
     place = F.struct("id", "start")
     twice = (
         strings.groupBy("digest")
@@ -340,29 +378,45 @@ def _frequent(texts: DataFrame, length: int) -> DataFrame:
         .select("digest")
     )
     return strings.join(twice, "digest", "left_semi").select(
-        "id", "start", (F.col("start") + length).alias("end")
+        "id", "size", "start", (F.col("start") + F.col("size")).alias("end")
     )
 
 
-def _compare(contexts: DataFrame, length: int) -> DataFrame:
+def _compare(contexts: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
     """Repeated parts of each text. Each partition holds whole groups, sorted by `code`."""
 
-    def chunk(rows: list[tuple]) -> pa.RecordBatch:
+    def chunk(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         code = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
         size = np.array([len(r[4]) for r in rows])
         left = np.array([r[3] for r in rows])
         at = np.cumsum(size) - size + left
         _, group = np.unique(np.array([r[0] for r in rows]), return_inverse=True)
-        index, low, high = repeated_parts(code, at, left, size - left, group, length)
-        anchor = np.array([r[2] for r in rows])[index] + left[index]
-        return pa.record_batch(
-            [
-                pa.array([rows[i][1] for i in index.tolist()], pa.int64()),
-                pa.array(anchor - high, pa.int64()),
-                pa.array(anchor - low + length, pa.int64()),
-            ],
-            names=["id", "start", "end"],
+        prefixes = Prefixes(code)
+        # Sorted to either side, the longest extension is that with a neighbour.
+        found = (
+            _longest(prefixes, at, left, group, -1),
+            _longest(prefixes, at, size - left, group, 1),
         )
+        longest = max(sizes)
+        index, low, high = repeated_parts(prefixes, at, group, found[0][0], found[1][0], longest)
+        yield parts(rows, longest, index, left, -high, longest - low)
+        if min(sizes) < longest:
+            room = (left, size - left)
+            index, before, after = shared_parts(prefixes, at, room, found, min(sizes))
+            yield parts(rows, min(sizes), index, left, -before, after)
+
+    def parts(
+        rows: list[tuple], n: int, index: np.ndarray, left: np.ndarray, start: np.ndarray, end: np.ndarray
+    ) -> pa.RecordBatch:
+        """Parts of texts, given from the anchors on."""
+        anchor = np.array([r[2] for r in rows])[index] + left[index]
+        columns = [
+            pa.array([rows[i][1] for i in index.tolist()], pa.int64()),
+            pa.array(np.full(len(index), n), pa.int64()),
+            pa.array(anchor + start),
+            pa.array(anchor + end),
+        ]
+        return pa.record_batch(columns, names=["id", "size", "start", "end"])
 
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -374,41 +428,52 @@ def _compare(contexts: DataFrame, length: int) -> DataFrame:
                     held += group
                     group = []
                     if bytes_held >= _CHUNK:
-                        yield chunk(held)
+                        yield from chunk(held)
                         held, bytes_held = [], 0
                 group.append(row)
                 bytes_held += len(row[4])
         if held or group:
-            yield chunk(held + group)
+            yield from chunk(held + group)
 
-    return contexts.mapInArrow(read, "id long, start long, end long")
+    return contexts.mapInArrow(read, "id long, size long, start long, end long")
 
 
 def remove_repeats(
-    documents: DataFrame, length: int = 400, keep_text: bool = False, most: int = _MOST
+    documents: DataFrame,
+    length: int = 400,
+    keep_text: bool = False,
+    most: int = _MOST,
+    also: int | None = None,
 ) -> DataFrame:
     """Remove every byte that lies in a string of `length` bytes found anywhere else.
 
     Strings are judged on the texts as they come, within one document and
     across documents; overlapping ones count; matches never cross documents.
 
-    Only anchors are shuffled, about one in `length` * 3/8 bytes. Those whose
-    following bytes occur once have no copy and go; around the others the bytes
-    of all their strings are brought together by those following bytes and
-    sorted there (see `repeated_parts`). Equal texts are one text with copies.
+    Anchors are shuffled, about one in `length` * 3/8 bytes, and each text once,
+    to its anchors. Those whose following bytes occur once have no copy and go;
+    around the others the bytes of all their strings are brought together by
+    those following bytes and sorted there (see `repeated_parts`). Equal texts
+    are one text with copies.
     Groups of more than `most` anchors, as from one passage in very many
     documents, are too large for one task and go by `_frequent` instead.
 
     Result: `doc_id`, `n_bytes`, `n_removed`, `n_spans`, `kept_sha256`, one row
     for each row, and with `keep_text` the other bytes as `kept` (invalid UTF-8
-    at the cuts is dropped; the text itself where nothing is removed). A null
-    text is empty; repeated rows are copies of each other; an empty table gives
+    at the cuts is dropped; the text itself where nothing is removed). With `also`,
+    a shorter length, `n_repeated` counts bytes in strings of that length found
+    anywhere else, from the same anchors; nothing else depends on it. It is a lower
+    bound: in a group of many, an anchor is held against the two others that
+    agree with it most, to the left and to the right. A null text is empty; repeated rows are copies of each other; an empty table gives
     no row. Columns other than `doc_id` and `text` are not looked at.
     """
     spark = documents.sparkSession
+    if also is not None and not _GRAM * 2 <= also < length:
+        raise ValueError(f"also must be less than {length} and at least {_GRAM * 2}")
+    sizes = (length,) if also is None else (length, also)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = saved(_keyed(docs))
-    found = saved(_anchors(docs, length))
+    found = saved(_anchors(docs, sizes))
     shared = (
         found.groupBy("code")
         .agg(F.min("place").alias("least"), F.max("place").alias("most"), F.count("*").alias("n"))
@@ -427,39 +492,43 @@ def remove_repeats(
     )
     texts = _with_ids(docs).groupBy("id").agg(F.first("text").alias("text"))
     texts = saved(texts.join(chosen, "id").select("id", "text", "chosen", "twice"))
-    contexts = _contexts(texts.select("id", "text", "chosen"), length)
+    contexts = _contexts(texts.select("id", "text", "chosen"), sizes)
     dealt = contexts.repartition(partitions(spark), "code").sortWithinPartitions("code")
-    repeated = _compare(dealt, length).unionByName(
-        _frequent(texts.select("id", "text", "chosen"), length)
+    repeated = _compare(dealt, sizes).unionByName(
+        _frequent(texts.select("id", "text", "chosen"), sizes)
     )
-    parts = repeated.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("parts"))
+    parts = repeated.groupBy("id").agg(F.collect_set(F.struct("size", "start", "end")).alias("parts"))
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        names = ["id", "n_removed", "n_spans", "kept_sha256", "kept"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        names = ["id", "n_removed", "n_spans", "n_repeated", "kept_sha256", "kept"]
         for batch in batches(rows, 512):
             out: list[tuple] = []
             for own, text, twice, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data, keep, at = text.encode("utf-8", "replace"), [], 0
-                spans = _spans(
-                    [(p["start"], p["end"]) for p in found or ()]
-                    + (_own_repeats(data, length) if twice else [])
-                )
+                parts = [(p["size"], p["start"], p["end"]) for p in found or ()]
+                parts += _own_repeats(data, sizes) if twice else []
+                spans, again = (_spans([p[1:] for p in parts if p[0] == n]) for n in (length, min(sizes)))
                 for start, end in spans:
                     keep.append(data[at:start])
                     at = end
                 kept = b"".join([*keep, data[at:]])
                 shown = kept.decode("utf-8", "ignore") if keep_text else None
                 digest = hashlib.sha256(kept).hexdigest()
-                out.append((own, len(data) - len(kept), len(spans), digest, shown))
-            columns = list(zip(*out, strict=True)) or [()] * 5
+                n_repeated = sum(end - start for start, end in again)
+                out.append((own, len(data) - len(kept), len(spans), n_repeated, digest, shown))
+            columns = list(zip(*out, strict=True)) or [()] * 6
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
     cuts = texts.join(parts, "id", "left").where(F.col("parts").isNotNull() | F.col("twice"))
     cuts = cuts.select("id", "text", "twice", "parts")
-    cuts = cuts.mapInArrow(cut, "id long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    cuts = cuts.mapInArrow(
+        cut, "id long, n_removed long, n_spans long, n_repeated long, kept_sha256 string, kept string"
+    )
     copies = known.groupBy("id").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
     whole = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
+    again = F.col("copies").isNotNull() & (F.col("n_bytes") >= min(sizes))
+    n_repeated = F.when(again, F.col("n_bytes")).otherwise(F.coalesce("n_repeated", F.lit(0)))
     nothing = hashlib.sha256(b"").hexdigest()
     return (
         known.join(cuts, "id", "left")
@@ -470,6 +539,7 @@ def remove_repeats(
             "n_bytes",
             F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
             F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+            *([n_repeated.alias("n_repeated")] if also else []),
             F.when(whole, nothing).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
             F.when(whole, "").otherwise(F.col("kept")).alias("kept"),
         )

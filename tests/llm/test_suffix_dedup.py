@@ -47,6 +47,20 @@ def test_repeats(spark, length, most):
     assert got == expected(ROWS, length)
 
 
+@pytest.mark.parametrize(("also", "most"), [(220, 16_384), (220, 2), (60, 16_384)])
+def test_shorter_repeats_are_counted_beside(spark, also, most):
+    found = remove_repeats(documents(spark, ROWS), most=most, also=also)
+    assert actual(found) == expected(ROWS, 400)
+    counts = sorted((str(r.doc_id), r.n_bytes, r.n_repeated) for r in found.collect())
+    exact = sorted((i, n, gone) for i, n, gone, *_ in expected(ROWS, also))
+    assert [c[:2] for c in counts] == [c[:2] for c in exact]
+    for (i, _, got), (_, _, most) in zip(counts, exact, strict=True):
+        assert got <= most and (got > 0) == (most > 0), i
+    assert sum(c[2] for c in counts) > 0.97 * sum(c[2] for c in exact)
+    with pytest.raises(ValueError):
+        remove_repeats(documents(spark, ROWS), also=400)
+
+
 def test_an_empty_table(spark):
     assert remove_repeats(documents(spark, [])).collect() == []
 

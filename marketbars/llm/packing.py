@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.shared import batches, saved
+from marketbars.llm.shared import batches_by_size, saved
 from marketbars.llm.tokens import encoder, tidy
 
 _PIECE = {
@@ -32,6 +32,8 @@ _QUERY_TERMS = 64
 _NEIGHBOURS = 64
 # Documents in a shard of the index, on average.
 _SHARD_ROWS = 2048
+# Bytes of the texts that are encoded at once; a longer text is so alone.
+_ENCODED = 8 << 20
 
 
 def _checksum(ids: np.ndarray) -> int:
@@ -50,11 +52,12 @@ def cut_documents(
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tidy()
         encode = encoder(tokenizer, added)
-        end = np.array([end_id], encode.dtype).tobytes()
-        for batch in batches(rows, 512):
+        end = np.array([end_id], encode.dtype)
+        for batch in batches_by_size(rows, 1, _ENCODED):
             out: dict[str, list] = {k: [] for k in (*_PIECE, "ids")}
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.frombuffer(encode.encode(text) + end, encode.dtype)
+            encoded = encode.encode_all(batch.column(1))
+            for doc_id, text_ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                ids = np.concatenate([text_ids, end])
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     tail = len(piece) < window
@@ -75,12 +78,17 @@ def _tail_terms(tails: DataFrame, tokenizer: str) -> dict[int, int]:
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, dtype = np.zeros(0, np.int64), encoder(tokenizer).dtype
+        at = np.zeros(0, np.int64)
         for batch in rows:
-            for ids in batch.column(0):
-                seen = np.unique(np.frombuffer(ids.as_py(), dtype)).astype(np.int64)
-                if len(seen) and seen[-1] >= len(total):
-                    total = np.append(total, np.zeros(seen[-1] + 1 - len(total), np.int64))
-                total[seen] += 1
+            for held in batch.column(0).to_pylist():
+                ids = np.frombuffer(held, dtype)
+                if ids.max(initial=0) >= len(total):
+                    more = np.zeros(int(ids.max()) + 1 - len(total), np.int64)
+                    total, at = np.append(total, more), np.append(at, more)
+                # One place of each token stays written.
+                places = np.arange(len(ids))
+                at[ids] = places
+                total[ids[at[ids] == places]] += 1
         (tokens,) = np.nonzero(total)
         yield pa.record_batch([pa.array(tokens), pa.array(total[tokens])], names=["token", "n"])
 
@@ -94,8 +102,10 @@ class _Shard:
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float) -> None:
         lengths = np.array([len(t) for t in tails])
         unit = np.repeat(np.arange(len(tails)), lengths)
-        key, count = np.unique(unit << 32 | np.concatenate(tails).astype(np.int64), return_counts=True)
-        unit, token = key >> 32, key & 0xFFFFFFFF
+        token = np.concatenate([np.sort(t) for t in tails])
+        (first,) = np.nonzero(np.append(True, (np.diff(unit) != 0) | (token[1:] != token[:-1])))
+        count = np.diff(np.append(first, len(token)))
+        unit, token = unit[first], token[first]
         norm = _K1 * (1 - _B + _B * lengths[unit] / mean)
         weight = idf[token] * count * (_K1 + 1) / (count + norm)
         self._size = len(tails)
@@ -103,7 +113,7 @@ class _Shard:
         self._token, self._weight = token, weight
         by_token = np.argsort(token, kind="stable")
         self._posting_unit, self._posting_weight = unit[by_token], weight[by_token]
-        self._postings_at = np.searchsorted(token[by_token], np.arange(len(idf) + 1))
+        self._postings_at = np.append(0, np.cumsum(np.bincount(token, minlength=len(idf))))
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of all tails for the heaviest terms of the seed."""
@@ -111,7 +121,7 @@ class _Shard:
         terms, weights = self._token[own], self._weight[own]
         if len(terms) > _QUERY_TERMS:
             terms = terms[np.argpartition(-weights, _QUERY_TERMS)[:_QUERY_TERMS]]
-        spans = [slice(self._postings_at[t], self._postings_at[t + 1]) for t in terms]
+        spans = [slice(self._postings_at[t], self._postings_at[t + 1]) for t in terms.tolist()]
         units = np.concatenate([self._posting_unit[s] for s in spans])
         weights = np.concatenate([self._posting_weight[s] for s in spans])
         return np.bincount(units, weights, self._size)

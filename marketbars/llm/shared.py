@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,3 +79,18 @@ def batches(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatc
     for batch in rows:
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)
+
+
+def batches_by_size(
+    rows: Iterator[pa.RecordBatch], column: int, size: int
+) -> Iterator[pa.RecordBatch]:
+    """The batches, cut into ones of at most `size` bytes in a column, or of one row."""
+    for batch in rows:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(start, end - start)
+            start = end

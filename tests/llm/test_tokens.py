@@ -5,16 +5,20 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import regex
 from cases import documents, prose, trouble
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from marketbars.llm import packing, queries
+from marketbars.llm import packing, queries, tokens
 from marketbars.llm.packing import pack_documents
 from marketbars.llm.sequence_files import SequenceReader, binary_output, write_sequences
-from marketbars.llm.tokens import encoder
+from marketbars.llm.shared import batches_by_size
+from marketbars.llm.tokens import ByteLevelEncoder, encoder
 from marketbars.storage import new_folder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +56,67 @@ def test_added_tokens_are_the_library_s(parts):
     assert encoder(PATH, True).ids(text).tolist() == ids
 
 
+LETTERS = st.one_of(
+    st.sampled_from(list("ab  \n\n 'sre\t\r.,!1é²½　\x85\x1c\0")), st.characters(exclude_categories=["Cs"])
+)
+MARKED = ["<|endoftext|>", "<|endof", " ", "\n", "a", " b.", "\n\n", "é", "'s"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(st.one_of(st.none(), st.text(LETTERS, max_size=25)), max_size=6),
+    st.sampled_from([pa.string(), pa.large_string()]),
+)
+def test_ids_of_many_texts_are_the_library_s(texts, kind):
+    found = encoder(PATH).encode_all(pa.array(["dropped", *texts], kind).slice(1))
+    assert [ids.tolist() for ids in found] == [ids_of(t) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(MARKED), max_size=9), max_size=4))
+def test_added_tokens_of_many_texts_are_the_library_s(parts):
+    texts = ["".join(p) for p in parts]
+    found = encoder(PATH, True).encode_all(pa.array(texts, pa.string()))
+    expected = [DEFAULTS.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in found] == expected
+
+
+def test_white_space_is_the_split_s():
+    shown = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    held = pc.match_substring_regex(pa.array(shown), f"[{tokens._WHITE}]").to_pylist()
+    assert held == [bool(regex.match(r"\s", c)) for c in shown]
+
+
+def test_words_at_a_line_s_ends_are_two():
+    encode = ByteLevelEncoder(PATH)
+    ends, starts = ([f"{side}{c}{d}" for c in "abcdefgh" for d in "abcdefgh"] for side in "xy")
+    texts = [f"a {e}.\n{s} b" for e in ends for s in starts]
+    found = encode.encode_all(pa.array(texts))
+    assert [i.tolist() for i in found[::97]] == [ids_of(t) for t in texts[::97]]
+    # Not one for each pair of them, of which there are 4096.
+    assert len(encode._words) + len(encode._pieces) < 300
+
+
+def test_batches_by_size():
+    texts = ["a" * n for n in (3, 3, 3, 50, 0, 0, 10)] + [None, "b"]
+    batch = pa.record_batch([pa.array(range(9)), pa.array(texts)], names=["doc_id", "text"])
+    cut = [b.column(1).to_pylist() for b in batches_by_size(iter([batch, batch.slice(9)]), 1, 10)]
+    assert cut == [texts[:3], texts[3:4], texts[4:8], texts[8:]]
+
+
+def test_index_scores_by_brute_force():
+    rng = np.random.default_rng(3)
+    tails = [rng.choice([5, 7, 9, 300, 65534, 65535], n).astype("<u2") for n in (1, 4, 9, 30, 30)]
+    idf, mean = rng.random(1 << 16), 14.8
+    for seed, own in enumerate(tails):
+        expected = []
+        for tail in tails:
+            count = np.array([(tail == t).sum() for t in np.unique(own)])
+            norm = 1.2 * (0.25 + 0.75 * len(tail) / mean)
+            expected.append((idf[np.unique(own)] * count * 2.2 / (count + norm)).sum())
+        assert packing._Shard(tails, idf, mean).scores(seed) == pytest.approx(expected)
+
+
 def test_queries_find_added_tokens(spark, tmp_path):
     rows = [(1, "a<|endoftext|>b"), (2, "plain text"), (3, "x <|endoftext|><|endoftext|> y")]
     documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))

@@ -35,8 +35,8 @@ class MonthIndex:
 
 
 def in_months(months: Iterable[dt.date | str]) -> Column:
-    """Rows of these months; constant, so that other partitions are not listed."""
-    days = [F.lit(str(m)).cast("date") for m in months]
+    """Rows of these months, in one order; constant, so that other partitions are not listed."""
+    days = [F.lit(m).cast("date") for m in sorted(map(str, months))]
     return F.col(S.MONTH).isin(*days) if days else F.lit(False)
 
 

@@ -13,7 +13,7 @@ from marketbars.operators.summary import summarize
 from marketbars.operators.trend import fit_months, fit_trend, forecast, month_sums
 from marketbars.plans import jobs
 from marketbars.sinks import tables as sinks
-from marketbars.sinks.month_index import MonthIndex, files_by_month, refreshed
+from marketbars.sinks.month_index import MonthIndex, files_by_month, in_months, refreshed
 from marketbars.sources.tables import partition_values, read_layer, stored_months
 from marketbars.storage import stage
 
@@ -50,6 +50,17 @@ def spoil(spark, table, but):
     return spoiled
 
 
+def test_months_are_named_in_one_order(spark, tables):
+    sinks.ensure_landing_table(spark, tables.landing)
+    sinks.append_absent(year_of_bars(spark, 2020), tables.landing)
+    months = [day("12-01"), "2020-01-01", day("11-01")]
+    for order in (months, months[::-1]):
+        found = spark.table(tables.landing).where(in_months(order))
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "IN (2020-01-01,2020-11-01,2020-12-01)" in text
+        assert found.count() == 150
+
+
 def built(spark, tables):
     sinks.ensure_landing_table(spark, tables.landing)
     sinks.append_absent(year_of_bars(spark), tables.landing)
